@@ -2,23 +2,30 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from moniker.functions.text import let
 
 CAS_PATTERN = r"^[0-9]{2,7}-[0-9]{2}-[0-9]\z"
+# Digits before the check digit, at most.
+BODY_DIGITS = 9
+
+
+def check_digit(body: Column) -> Column:
+    """Sum of the digits of ``body``, each times its place from the right, modulo 10."""
+    places = range(1, BODY_DIGITS + 1)
+    return reduce(add, (F.call_function("div", body, F.lit(10 ** (i - 1))) % 10 * i for i in places)) % 10
 
 
 def cas_key(word: Column) -> Column:
     """The registry number without dashes, or null if form or check digit is wrong."""
-    number = F.replace(word, F.lit("-"), F.lit(""))
-
-    def checked(plain: Column) -> Column:
-        body = F.reverse(F.left(plain, F.length(plain) - 1))
-        digits = F.regexp_extract_all(body, F.lit("[0-9]"), F.lit(0))
-        weighted = F.transform(digits, lambda d, i: (i + 1) * d.cast("int"))
-        total = F.aggregate(weighted, F.lit(0), lambda acc, x: acc + x)
-        return F.when(total % 10 == F.right(plain, F.lit(1)).cast("int"), plain.cast("bigint"))
+    number = F.replace(word, F.lit("-"), F.lit("")).cast("bigint")
+
+    def checked(n: Column) -> Column:
+        return F.when(check_digit(F.call_function("div", n, F.lit(10))) == n % 10, n)
 
     return F.when(word.rlike(CAS_PATTERN), let(number, checked))

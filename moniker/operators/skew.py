@@ -14,6 +14,16 @@ HOT_FLOOR = 1_000_000
 FANOUT = 64
 
 
+def top_keys(counted: DataFrame, key: str, n: str, floor: int = HOT_FLOOR, limit: int = HOT_LIMIT) -> DataFrame:
+    """Hashes of the ``limit`` most frequent keys that have ``floor`` rows or more.
+
+    Two keys with one hash are spread alike on both sides of the join, which is
+    harmless.
+    """
+    frequent = counted.where(F.col(n) >= floor).select(F.xxhash64(key).alias("hot_hash"), n)
+    return frequent.orderBy(F.desc(n), "hot_hash").limit(limit).select("hot_hash").distinct()
+
+
 def hot_keys(
     rows: DataFrame,
     key: str,
@@ -21,20 +31,11 @@ def hot_keys(
     floor: int = HOT_FLOOR,
     limit: int = HOT_LIMIT,
 ) -> DataFrame:
-    """Hashes of the ``limit`` most frequent keys that have ``floor`` rows or more.
-
-    Two keys with one hash are spread alike on both sides of the join, which is
-    harmless. ``weight`` sums an existing count instead of counting rows.
-    """
-    counted = F.count(F.lit(1)) if weight is None else F.sum(weight)
-    return (
-        rows.groupBy(F.xxhash64(key).alias("hot_hash"))
-        .agg(counted.alias("n"))
-        .where(F.col("n") >= floor)
-        .orderBy(F.desc("n"), "hot_hash")
-        .limit(limit)
-        .select("hot_hash")
-    )
+    """``top_keys`` of rows that are yet to be counted; a row counts as its ``weight``."""
+    n = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    counted = rows.groupBy(F.xxhash64(key).alias("hash")).agg(n.alias("n"))
+    hot = counted.where(F.col("n") >= floor).orderBy(F.desc("n"), "hash").limit(limit)
+    return hot.select(F.col("hash").alias("hot_hash"))
 
 
 def mark_hot(rows: DataFrame, key: str, hot: DataFrame) -> DataFrame:

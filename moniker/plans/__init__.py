@@ -8,15 +8,18 @@ from moniker.plans.cascade import (
     standard_chain,
     tag_mentions,
 )
+from moniker.plans.job import Output, link_documents
 from moniker.plans.publish import compact, publish_documents, write_bucketed
 from moniker.plans.routing import keep_resolved, resolved_only, route_entity, route_substance
 
 __all__ = [
     "Discard",
     "Lookup",
+    "Output",
     "compact",
     "distinct_words",
     "keep_resolved",
+    "link_documents",
     "publish_documents",
     "resolve_words",
     "resolved_only",

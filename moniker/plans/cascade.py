@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from moniker.functions import cas_key, formula_key, is_rubbish
 from moniker.operators.lookup import lookup_keys, lookup_words
-from moniker.operators.skew import hot_keys, spread_join
+from moniker.operators.skew import spread_join, top_keys
 from moniker.sources.scratch import materialise
 
 SUBSTANCE = "substance"
@@ -77,30 +77,40 @@ def standard_chain(
     ]
 
 
-def keep_words(rows: DataFrame, chain: Sequence[Lookup | Discard]) -> DataFrame:
-    """Rows whose ``word_orig`` no unconditional discard step drops.
+def _key_column(step: Lookup) -> str:
+    return f"key_{step.name}"
 
-    Such a step drops a word wherever it stands in the chain, so it can run first.
-    """
-    flags = [step.flag for step in chain if isinstance(step, Discard) and step.resolved]
-    return reduce(lambda df, flag: df.where(~flag(F.col("word_orig"))), flags, rows)
 
+def _dropped(chain: Sequence[Lookup | Discard]) -> Column:
+    """Whether an unconditional discard step drops the word.
 
-def _key_column(step: Lookup) -> str:
-    return f"key_{step.name}"
+    Such a step drops a word wherever it stands in the chain.
+    """
+    flags = [step.flag(F.col("word_orig")) for step in chain if isinstance(step, Discard) and step.resolved]
+    return reduce(Column.__or__, flags, F.lit(False))
 
 
-def distinct_words(mentions: DataFrame, chain: Sequence[Lookup | Discard] = ()) -> DataFrame:
-    """Distinct words with their number of mentions and their derived keys.
+def distinct_words(documents: DataFrame, chain: Sequence[Lookup | Discard] = ()) -> DataFrame:
+    """Distinct words of nested documents: how often, whether dropped, with which keys.
 
-    They are written once for all steps. Without that every step would push its
-    own filter below the aggregation and scan all mentions again.
+    All that depends on the word is worked out here, after the aggregation, and
+    written once for all steps. Without the write every step would push its own
+    filter below the aggregation and scan all mentions again. Of the mention
+    lists only the words are read.
     """
-    kept = keep_words(mentions.where(F.col("word_orig").isNotNull()), chain)
-    counted = kept.groupBy("word_orig").agg(F.count(F.lit(1)).alias("n_mentions"))
+    counted = (
+        documents.select(F.explode("infer_list.word_orig").alias("word_orig"))
+        .where(F.col("word_orig").isNotNull())
+        .groupBy("word_orig")
+        .agg(F.count(F.lit(1)).alias("n_mentions"))
+    )
     derived = [step for step in chain if isinstance(step, Lookup) and step.key is not None]
-    keyed = counted.select("*", *(step.key(F.col("word_orig")).alias(_key_column(step)) for step in derived))
-    return materialise(keyed, "words")
+    keys = [step.key(F.col("word_orig")).alias(_key_column(step)) for step in derived]
+    return materialise(counted.select("*", _dropped(chain).alias("dropped"), *keys), "words")
+
+
+def kept_words(words: DataFrame) -> DataFrame:
+    return words.where(~F.col("dropped"))
 
 
 def resolver_keys(
@@ -135,9 +145,7 @@ def named_dictionary(names: DataFrame, dictionary: DataFrame) -> DataFrame:
 
 def _hits(words: DataFrame, step: Lookup, earlier: DataFrame | None) -> DataFrame:
     if step.key is not None:
-        known = _key_column(step) in words.columns
-        key = F.col(_key_column(step)) if known else step.key(F.col("word_orig"))
-        return lookup_keys(words.select("word_orig", key.alias("key")), step.dictionary)
+        return lookup_keys(words.withColumnRenamed(_key_column(step), "key"), step.dictionary)
     if step.names is not None:
         return lookup_words(words, named_dictionary(step.names, step.dictionary))
     if step.resolver is not None:
@@ -148,8 +156,11 @@ def _hits(words: DataFrame, step: Lookup, earlier: DataFrame | None) -> DataFram
 
 
 def resolve_words(words: DataFrame, chain: Sequence[Lookup | Discard]) -> DataFrame:
-    """``(word_orig, ids, stage, kind)`` of every word that a step resolves."""
-    live = keep_words(words, chain)
+    """``(word_orig, ids, stage, kind)`` of every word that a step resolves.
+
+    ``words`` are the ``distinct_words`` for the same chain.
+    """
+    live = kept_words(words)
     hits: list[DataFrame] = []
     for priority, step in enumerate(chain):
         if isinstance(step, Discard):
@@ -174,14 +185,18 @@ def tag_mentions(
     words: DataFrame,
     resolution: DataFrame,
     section: str,
-    how: str = "inner",
+    unresolved: bool = False,
 ) -> DataFrame:
     """Mentions with what their word resolves to, stamped with the document section.
 
-    ``how="left"`` keeps unresolved mentions. A word with a large share of all
-    mentions is spread over many tasks; ``words`` has the counts that tell.
+    ``unresolved=True`` also keeps mentions without a hit. A word with a large
+    share of all mentions is spread over many tasks; ``words`` has the counts
+    that tell.
     """
-    hot = hot_keys(words, "word_orig", weight=F.col("n_mentions"))
+    answers = resolution
+    if unresolved:
+        answers = kept_words(words).select("word_orig").join(resolution, "word_orig", "left")
+    hot = top_keys(words, "word_orig", "n_mentions")
     identity = [c for c in mentions.columns if c != "word_orig"]
-    tagged = spread_join(mentions, resolution, "word_orig", hot, spread_by=identity, how=how)
+    tagged = spread_join(mentions, answers, "word_orig", hot, spread_by=identity)
     return tagged.withColumn("section", F.lit(section))

@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moniker.functions import composition_key, strip_tags
+from moniker.functions.cas import check_digit
 from moniker.plans import Lookup, standard_chain
-from moniker.sources import build_dictionary, load_order, read_entity_json, scratch_path
+from moniker.sources import build_dictionary, load_order, read_entity_json, read_mentions, scratch_path
 
 # Strings the formula rules reject, one per rule.
 REJECTED_FORMULAS = [
@@ -22,6 +23,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows of a table that has fewer splits than the cluster has cores, spread out.
+
+    For texts that are taken apart right after the scan. A large table has
+    splits enough and is left as it is.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def _as_mentions(words: Column) -> Column:
     """Mention list of a word list; the place of a word is its start."""
     return F.transform(
@@ -39,15 +50,11 @@ def _text(column: Column) -> Column:
 def cas_word(partkey: Column, linenumber: Column | None = None) -> Column:
     """CAS-style number of a part; on line 7 the check digit is wrong."""
     n = partkey + 10000
-    digits = F.reverse(_text(n))
-    weighted = F.transform(
-        F.sequence(F.lit(1), F.length(digits)), lambda i: i * F.substring(digits, i, F.lit(1)).cast("int")
-    )
-    check = F.aggregate(weighted, F.lit(0), lambda acc, x: acc + x)
+    check = check_digit(n)
     if linenumber is not None:
         check = check + F.when(linenumber == 7, 1).otherwise(0)
     middle = F.lpad(_text(n % 100), 2, "0")
-    return F.concat(_text(F.floor(n / 100)), F.lit("-"), middle, F.lit("-"), _text(check % 10))
+    return F.concat(_text(F.call_function("div", n, F.lit(100))), F.lit("-"), middle, F.lit("-"), _text(check % 10))
 
 
 def inchikey(part: DataFrame) -> Column:
@@ -76,7 +83,7 @@ def _formula_words(part: DataFrame) -> list[Column]:
 
 def text_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One mention per word of the documents."""
-    documents = table(spark, sf_dir, "documents")
+    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     words = F.split("text", " ", -1)
     return documents.select(
         F.concat(F.lit("D"), _text(F.col("doc_id"))).alias("patent_id"), _as_mentions(words).alias("infer_list")
@@ -89,7 +96,7 @@ def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     Texts (D), CAS numbers and supplier names of order lines (O), formulas and
     chemical names of parts (P), customer names of orders (C).
     """
-    lineitem = table(spark, sf_dir, "lineitem")
+    lineitem = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
     supplier = F.concat(F.lit("Supplier#"), F.lpad(_text(F.col("l_suppkey")), 9, "0"))
     line_words = lineitem.select(
         "l_orderkey",
@@ -112,9 +119,16 @@ def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text_documents(spark, sf_dir).unionByName(lines).unionByName(parts).unionByName(orders)
 
 
+def stored_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus as a mention table with ``row_id``, for queries that scan it several times."""
+    path = scratch_path(spark, "corpus")
+    corpus(spark, sf_dir).write.parquet(path)
+    return read_mentions(spark, path)
+
+
 def raw_ner(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Recogniser output lines: one record per document, a cut-off line per toxic label."""
-    documents = table(spark, sf_dir, "documents")
+    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
     def inferred(line: Column) -> Column:
         return F.transform(
@@ -164,7 +178,7 @@ def name_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
             (F.col("number") * 1000000 + F.col("pos")).alias("row"),
         )
 
-    turns = table(spark, sf_dir, "conversations")
+    turns = spread(table(spark, sf_dir, "conversations").select("conv_id", "turn", "text"))
     items = table(spark, sf_dir, "benchmark")
     spoken = words(turns, "text", F.concat(F.lit("S"), _text(turns["conv_id"])), turns["turn"], turns["conv_id"])
     listed = words(items, "text", F.concat(F.lit("B"), _text(items["item_id"])), F.lit(8), items["item_id"])

@@ -370,6 +370,9 @@ def statements() -> dict[str, str]:
         count(pos) AS n, md5(coalesce(string_agg(array_to_string(ids, ','), ',' ORDER BY pos), '')) AS ids_md5"""))
     add("publish_entity", ["patents", "entities"], _per_patent("entities", """
         count(pos) AS n, coalesce(string_agg(ppi_id, ',' ORDER BY pos), '') AS ids"""))
+    add("link_documents", ["patents", "substances", "entities"], f"""
+        SELECT 'substance' AS output, * FROM ({_per_patent("substances", "count(pos) AS n")})
+        UNION ALL SELECT 'entity', * FROM ({_per_patent("entities", "count(pos) AS n")})""")
     add("renest", ["patents", "mentions", "judged"], _per_patent(
         "(SELECT * FROM mentions JOIN judged USING (word_orig) WHERE reason IS NULL)", """
         count(pos) AS n, md5(coalesce(string_agg(word_orig, '|' ORDER BY pos), '')) AS words_md5"""))

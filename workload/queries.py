@@ -20,12 +20,15 @@ from moniker.functions import (
     rubbish_reason,
     strip_tags,
 )
-from moniker.operators import flatten_mentions, lookup_keys, lookup_words, renest_mentions
+from moniker.operators import flatten_mentions, lookup_words, renest_mentions
 from moniker.plans import (
     Lookup,
+    Output,
     compact,
     distinct_words,
     keep_resolved,
+    link_documents,
+    publish_documents,
     resolve_words,
     resolved_only,
     route_entity,
@@ -33,8 +36,7 @@ from moniker.plans import (
     tag_mentions,
     write_bucketed,
 )
-from moniker.plans.cascade import keep_words, named_dictionary, resolver_keys
-from moniker.plans.publish import publish_documents
+from moniker.plans.cascade import kept_words, named_dictionary, resolver_keys
 from moniker.sources import (
     MENTION_SCHEMA,
     assign_batches,
@@ -83,12 +85,8 @@ def _flat(documents: DataFrame) -> DataFrame:
     return flatten_mentions(documents).select("patent_id", "pos", "start_orig", "end_orig", "word_orig")
 
 
-def _mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _flat(inputs.corpus(spark, sf_dir))
-
-
 def _words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _mentions(spark, sf_dir).select("word_orig").distinct()
+    return inputs.corpus(spark, sf_dir).select(F.explode("infer_list.word_orig").alias("word_orig")).distinct()
 
 
 def _table_name(prefix: str) -> str:
@@ -128,7 +126,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("mentions_flat")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _mentions(spark, sf_dir)
+    return _flat(inputs.corpus(spark, sf_dir))
 
 
 @query("part_id")
@@ -189,9 +187,11 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("cas_key")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lineitem = inputs.table(spark, sf_dir, "lineitem")
-    word = inputs.cas_word(F.col("l_partkey"), F.col("l_linenumber"))
-    return lineitem.select("l_orderkey", "l_linenumber", cas_key(word).alias("cas"))
+    lineitem = inputs.spread(
+        inputs.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    )
+    words = lineitem.withColumn("word", inputs.cas_word(F.col("l_partkey"), F.col("l_linenumber")))
+    return words.select("l_orderkey", "l_linenumber", cas_key(F.col("word")).alias("cas"))
 
 
 @query("formula_clean")
@@ -287,16 +287,19 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _hits_text(lookup_words(_words(spark, sf_dir), inputs.name_dictionary(spark, sf_dir)))
 
 
+def _lookup(spark: SparkSession, sf_dir: str, step: Lookup) -> DataFrame:
+    words = distinct_words(inputs.corpus(spark, sf_dir), [step])
+    return _hits_text(resolve_words(words, [step]))
+
+
 @query("lookup_cas")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    keyed = _words(spark, sf_dir).withColumn("key", cas_key(F.col("word_orig")))
-    return _hits_text(lookup_keys(keyed, inputs.cas_dictionary(spark, sf_dir)))
+    return _lookup(spark, sf_dir, Lookup("cas", inputs.cas_dictionary(spark, sf_dir), key=cas_key))
 
 
 @query("lookup_formula")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    keyed = _words(spark, sf_dir).withColumn("key", formula_key(F.col("word_orig")))
-    return _hits_text(lookup_keys(keyed, inputs.formula_dictionary(spark, sf_dir)))
+    return _lookup(spark, sf_dir, Lookup("formula", inputs.formula_dictionary(spark, sf_dir), key=formula_key))
 
 
 @query("lookup_inchikey")
@@ -315,8 +318,8 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _resolved_words(spark: SparkSession, sf_dir: str, rubbish_scope: str) -> DataFrame:
     chain = inputs.chain(spark, sf_dir, rubbish_scope)
-    words = distinct_words(_mentions(spark, sf_dir), chain)
-    resolved = words.select("word_orig").join(resolve_words(words, chain), "word_orig", "left")
+    words = distinct_words(inputs.corpus(spark, sf_dir), chain)
+    resolved = kept_words(words).select("word_orig").join(resolve_words(words, chain), "word_orig", "left")
     return resolved.select("word_orig", "stage", _ids_text(), F.lit(SECTION).alias("section"))
 
 
@@ -331,60 +334,83 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _resolved_words(spark, sf_dir, "unresolved")
 
 
-def _tagged(spark: SparkSession, sf_dir: str, how: str = "inner") -> DataFrame:
+KEYS = ["patent_id", "row_id"]
+
+
+def _tagged(spark: SparkSession, sf_dir: str, unresolved: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The mention documents and their tagged mentions."""
     chain = inputs.chain(spark, sf_dir)
-    mentions = _mentions(spark, sf_dir)
-    words = distinct_words(mentions, chain)
-    kept = mentions if how == "inner" else keep_words(mentions, chain)
-    return tag_mentions(kept, words, resolve_words(words, chain), SECTION, how)
+    documents = inputs.stored_corpus(spark, sf_dir)
+    words = distinct_words(documents, chain)
+    mentions = flatten_mentions(documents, KEYS)
+    return documents, tag_mentions(mentions, words, resolve_words(words, chain), SECTION, unresolved)
 
 
 @query("tagged_mentions")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All mentions that are not rubbish, resolved or not."""
-    return _tagged(spark, sf_dir, "left").select("patent_id", "pos", "word_orig", _ids_text(), "stage", "section")
+    _, tagged = _tagged(spark, sf_dir, unresolved=True)
+    return tagged.select("patent_id", "pos", "word_orig", _ids_text(), "stage", "section")
 
 
 @query("resolved_only")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return resolved_only(_tagged(spark, sf_dir)).select("patent_id", "pos", "word_orig", _ids_text())
+    _, tagged = _tagged(spark, sf_dir, unresolved=True)
+    return resolved_only(tagged).select("patent_id", "pos", "word_orig", _ids_text())
 
 
 @query("route_substance")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    routed = route_substance(_tagged(spark, sf_dir)).withColumnRenamed("subs_ids", "ids")
+    _, tagged = _tagged(spark, sf_dir)
+    routed = route_substance(tagged).withColumnRenamed("subs_ids", "ids")
     return routed.select("patent_id", "pos", "word_orig", _ids_text())
 
 
 @query("route_entity")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return route_entity(_tagged(spark, sf_dir)).select("patent_id", "pos", "word_orig", "ppi_id")
+    _, tagged = _tagged(spark, sf_dir)
+    return route_entity(tagged).select("patent_id", "pos", "word_orig", "ppi_id")
 
 
-def _published(spark: SparkSession, sf_dir: str, mentions: DataFrame, field: str) -> DataFrame:
+def _published(documents: DataFrame, mentions: DataFrame, field: str) -> DataFrame:
     fields = ["start_orig", "end_orig", "word_orig", field, "section"]
-    path = scratch_path(spark, "published")
-    documents = inputs.corpus(spark, sf_dir)
-    stored = publish_documents(mentions, documents, fields, _table_name("published"), path, BUCKETS)
+    path = scratch_path(documents.sparkSession, "published")
+    stored = publish_documents(mentions, documents, fields, _table_name("published"), path, BUCKETS, KEYS)
     return stored.select("patent_id", F.size("infer_list").alias("n"), F.col(f"infer_list.{field}").alias("found"))
 
 
 @query("publish_substance")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored = _published(spark, sf_dir, route_substance(_tagged(spark, sf_dir)), "subs_ids")
+    documents, tagged = _tagged(spark, sf_dir)
+    stored = _published(documents, route_substance(tagged), "subs_ids")
     return stored.select("patent_id", "n", F.md5(F.array_join(F.flatten("found"), ",")).alias("ids_md5"))
 
 
 @query("publish_entity")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored = _published(spark, sf_dir, route_entity(_tagged(spark, sf_dir)), "ppi_id")
+    documents, tagged = _tagged(spark, sf_dir)
+    stored = _published(documents, route_entity(tagged), "ppi_id")
     return stored.select("patent_id", "n", F.array_join("found", ",").alias("ids"))
 
 
+@query("link_documents")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole job; mentions per document in each of the two tables."""
+    outputs = [Output(_table_name(name), scratch_path(spark, name)) for name in ("substance", "entity")]
+    substances, entities = link_documents(
+        inputs.stored_corpus(spark, sf_dir), inputs.chain(spark, sf_dir), SECTION, *outputs, BUCKETS, KEYS
+    )
+    counted = [
+        published.select(F.lit(name).alias("output"), "patent_id", F.size("infer_list").alias("n"))
+        for name, published in (("substance", substances), ("entity", entities))
+    ]
+    return counted[0].unionByName(counted[1])
+
+
 @query("renest")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without their rubbish mentions; some are left with none."""
-    documents = inputs.corpus(spark, sf_dir)
+    documents = inputs.stored_corpus(spark, sf_dir)
     kept = _flat(documents).where(~is_rubbish(F.col("word_orig")))
     nested = renest_mentions(kept, documents)
     return nested.select(
@@ -395,9 +421,9 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("nested_resolved_only")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unresolved mentions dropped inside the nested lists."""
-    documents = inputs.corpus(spark, sf_dir)
-    tagged = _tagged(spark, sf_dir, "left").withColumnRenamed("ids", "subs_ids")
-    nested = keep_resolved(renest_mentions(tagged, documents, fields=["word_orig", "subs_ids"]))
+    documents, tagged = _tagged(spark, sf_dir, unresolved=True)
+    mentions = tagged.withColumnRenamed("ids", "subs_ids")
+    nested = keep_resolved(renest_mentions(mentions, documents, KEYS, ["word_orig", "subs_ids"]))
     return nested.select("patent_id", F.size("infer_list").alias("n"))
 
 
@@ -408,7 +434,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A one-step chain: the key is the word in small letters."""
     chain = [Lookup("lower", inputs.name_dictionary(spark, sf_dir), key=F.lower)]
-    words = distinct_words(_mentions(spark, sf_dir), chain)
+    words = distinct_words(inputs.corpus(spark, sf_dir), chain)
     return resolve_words(words, chain).select("word_orig", "stage", _ids_text())
 
 
@@ -440,5 +466,5 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
         Lookup("resolver", resolved, resolver=_digest_keys),
         Lookup("entity", inputs.entity_dictionary(spark, sf_dir), kind="entity"),
     ]
-    words = distinct_words(_mentions(spark, sf_dir), chain)
+    words = distinct_words(inputs.corpus(spark, sf_dir), chain)
     return resolve_words(words, chain).select("word_orig", "stage", _ids_text())
