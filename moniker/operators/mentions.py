@@ -8,7 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def flatten_mentions(documents: DataFrame, keys: Sequence[str] = ("patent_id",)) -> DataFrame:
+# A patent may come in several rows, each a document of its own.
+DOCUMENT_KEYS = ("patent_id", "row_id")
+
+
+def flatten_mentions(documents: DataFrame, keys: Sequence[str] = DOCUMENT_KEYS) -> DataFrame:
     """One row per mention; ``pos`` is its place in the document's list."""
     exploded = documents.select(*keys, F.posexplode("infer_list").alias("pos", "mention"))
     return exploded.select(*keys, "pos", "mention.*")
@@ -33,7 +37,7 @@ def with_all_documents(mentions: DataFrame, documents: DataFrame, keys: Sequence
 def renest_mentions(
     mentions: DataFrame,
     documents: DataFrame,
-    keys: Sequence[str] = ("patent_id",),
+    keys: Sequence[str] = DOCUMENT_KEYS,
     fields: Sequence[str] = ("start_orig", "end_orig", "word_orig"),
 ) -> DataFrame:
     """Documents with their mention lists, in one shuffle and without a join.

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from moniker.functions import cas_key, formula_key, is_rubbish
 from moniker.operators.lookup import lookup_keys, lookup_words
-from moniker.operators.skew import spread_join, top_keys
+from moniker.operators.skew import HOT_FLOOR, spread_join, top_keys
 from moniker.sources.scratch import materialise
 
 SUBSTANCE = "substance"
@@ -186,6 +186,7 @@ def tag_mentions(
     resolution: DataFrame,
     section: str,
     unresolved: bool = False,
+    hot_floor: int = HOT_FLOOR,
 ) -> DataFrame:
     """Mentions with what their word resolves to, stamped with the document section.
 
@@ -196,7 +197,7 @@ def tag_mentions(
     answers = resolution
     if unresolved:
         answers = kept_words(words).select("word_orig").join(resolution, "word_orig", "left")
-    hot = top_keys(words, "word_orig", "n_mentions")
+    hot = top_keys(words, "word_orig", "n_mentions", floor=hot_floor)
     identity = [c for c in mentions.columns if c != "word_orig"]
     tagged = spread_join(mentions, answers, "word_orig", hot, spread_by=identity)
     return tagged.withColumn("section", F.lit(section))

@@ -93,18 +93,15 @@ def text_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested mention documents ``(patent_id, infer_list)`` of all kinds.
 
-    Texts (D), CAS numbers and supplier names of order lines (O), formulas and
-    chemical names of parts (P), customer names of orders (C).
+    Texts (D), the CAS number and the supplier name of an order line (O), formulas
+    and chemical names of parts (P), customer names of orders (C). The lines of
+    an order are documents of one ``patent_id``.
     """
     lineitem = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
     supplier = F.concat(F.lit("Supplier#"), F.lpad(_text(F.col("l_suppkey")), 9, "0"))
-    line_words = lineitem.select(
-        "l_orderkey",
-        F.col("l_linenumber").alias("start_orig"),
-        F.explode(F.array(cas_word(F.col("l_partkey"), F.col("l_linenumber")), supplier)).alias("word_orig"),
-    ).withColumn("end_orig", F.col("start_orig") + F.length("word_orig"))
-    lines = line_words.groupBy(F.concat(F.lit("O"), _text(F.col("l_orderkey"))).alias("patent_id")).agg(
-        F.array_sort(F.collect_list(F.struct("start_orig", "end_orig", "word_orig"))).alias("infer_list")
+    lines = lineitem.select(
+        F.concat(F.lit("O"), _text(F.col("l_orderkey"))).alias("patent_id"),
+        _as_mentions(F.array(cas_word(F.col("l_partkey"), F.col("l_linenumber")), supplier)).alias("infer_list"),
     )
     part = table(spark, sf_dir, "part")
     parts = part.select(

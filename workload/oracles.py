@@ -56,9 +56,9 @@ _TAGS = r"""</?[a-zA-Z0-9"'',=-]+/?>"""
 # Mentions
 
 _cte("lines", [], f"""
-    SELECT l_orderkey, l_linenumber AS start_orig, unnest([
+    SELECT concat('L', row_number() OVER ()) AS doc, l_orderkey, [
         {_cas_word('l_partkey', 'CASE WHEN l_linenumber = 7 THEN 1 ELSE 0 END')},
-        concat('Supplier#', lpad(CAST(l_suppkey AS VARCHAR), 9, '0'))]) AS word_orig
+        concat('Supplier#', lpad(CAST(l_suppkey AS VARCHAR), 9, '0'))] AS ws
     FROM lineitem""")
 _cte("part_words", [], f"""
     SELECT p_partkey, [
@@ -70,29 +70,16 @@ _cte("part_words", [], f"""
         {_strings(REJECTED_FORMULAS)}[p_partkey % {len(REJECTED_FORMULAS)} + 1],
         {_IUPAC}] AS ws
     FROM part""")
-_cte("placed", ["lines", "part_words"], """
-    SELECT concat('D', doc_id) AS patent_id, generate_subscripts(ws, 1) - 1 AS pos,
-           generate_subscripts(ws, 1) - 1 AS start_orig, unnest(ws) AS word_orig
-    FROM (SELECT doc_id, string_split(text, ' ') AS ws FROM documents)
-    UNION ALL
-    SELECT concat('O', l_orderkey),
-           row_number() OVER (PARTITION BY l_orderkey
-                              ORDER BY start_orig, start_orig + length(word_orig), word_orig) - 1,
-           start_orig, word_orig
-    FROM lines
-    UNION ALL
-    SELECT concat('P', p_partkey), generate_subscripts(ws, 1) - 1, generate_subscripts(ws, 1) - 1, unnest(ws)
-    FROM part_words
-    UNION ALL
-    SELECT concat('C', o_orderkey), 0, 0, concat('Customer#', lpad(CAST(o_custkey AS VARCHAR), 9, '0'))
-    FROM orders""")
-_cte("mentions", ["placed"], """
-    SELECT patent_id, pos, start_orig, start_orig + length(word_orig) AS end_orig, word_orig FROM placed""")
-_cte("patents", [], """
-    SELECT concat('D', doc_id) AS patent_id FROM documents
-    UNION ALL SELECT DISTINCT concat('O', l_orderkey) FROM lineitem
-    UNION ALL SELECT concat('P', p_partkey) FROM part
-    UNION ALL SELECT concat('C', o_orderkey) FROM orders""")
+# The lines of an order share their patent_id; doc tells documents apart.
+_cte("documents_", ["lines", "part_words"], """
+    SELECT concat('D', doc_id) AS doc, doc AS patent_id, string_split(text, ' ') AS ws FROM documents
+    UNION ALL SELECT doc, concat('O', l_orderkey), ws FROM lines
+    UNION ALL SELECT concat('P', p_partkey) AS doc, doc, ws FROM part_words
+    UNION ALL SELECT concat('C', o_orderkey) AS doc, doc,
+                     [concat('Customer#', lpad(CAST(o_custkey AS VARCHAR), 9, '0'))] FROM orders""")
+_cte("mentions", ["documents_"], """
+    SELECT doc, patent_id, pos, pos AS start_orig, pos + length(word_orig) AS end_orig, word_orig
+    FROM (SELECT doc, patent_id, generate_subscripts(ws, 1) - 1 AS pos, unnest(ws) AS word_orig FROM documents_)""")
 _cte("words", ["mentions"], "SELECT DISTINCT word_orig FROM mentions")
 
 # Recogniser output
@@ -306,8 +293,9 @@ _cte("entities", ["tagged"], "SELECT *, ids[1] AS ppi_id FROM tagged WHERE stage
 _IDS = "array_to_string(ids, ',') AS ids"
 
 
-def _per_patent(source: str, columns: str) -> str:
-    return f"SELECT patent_id, {columns} FROM patents LEFT JOIN {source} USING (patent_id) GROUP BY patent_id"
+def _per_document(source: str, columns: str) -> str:
+    return f"""
+        SELECT d.patent_id, {columns} FROM documents_ AS d LEFT JOIN {source} USING (doc) GROUP BY doc, d.patent_id"""
 
 
 def statements() -> dict[str, str]:
@@ -330,15 +318,15 @@ def statements() -> dict[str, str]:
             SELECT CAST(o_orderkey AS VARCHAR) FROM orders WHERE o_orderstatus = 'F')""")
     add("batch_assign", ["files"], f"""
         SELECT file, (row_number() OVER (ORDER BY md5(file), file) - 1) // {BATCH_SIZE} AS batch_id FROM files""")
-    add("compact", ["patents", "mentions"], """
-        SELECT patent_id, count(*) AS n FROM mentions GROUP BY patent_id
-        UNION ALL SELECT patent_id, count(*) FROM mentions WHERE patent_id LIKE 'D%' GROUP BY patent_id""")
-    add("bucketed_roundtrip", ["mentions"], "SELECT patent_id, count(*) AS n FROM mentions GROUP BY patent_id")
+    add("compact", ["documents_"], """
+        SELECT patent_id, len(ws) AS n FROM documents_
+        UNION ALL SELECT patent_id, len(ws) FROM documents_ WHERE patent_id LIKE 'D%'""")
+    add("bucketed_roundtrip", ["documents_"], "SELECT patent_id, len(ws) AS n FROM documents_")
 
     add("rubbish_reasons", ["judged"], "SELECT word_orig, reason FROM judged")
     add("rubbish_filter", ["mentions", "judged"], """
         SELECT patent_id, count(*) FILTER (reason IS NULL) AS kept, count(reason) AS dropped
-        FROM mentions JOIN judged USING (word_orig) GROUP BY patent_id""")
+        FROM mentions JOIN judged USING (word_orig) GROUP BY doc, patent_id""")
     add("strip_tags", [], f"""
         SELECT page_id, md5(regexp_replace(nullif(html, ''), '{_TAGS}', '', 'g')) AS text_md5 FROM pages""")
     add("cas_key", [], f"""
@@ -366,17 +354,17 @@ def statements() -> dict[str, str]:
     add("resolved_only", ["tagged"], f"SELECT patent_id, pos, word_orig, {_IDS} FROM tagged WHERE stage IS NOT NULL")
     add("route_substance", ["substances"], f"SELECT patent_id, pos, word_orig, {_IDS} FROM substances")
     add("route_entity", ["entities"], "SELECT patent_id, pos, word_orig, ppi_id FROM entities")
-    add("publish_substance", ["patents", "substances"], _per_patent("substances", """
+    add("publish_substance", ["documents_", "substances"], _per_document("substances", """
         count(pos) AS n, md5(coalesce(string_agg(array_to_string(ids, ','), ',' ORDER BY pos), '')) AS ids_md5"""))
-    add("publish_entity", ["patents", "entities"], _per_patent("entities", """
+    add("publish_entity", ["documents_", "entities"], _per_document("entities", """
         count(pos) AS n, coalesce(string_agg(ppi_id, ',' ORDER BY pos), '') AS ids"""))
-    add("link_documents", ["patents", "substances", "entities"], f"""
-        SELECT 'substance' AS output, * FROM ({_per_patent("substances", "count(pos) AS n")})
-        UNION ALL SELECT 'entity', * FROM ({_per_patent("entities", "count(pos) AS n")})""")
-    add("renest", ["patents", "mentions", "judged"], _per_patent(
+    add("link_documents", ["documents_", "substances", "entities"], f"""
+        SELECT 'substance' AS output, * FROM ({_per_document("substances", "count(pos) AS n")})
+        UNION ALL SELECT 'entity', * FROM ({_per_document("entities", "count(pos) AS n")})""")
+    add("renest", ["documents_", "mentions", "judged"], _per_document(
         "(SELECT * FROM mentions JOIN judged USING (word_orig) WHERE reason IS NULL)", """
         count(pos) AS n, md5(coalesce(string_agg(word_orig, '|' ORDER BY pos), '')) AS words_md5"""))
-    add("nested_resolved_only", ["patents", "tagged"], _per_patent("tagged", "count(stage) AS n"))
+    add("nested_resolved_only", ["documents_", "tagged"], _per_document("tagged", "count(stage) AS n"))
 
     add("custom_stage", ["words", "dict_name"], f"""
         SELECT word_orig, 'lower' AS stage, {_IDS} FROM words JOIN dict_name ON lower(word_orig) = key

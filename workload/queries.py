@@ -62,6 +62,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 SECTION = "desc"
 BATCH_SIZE = 45
 BUCKETS = 8
+KEYS = ["patent_id", "row_id"]
 _REGISTRY: dict[str, Query] = {}
 
 
@@ -82,7 +83,8 @@ def _ids_text() -> Column:
 
 
 def _flat(documents: DataFrame) -> DataFrame:
-    return flatten_mentions(documents).select("patent_id", "pos", "start_orig", "end_orig", "word_orig")
+    keys = [c for c in KEYS if c in documents.columns]
+    return flatten_mentions(documents, keys).select(*keys, "pos", "start_orig", "end_orig", "word_orig")
 
 
 def _words(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,14 +106,14 @@ def _ingested(spark: SparkSession, sf_dir: str) -> str:
 
 @query("ner_ingest")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _flat(read_mentions(spark, _ingested(spark, sf_dir)))
+    return _flat(read_mentions(spark, _ingested(spark, sf_dir))).drop("row_id")
 
 
 @query("ner_ingest_stream")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     target, offsets = scratch_path(spark, "stream"), scratch_path(spark, "offsets")
     ingest_available(spark, inputs.write_raw_ner(spark, sf_dir), target, offsets, "*.txt.gz")
-    return _flat(read_mentions(spark, target))
+    return _flat(read_mentions(spark, target)).drop("row_id")
 
 
 @query("ner_quarantine")
@@ -334,9 +336,6 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _resolved_words(spark, sf_dir, "unresolved")
 
 
-KEYS = ["patent_id", "row_id"]
-
-
 def _tagged(spark: SparkSession, sf_dir: str, unresolved: bool = False) -> tuple[DataFrame, DataFrame]:
     """The mention documents and their tagged mentions."""
     chain = inputs.chain(spark, sf_dir)
