@@ -173,7 +173,7 @@ def _composition(tokens: Column) -> Column:
                 lambda e: let(
                     F.coalesce(e["follows"], one),
                     lambda a: F.struct(
-                        F.array_position(F.array(*map(F.lit, SYMBOLS)), e["symbol"]).alias("z"),
+                        F.array_position(F.split(F.lit(" ".join(SYMBOLS)), " "), e["symbol"]).alias("z"),
                         (by * a["lower"]).alias("lower"),
                         (by * a["upper"]).alias("upper"),
                     ),
