@@ -62,14 +62,21 @@ def standard_chain(
     name_to_inchikey: DataFrame | None = None,
     resolver: Callable[[list[str]], Iterable[str | None]] | None = None,
     rubbish_scope: str = "all",
+    spare_cas: bool = True,
 ) -> list[Lookup | Discard]:
     """Name, rubbish filter, CAS number, formula, InChIKey, entity.
 
     ``rubbish_scope="unresolved"`` keeps noise words that are dictionary names.
+    The rule for digits fits every CAS number; ``spare_cas=False`` lets it drop
+    them too, which leaves the CAS lookup without a hit.
     """
+
+    def rubbish(word: Column) -> Column:
+        return is_rubbish(word) & cas_key(word).isNull() if spare_cas else is_rubbish(word)
+
     return [
         Lookup("name", names),
-        Discard("rubbish", is_rubbish, resolved=rubbish_scope == "all"),
+        Discard("rubbish", rubbish, resolved=rubbish_scope == "all"),
         Lookup("cas", cas, key=cas_key),
         Lookup("formula", formulas, key=formula_key),
         Lookup("inchikey", inchikeys, names=name_to_inchikey, resolver=resolver),

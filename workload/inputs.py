@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from moniker.functions import composition_key, strip_tags
 from moniker.functions.cas import check_digit
-from moniker.plans import Lookup, standard_chain
+from moniker.plans import Discard, Lookup, standard_chain
 from moniker.sources import build_dictionary, load_order, read_entity_json, read_mentions, scratch_path
 
 # Strings the formula rules reject, one per rule.
@@ -270,7 +270,7 @@ def file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def chain(spark: SparkSession, sf_dir: str, rubbish_scope: str = "all") -> list[Lookup]:
+def chain(spark: SparkSession, sf_dir: str, **options: str | bool) -> list[Lookup | Discard]:
     return standard_chain(
         names=name_dictionary(spark, sf_dir),
         cas=cas_dictionary(spark, sf_dir),
@@ -278,5 +278,5 @@ def chain(spark: SparkSession, sf_dir: str, rubbish_scope: str = "all") -> list[
         inchikeys=inchikey_dictionary(spark, sf_dir),
         entities=entity_dictionary(spark, sf_dir),
         name_to_inchikey=name_to_inchikey(spark, sf_dir),
-        rubbish_scope=rubbish_scope,
+        **options,
     )

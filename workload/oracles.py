@@ -275,17 +275,19 @@ def _first_hits(kept: str) -> str:
     cases = " ".join(f"WHEN {s}.ids IS NOT NULL THEN '{s}'" for s in stages)
     ids = ", ".join(f"{s}.ids" for s in stages)
     return f"""
-    SELECT word_orig, CASE {cases} END AS stage, coalesce({ids}) AS ids
-    FROM judged {joins} WHERE {kept}"""
+    SELECT word_orig, reason IS NULL OR cas_keys.key IS NOT NULL AS clean,
+           CASE {cases} END AS stage, coalesce({ids}) AS ids
+    FROM judged JOIN cas_keys USING (word_orig) {joins} WHERE {kept}"""
 
 
-_HITS = ["judged", "hit_name", "hit_cas", "hit_formula", "hit_inchikey", "hit_entity"]
-_cte("cascade", _HITS, _first_hits("reason IS NULL"))
+_HITS = ["judged", "cas_keys", "hit_name", "hit_cas", "hit_formula", "hit_inchikey", "hit_entity"]
+_cte("cascade", _HITS, f"SELECT word_orig, stage, ids FROM ({_first_hits('true')}) WHERE clean")
+_cte("cascade_strict", _HITS, _first_hits("reason IS NULL"))
 # A rubbish word without a name has no other hit in this scope.
-_cte("cascade_scoped", _HITS, """
-    SELECT word_orig, CASE WHEN reason IS NULL OR stage = 'name' THEN stage END AS stage,
-           CASE WHEN reason IS NULL OR stage = 'name' THEN ids END AS ids
-    FROM (""" + _first_hits("true").replace("SELECT word_orig,", "SELECT word_orig, reason,", 1) + ")")
+_cte("cascade_scoped", _HITS, f"""
+    SELECT word_orig, CASE WHEN clean OR stage = 'name' THEN stage END AS stage,
+           CASE WHEN clean OR stage = 'name' THEN ids END AS ids
+    FROM ({_first_hits('true')})""")
 _cte("tagged", ["mentions", "cascade"], "SELECT * FROM mentions JOIN cascade USING (word_orig)")
 _cte("substances", ["tagged"], "SELECT * FROM tagged WHERE stage <> 'entity'")
 _cte("entities", ["tagged"], "SELECT *, ids[1] AS ppi_id FROM tagged WHERE stage = 'entity' AND length(ids[1]) = 8")
@@ -349,6 +351,8 @@ def statements() -> dict[str, str]:
     add("cascade", ["cascade"], f"SELECT word_orig, stage, {_IDS}, '{SECTION}' AS section FROM cascade")
     add("cascade_keep_names", ["cascade_scoped"], f"""
         SELECT word_orig, stage, {_IDS}, '{SECTION}' AS section FROM cascade_scoped""")
+    add("cascade_drop_cas", ["cascade_strict"], f"""
+        SELECT word_orig, stage, {_IDS}, '{SECTION}' AS section FROM cascade_strict""")
     add("tagged_mentions", ["tagged"], f"""
         SELECT patent_id, pos, word_orig, {_IDS}, stage, '{SECTION}' AS section FROM tagged""")
     add("resolved_only", ["tagged"], f"SELECT patent_id, pos, word_orig, {_IDS} FROM tagged WHERE stage IS NOT NULL")

@@ -318,8 +318,8 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 # The chain
 
 
-def _resolved_words(spark: SparkSession, sf_dir: str, rubbish_scope: str) -> DataFrame:
-    chain = inputs.chain(spark, sf_dir, rubbish_scope)
+def _resolved_words(spark: SparkSession, sf_dir: str, **options: str | bool) -> DataFrame:
+    chain = inputs.chain(spark, sf_dir, **options)
     words = distinct_words(inputs.corpus(spark, sf_dir), chain)
     resolved = kept_words(words).select("word_orig").join(resolve_words(words, chain), "word_orig", "left")
     return resolved.select("word_orig", "stage", _ids_text(), F.lit(SECTION).alias("section"))
@@ -327,13 +327,19 @@ def _resolved_words(spark: SparkSession, sf_dir: str, rubbish_scope: str) -> Dat
 
 @query("cascade")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _resolved_words(spark, sf_dir, "all")
+    return _resolved_words(spark, sf_dir)
 
 
 @query("cascade_keep_names")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rubbish words that are dictionary names stay."""
-    return _resolved_words(spark, sf_dir, "unresolved")
+    return _resolved_words(spark, sf_dir, rubbish_scope="unresolved")
+
+
+@query("cascade_drop_cas")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CAS numbers are rubbish like all words of digits."""
+    return _resolved_words(spark, sf_dir, spare_cas=False)
 
 
 def _tagged(spark: SparkSession, sf_dir: str, unresolved: bool = False) -> tuple[DataFrame, DataFrame]:
