@@ -78,8 +78,8 @@ _cte("documents_", ["lines", "part_words"], """
     UNION ALL SELECT concat('C', o_orderkey) AS doc, doc,
                      [concat('Customer#', lpad(CAST(o_custkey AS VARCHAR), 9, '0'))] FROM orders""")
 _cte("mentions", ["documents_"], """
-    SELECT doc, patent_id, pos, pos AS start_orig, pos + length(word_orig) AS end_orig, word_orig
-    FROM (SELECT doc, patent_id, generate_subscripts(ws, 1) - 1 AS pos, unnest(ws) AS word_orig FROM documents_)""")
+    SELECT doc, patent_id, pos, pos AS start_orig, CAST(pos + length(word_orig) AS INTEGER) AS end_orig, word_orig
+    FROM (SELECT doc, patent_id, CAST(generate_subscripts(ws, 1) - 1 AS INTEGER) AS pos, unnest(ws) AS word_orig FROM documents_)""")
 _cte("words", ["mentions"], "SELECT DISTINCT word_orig FROM mentions")
 
 # Recogniser output
@@ -88,12 +88,12 @@ _cte("ner_lines", [], """
     SELECT doc_id, generate_subscripts(ls, 1) AS line_no, unnest(ls) AS line
     FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents)""")
 _cte("ner_words", ["ner_lines"], """
-    SELECT doc_id, line_no, generate_subscripts(ws, 1) - 1 AS place, unnest(ws) AS word_orig
+    SELECT doc_id, line_no, CAST(generate_subscripts(ws, 1) - 1 AS INTEGER) AS place, unnest(ws) AS word_orig
     FROM (SELECT doc_id, line_no, string_split(line, ' ') AS ws FROM ner_lines)""")
 _cte("ner", ["ner_words"], """
     SELECT CAST(doc_id AS VARCHAR) AS patent_id,
-           row_number() OVER (PARTITION BY doc_id ORDER BY line_no, place) - 1 AS pos,
-           place AS start_orig, place + length(word_orig) AS end_orig, word_orig
+           CAST(row_number() OVER (PARTITION BY doc_id ORDER BY line_no, place) - 1 AS INTEGER) AS pos,
+           place AS start_orig, CAST(place + length(word_orig) AS INTEGER) AS end_orig, word_orig
     FROM ner_words WHERE regexp_matches(word_orig, '^[A-Z]')""")
 _NER = "SELECT patent_id, pos, start_orig, end_orig, word_orig FROM ner"
 
@@ -321,13 +321,13 @@ def statements() -> dict[str, str]:
     add("batch_assign", ["files"], f"""
         SELECT file, (row_number() OVER (ORDER BY md5(file), file) - 1) // {BATCH_SIZE} AS batch_id FROM files""")
     add("compact", ["documents_"], """
-        SELECT patent_id, len(ws) AS n FROM documents_
-        UNION ALL SELECT patent_id, len(ws) FROM documents_ WHERE patent_id LIKE 'D%'""")
-    add("bucketed_roundtrip", ["documents_"], "SELECT patent_id, len(ws) AS n FROM documents_")
+        SELECT patent_id, CAST(len(ws) AS INTEGER) AS n FROM documents_
+        UNION ALL SELECT patent_id, CAST(len(ws) AS INTEGER) FROM documents_ WHERE patent_id LIKE 'D%'""")
+    add("bucketed_roundtrip", ["documents_"], "SELECT patent_id, CAST(len(ws) AS INTEGER) AS n FROM documents_")
 
     add("rubbish_reasons", ["judged"], "SELECT word_orig, reason FROM judged")
     add("rubbish_filter", ["mentions", "judged"], """
-        SELECT patent_id, count(*) FILTER (reason IS NULL) AS kept, count(reason) AS dropped
+        SELECT patent_id, CAST(count(*) FILTER (reason IS NULL) AS INTEGER) AS kept, CAST(count(reason) AS INTEGER) AS dropped
         FROM mentions JOIN judged USING (word_orig) GROUP BY doc, patent_id""")
     add("strip_tags", [], f"""
         SELECT page_id, md5(regexp_replace(nullif(html, ''), '{_TAGS}', '', 'g')) AS text_md5 FROM pages""")
@@ -359,16 +359,16 @@ def statements() -> dict[str, str]:
     add("route_substance", ["substances"], f"SELECT patent_id, pos, word_orig, {_IDS} FROM substances")
     add("route_entity", ["entities"], "SELECT patent_id, pos, word_orig, ppi_id FROM entities")
     add("publish_substance", ["documents_", "substances"], _per_document("substances", """
-        count(pos) AS n, md5(coalesce(string_agg(array_to_string(ids, ','), ',' ORDER BY pos), '')) AS ids_md5"""))
+        CAST(count(pos) AS INTEGER) AS n, md5(coalesce(string_agg(array_to_string(ids, ','), ',' ORDER BY pos), '')) AS ids_md5"""))
     add("publish_entity", ["documents_", "entities"], _per_document("entities", """
-        count(pos) AS n, coalesce(string_agg(ppi_id, ',' ORDER BY pos), '') AS ids"""))
+        CAST(count(pos) AS INTEGER) AS n, coalesce(string_agg(ppi_id, ',' ORDER BY pos), '') AS ids"""))
     add("link_documents", ["documents_", "substances", "entities"], f"""
-        SELECT 'substance' AS output, * FROM ({_per_document("substances", "count(pos) AS n")})
-        UNION ALL SELECT 'entity', * FROM ({_per_document("entities", "count(pos) AS n")})""")
+        SELECT 'substance' AS output, * FROM ({_per_document("substances", "CAST(count(pos) AS INTEGER) AS n")})
+        UNION ALL SELECT 'entity', * FROM ({_per_document("entities", "CAST(count(pos) AS INTEGER) AS n")})""")
     add("renest", ["documents_", "mentions", "judged"], _per_document(
         "(SELECT * FROM mentions JOIN judged USING (word_orig) WHERE reason IS NULL)", """
-        count(pos) AS n, md5(coalesce(string_agg(word_orig, '|' ORDER BY pos), '')) AS words_md5"""))
-    add("nested_resolved_only", ["documents_", "tagged"], _per_document("tagged", "count(stage) AS n"))
+        CAST(count(pos) AS INTEGER) AS n, md5(coalesce(string_agg(word_orig, '|' ORDER BY pos), '')) AS words_md5"""))
+    add("nested_resolved_only", ["documents_", "tagged"], _per_document("tagged", "CAST(count(stage) AS INTEGER) AS n"))
 
     add("custom_stage", ["words", "dict_name"], f"""
         SELECT word_orig, 'lower' AS stage, {_IDS} FROM words JOIN dict_name ON lower(word_orig) = key

@@ -443,8 +443,17 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolve_words(words, chain).select("word_orig", "stage", _ids_text())
 
 
-def _digest_keys(names: list[str]) -> list[str | None]:
-    return [hashlib.md5(name.encode()).hexdigest()[:14].upper() if " " in name else None for name in names]
+def _digest_keys() -> Callable[[list[str]], list[str | None]]:
+    """A stand-in for a name parser: a digest of names of several words.
+
+    An inner function travels to the workers by value, so they need no copy of
+    this module.
+    """
+
+    def answer(names: list[str]) -> list[str | None]:
+        return [hashlib.md5(name.encode()).hexdigest()[:14].upper() if " " in name else None for name in names]
+
+    return answer
 
 
 @query("custom_resolver")
@@ -452,7 +461,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A resolver that answers for names of several words, run on what no name matches."""
     words = _words(spark, sf_dir)
     named = lookup_words(words, inputs.name_dictionary(spark, sf_dir))
-    return resolver_keys(words, _digest_keys, named)
+    return resolver_keys(words, _digest_keys(), named)
 
 
 @query("custom_resolver_chain")
@@ -468,7 +477,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     resolved = build_dictionary(rows, F.col("raw_key"), load_order(F.lit(0), F.col("row")))
     chain = [
         Lookup("name", inputs.name_dictionary(spark, sf_dir)),
-        Lookup("resolver", resolved, resolver=_digest_keys),
+        Lookup("resolver", resolved, resolver=_digest_keys()),
         Lookup("entity", inputs.entity_dictionary(spark, sf_dir), kind="entity"),
     ]
     words = distinct_words(inputs.corpus(spark, sf_dir), chain)
