@@ -4,20 +4,27 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="moniker-")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path under ``spark.checkpoint.dir``.
 
-    Only where the session names no such folder (a local test) is one made on
-    this machine.
+    Only where the session names no such folder, as in a local test, is one made
+    on this machine.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
-        base = tempfile.mkdtemp(prefix="moniker-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        base = _local_folder()
     return f"{base.rstrip('/')}/moniker/{name}-{uuid.uuid4().hex}"
 
 

@@ -1,6 +1,8 @@
 """The chain of lookups, routing and publication."""
 
 import random
+import subprocess
+import sys
 import uuid
 
 import pytest
@@ -189,8 +191,8 @@ def test_compaction(spark):
         documents(spark, [(f"p{i}", ["a", "b"]), (f"q{i}", [])]).drop("row_id").write.parquet(part)
     target = scratch_path(spark, "target")
     schema = "patent_id string, infer_list array<struct<start_orig: int, end_orig: int, word_orig: string>>"
-    for _ in range(2):
-        whole = compact(spark, parts, schema, target, files=2)
+    for files in (2, None):
+        whole = compact(spark, parts, schema, target, files)
         assert sorted(r.patent_id for r in whole.collect()) == ["p0", "p1", "p2", "q0", "q1", "q2"]
         assert whole.select(F.input_file_name()).distinct().count() <= 2
 
@@ -198,3 +200,14 @@ def test_compaction(spark):
 def test_rubbish_flag_is_a_function_of_the_word(spark):
     words = spark.createDataFrame([("x",), ("ethanol",)], "word_orig string")
     assert [r.f for r in words.select(is_rubbish(F.col("word_orig")).alias("f")).collect()] == [True, False]
+
+
+def test_sample_resolver_needs_no_module_on_the_workers(tmp_path):
+    from pyspark import cloudpickle
+
+    from workload.queries import _digest_keys
+
+    (tmp_path / "resolver").write_bytes(cloudpickle.dumps(_digest_keys()))
+    program = "import pickle; print(pickle.load(open('resolver', 'rb'))(['a b', 'ab']))"
+    done = subprocess.run([sys.executable, "-c", program], cwd=tmp_path, env={}, capture_output=True, text=True, timeout=60)
+    assert done.stdout.strip().endswith(", None]"), done.stderr

@@ -170,6 +170,21 @@ def test_entity_dictionary(spark, tmp_path):
         assert {r.key: r.ids for r in found.collect()} == {k: [v] for k, v in names.items()}
 
 
+class _Unset:
+    """A session that names no folder."""
+
+    def __init__(self, master):
+        self.conf = {}
+        self.sparkContext = type("Context", (), {"master": master})
+
+
+def test_scratch_folder_of_its_own_only_on_one_machine():
+    first, second = (scratch_path(_Unset("local[2]"), "x") for _ in range(2))
+    assert first != second and first.rsplit("/", 1)[0] == second.rsplit("/", 1)[0]
+    with pytest.raises(ValueError):
+        scratch_path(_Unset("yarn"), "x")
+
+
 def test_scratch_is_below_the_checkpoint_folder(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     path = scratch_path(spark, "x")
