@@ -27,6 +27,7 @@ from moniker.plans import (
     tag_mentions,
     write_bucketed,
 )
+from moniker.plans.publish import hot_patents
 from moniker.sources import scratch_path
 
 SCHEMA = "patent_id string, row_id long, infer_list array<struct<start_orig: int, end_orig: int, word_orig: string>>"
@@ -157,7 +158,7 @@ def test_publication(spark, tables, hot_floor):
     docs, found = tagged(spark, tables)
     fields = ["start_orig", "end_orig", "word_orig", "subs_ids"]
     name = f"substances_{hot_floor}"
-    table = publish_documents(route_substance(found), docs, fields, name, scratch_path(spark, name), 4, hot_floor=hot_floor)
+    table = publish_documents(route_substance(found), docs, fields, name, scratch_path(spark, name), 4, hot=hot_patents(docs, hot_floor))
     assert lists_of(table, "subs_ids") == [
         ("p1", [("64-17-5", ["c1"])]), ("p1", [("water", ["n1"])]), ("p2", []), ("p3", []), ("p4", [("water", ["n1"])]),
     ]
