@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from moniker.llm.pieces import piece_digests
+from moniker.llm.secrets import find_secrets
+from moniker.llm.toxicity import ToxicityModel, fit_toxicity, score_toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,12 +23,35 @@ def piece_model() -> bytes:
         return file.read()
 
 
+def fold(folds: int) -> Column:
+    """Number of the fold of a document; a null id counts as empty text."""
+    return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(folds))
+
+
+def secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_secrets(table(spark, sf_dir, "documents"))
+
+
+def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> ToxicityModel | float:
+    """Learnt from the labels outside of fold 0."""
+    return fit_toxicity(docs, table(spark, sf_dir, "labels").where(fold(5) != 0))
+
+
+def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = score_toxicity(docs, toxicity_model(spark, docs, sf_dir), ["doc_id"])
+    predicted = (F.col("score") >= 0.5).cast("int").alias("predicted")
+    return scored.select("doc_id", (fold(5) == 0).alias("held_out"), "score", predicted)
+
+
 def pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(table(spark, sf_dir, "documents"), piece_model(), ["doc_id"])
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_secrets": secrets,
+        "op4_toxicity": toxicity,
         "op9_pieces": pieces,
     }
 

@@ -97,11 +97,19 @@ def hash_ranges(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix(out + (ends - starts).astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
 
 
-def words_of(data: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end of every word, and the first word of each row (one more at the end)."""
+def is_letter(data: np.ndarray) -> np.ndarray:
+    """a-z and whatever is not ASCII."""
+    return ((data >= 97) & (data <= 122)) | (data >= 128)
+
+
+def words_of(data: np.ndarray, begins: np.ndarray, inside: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of every word, and the first word of each row (one more at the end).
+
+    ``inside`` tells which bytes belong to words; by default all that are no white space.
+    """
     if not len(data):
         return np.empty(0, np.int64), np.empty(0, np.int64), np.zeros(len(begins), np.int64)
-    inside = ~is_space(data)
+    inside = ~is_space(data) if inside is None else inside
     first = np.zeros(len(data) + 1, bool)
     first[begins] = True
     before = np.empty(len(data), bool)
@@ -113,11 +121,14 @@ def words_of(data: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return starts, ends, np.searchsorted(starts, begins)
 
 
-def hashed_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the lower-cased words of all rows, and the first word of each row (one more at the end)."""
+def hashed_words(column: pa.Array, letters: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the lower-cased words of all rows, and the first word of each row (one more at the end).
+
+    Words are what white space parts, or runs of ``letters``.
+    """
     data, begins = text_bytes(column)
     lowered = lower_ascii(data)
-    starts, ends, rows = words_of(lowered, begins)
+    starts, ends, rows = words_of(lowered, begins, is_letter(lowered) if letters else None)
     return hash_ranges(lowered, starts, ends), rows
 
 
