@@ -13,16 +13,20 @@ not be shown. Where a band's segments would be too small to tell sets apart, hal
 many are used, and each is shown whole and with every one of its shingles left out; then
 similar sets have a segment in which they differ by one shingle at most.
 
-Sets are compared by the full lists of their 64-bit shingle hashes. In every bucket of a
-signature the least set is compared with all others. A set that turns out not to be
-linked with it is compared with the members that lie in another component and that the
-triangle inequality of the Jaccard distance leaves. So no bucket is paired with itself,
-and no link between components is lost.
+In every bucket of a signature the least set is compared with all others; nothing else is
+needed where they prove linked. A set that lies in another component than the least one is
+an outsider and still has to be compared with all sets that share a bucket with the same
+least one, as far as they lie in other components. This is done in blocks: the parities of
+how many shingles fall on each of some bits differ in no more bits than the sets differ in
+shingles, which rules out nearly all pairs exactly; only pairs that stay are written. So no
+pair of linked copies is written beside the star of their least set, and no link between
+components is lost. What stays is decided on the full lists of 64-bit shingle hashes.
 
 Equal sets are one class, known by a 64-bit hash of the set. Signatures that a large
-share of the documents have are found on a sample of ``PROBED`` documents; it decides
-only where the work is done: their least sets are aggregated before the shuffle and their
-rows are matched where they are, so that no task gets them all.
+share of the documents have are found on a sample of ``PROBED`` documents, at most
+``HOT_LIST`` of them; the sample decides only where the work is done: their least sets are
+aggregated before the shuffle and their rows are matched where they are, so that no task
+gets them all.
 
 Null and empty texts have no set and are linked with nothing. Fewer words than a shingle
 has are one shingle. Texts are used whole.
@@ -39,11 +43,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from moniker.llm.graph import components
-from moniker.llm.words import hashed_words, mix, row_chunks
+from moniker.llm.words import groups, hashed_words, mix, row_chunks
 from moniker.sources import materialise
 
 PROBED = 1 << 14
-HOT_SHARE = 512
+HOT_SHARE, HOT_LIST = 512, 1 << 17
+BLOCK = 2048
 # Weighing the ways to show a band: a row costs 1; two segments of t shingles agree by
 # chance, at a cost of COMMON, with probability ODDS**t.
 COMMON, ODDS = 10_000.0, 0.03
@@ -187,8 +192,28 @@ def document_sets(docs: DataFrame, rule: Rule, key: str, text: str) -> DataFrame
     return own.mapInArrow(run, schema)
 
 
-def _sets_of(docs: DataFrame, wanted: DataFrame, rule: Rule, key: str, text: str) -> DataFrame:
-    """(class, set) of the documents in ``wanted`` (id, class), one for each class."""
+def bit_count(n: int) -> int:
+    """Bits of a set's parities: at least as many as shingles, so that sets that differ enough show it."""
+    return 1 << min(max(n.bit_length(), 9), 16)
+
+
+def parities(shingles: np.ndarray) -> bytes:
+    """For each bit, whether an odd number of shingles falls on it."""
+    size = bit_count(len(shingles))
+    odd = np.bincount((shingles & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def _folded(bits: bytes, size: int) -> np.ndarray:
+    """Parities for fewer bits: halves laid over each other."""
+    words = np.frombuffer(bits, np.uint64)
+    while len(words) > size:
+        words = words[: len(words) // 2] ^ words[len(words) // 2 :]
+    return words
+
+
+def _candidates(docs: DataFrame, wanted: DataFrame, rule: Rule, key: str, text: str) -> DataFrame:
+    """(class, n, bits, set) of the documents in ``wanted`` (id, class)."""
     own = docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("text")).join(wanted, "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,64 +221,127 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, rule: Rule, key: str, text: str
             for a, b in row_chunks(batch.column(1)):
                 shingles, begins = shingle_sets(batch.column(1).slice(a, b - a), rule)
                 lists = pa.ListArray.from_arrays(pa.array(begins.astype(np.int32)), pa.array(shingles.view(np.int64)))
+                bits = [parities(shingles[x:y]) for x, y in zip(begins[:-1].tolist(), begins[1:].tolist(), strict=True)]
                 # Another row may have the same id and another text; it is no set of this class.
                 same = pa.array(_class_of(shingles, begins) == batch.column(0).slice(a, b - a).to_numpy())
-                columns = [batch.column(0).slice(a, b - a), lists]
-                yield pa.RecordBatch.from_arrays(columns, names=["class", "set"]).filter(same)
+                columns = [batch.column(0).slice(a, b - a), pa.array(np.diff(begins)), pa.array(bits, pa.binary()), lists]
+                yield pa.RecordBatch.from_arrays(columns, names=["class", "n", "bits", "set"]).filter(same)
+
+    found = own.select("class", "text").mapInArrow(run, "class bigint, n bigint, bits binary, set array<bigint>")
+    return found.dropDuplicates(["class"])
+
 
-    return own.select("class", "text").mapInArrow(run, "class bigint, set array<bigint>")
+def _near(rule: Rule, left: list[np.ndarray], right: list[np.ndarray], n: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """Which sets (rows) the parities leave as partners of which (columns)."""
+    size = min(min(map(len, left)), min(map(len, right)))
+    a, b = (np.stack([_folded(x.tobytes(), size) for x in rows]) for rows in (left, right))
+    step = max(1, (1 << 20) // max(1, b.size))
+    apart = [np.bitwise_count(a[i : i + step, None, :] ^ b[None]).sum(axis=2, dtype=np.int32) for i in range(0, len(a), step)]
+    n, m = n[:, None], m[None]
+    fits = rule.parts * np.minimum(n, m) >= rule.least * np.maximum(n, m)
+    return fits & (np.concatenate(apart) <= rule.differ(n, m))
 
 
-def _measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``pairs`` (a, b) with the sizes and the intersection of their sets."""
-    left, right = sets.toDF("a", "set_a"), sets.toDF("b", "set_b")
+def _pruned(pairs: DataFrame, candidates: DataFrame, rule: Rule) -> DataFrame:
+    """``pairs`` (a, b) that sizes and parities leave."""
+    own = candidates.select("class", "n", "bits")
+    both = pairs.join(own.toDF("a", "n", "x"), "a").join(own.toDF("b", "m", "y"), "b")
+    both = both.where(f"{rule.parts}L * least(n, m) >= {rule.least}L * greatest(n, m)").select("a", "b", "n", "m", "x", "y")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, m = (batch.column(c).to_numpy() for c in ("n", "m"))
+            apart = np.empty(len(n), np.int64)
+            for i, (x, y) in enumerate(zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True)):
+                size = min(len(x), len(y)) // 8
+                apart[i] = np.bitwise_count(_folded(x, size) ^ _folded(y, size)).sum()
+            yield batch.select(["a", "b"]).filter(pa.array(apart <= rule.differ(n, m)))
+
+    return both.mapInArrow(run, "a bigint, b bigint")
+
+
+def _links(pairs: DataFrame, candidates: DataFrame, rule: Rule) -> DataFrame:
+    """Linked ``pairs`` (a, b), by their full sets."""
+    left, right = (candidates.select("class", "set").toDF(*c) for c in (("a", "set_a"), ("b", "set_b")))
     both = pairs.join(left, "a").join(right, "b")
-    common = F.size(F.array_intersect("set_a", "set_b"))
-    return both.select("a", "b", F.size("set_a").alias("n_a"), F.size("set_b").alias("n_b"), common.alias("common"))
+    common = F.size(F.array_intersect("set_a", "set_b")).cast("long").alias("common")
+    measured = both.select("a", "b", (F.size("set_a") + F.size("set_b")).alias("sizes"), common)
+    return measured.where(f"{rule.parts}L * common >= {rule.least}L * (sizes - common)").select("a", "b")
+
+
+def _outsiders(stars: DataFrame, candidates: DataFrame, roots: DataFrame, rule: Rule) -> DataFrame:
+    """Pairs (a, b) of sets that share the least set of some bucket, not the component, and that parities leave.
+
+    One of each pair is an outsider of the star. Outsiders and members are dealt to
+    blocks of ``BLOCK``; each pair of blocks is a group of its own.
+    """
+    root = lambda c: F.coalesce(F.col(c), F.col("class" if c == "root" else "rep"))
+    rows = stars.join(roots.toDF("class", "root"), "class", "left").join(roots.toDF("rep", "home"), "rep", "left")
+    rows = rows.select("rep", "class", root("root").alias("root"), (root("root") != root("home")).alias("out"))
+    sizes = rows.groupBy("rep").agg(F.count(F.lit(1)).alias("k"), F.count_if("out").alias("o")).where("o > 0 and k > 1")
+    blocks = lambda c: F.ceil(F.col(c) / BLOCK).cast("int")
+    sizes = sizes.select("rep", blocks("k").alias("k"), blocks("o").alias("o"))
+    own = rows.join(sizes, "rep").join(candidates.select("class", "n", "bits"), "class")
+    spot = lambda c: F.pmod(F.xxhash64("class"), F.col(c)).cast("int")
+    member = own.select("*", F.lit(False).alias("asks"), F.explode(F.sequence(F.lit(0), F.col("o") - 1)).alias("x"), spot("k").alias("y"))
+    asking = own.where("out").select("*", F.lit(True).alias("asks"), spot("o").alias("x"), F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("y"))
+    dealt = member.unionByName(asking).select("rep", "x", "y", "asks", "class", "root", "out", "n", "bits")
+    dealt = dealt.repartition("rep", "x", "y").sortWithinPartitions("rep", "x", "y")
+
+    def compared(group: pa.Table) -> pa.RecordBatch:
+        asks = group.column("asks").to_numpy()
+        value = {c: group.column(c).to_numpy() for c in ("class", "root", "out", "n")}
+        bits = [np.frombuffer(x, np.uint64) for x in group.column("bits").to_pylist()]
+        i, j = np.flatnonzero(asks), np.flatnonzero(~asks)
+        if not len(i) or not len(j):
+            return pa.RecordBatch.from_arrays([pa.array([], pa.int64())] * 2, names=["a", "b"])
+        near = _near(rule, [bits[k] for k in i], [bits[k] for k in j], value["n"][i], value["n"][j])
+        near &= value["root"][i][:, None] != value["root"][j][None]
+        near &= ~value["out"][j][None] | (value["class"][i][:, None] < value["class"][j][None])
+        x, y = np.nonzero(near)
+        a, b = value["class"][i[x]], value["class"][j[y]]
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in groups(batches, ["rep", "x", "y"]):
+            yield compared(group)
 
-def _linked(rule: Rule):
-    return F.expr(f"{rule.parts}L * common >= {rule.least}L * (n_a + n_b - common)")
+    return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
 
 
 def _buckets(sets: DataFrame) -> DataFrame:
-    """(signature, rep, class): members of signatures that several classes have, with the least of them."""
+    """(rep, class): every class that shares a signature with others, with the least class that has it."""
     shown = sets.where(F.size("signatures") > 0).select("class", F.explode("signatures").alias("signature"))
     rows = sets.count()
     share = min(1.0, PROBED / max(rows, 1))
     probe = shown.where(F.pmod(F.xxhash64("class", F.lit(5)), F.lit(1 << 20)) < int(share * (1 << 20)))
     often = probe.groupBy("signature").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= max(16, share * rows / HOT_SHARE))
-    hot = often.orderBy(F.desc("n"), "signature").limit(1 << 17).select("signature")
-    if hot.isEmpty():
-        hot = None
-        cold = shown
-    else:
-        hot = materialise(hot, "hot-signatures")
-        cold = shown.join(F.broadcast(hot), "signature", "left_anti")
+    hot = materialise(often.orderBy(F.desc("n"), "signature").limit(HOT_LIST).select("signature"), "hot-signatures")
+    cold = shown.join(F.broadcast(hot), "signature", "left_anti")
     own = Window.partitionBy("signature")
-    found = cold.withColumn("rep", F.min("class").over(own)).withColumn("most", F.max("class").over(own))
-    found = found.where("rep < most").select("signature", "rep", "class")
-    if hot is not None:
-        warm = shown.join(F.broadcast(hot), "signature")
-        least = warm.groupBy("signature").agg(F.min("class").alias("rep"), F.max("class").alias("most")).where("rep < most")
-        found = found.unionByName(warm.join(F.broadcast(least), "signature").select("signature", "rep", "class"))
-    return materialise(found, "buckets")
+    found = cold.withColumn("rep", F.min("class").over(own)).where("rep <> class").select("rep", "class")
+    warm = shown.join(F.broadcast(hot), "signature")
+    least = warm.groupBy("signature").agg(F.min("class").alias("rep"))
+    warm = warm.join(F.broadcast(least), "signature").where("rep <> class").select("rep", "class")
+    return materialise(found.union(warm).distinct(), "stars")
 
 
-def jaccard_classes(docs: DataFrame, rule: Rule = Rule(), key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(id, n, class) of every row and (id, root) of the classes that are linked with others."""
+def linked_classes(docs: DataFrame, rule: Rule = Rule(), key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(id, n, component) of every row of ``docs``: the size of its set and the least id linked with it."""
     sets = materialise(document_sets(docs, rule, key, text), "sets")
-    buckets = _buckets(sets)
-    some = sets.where("class is not null and id is not null").groupBy("class").agg(F.min("id").alias("id"), F.min("n").alias("n"))
-    sizes = some.select("class", "n")
-    pairs = buckets.where("class <> rep").select(F.col("rep").alias("a"), F.col("class").alias("b")).distinct()
-    fits = F.expr(f"{rule.parts}L * least(n, m) >= {rule.least}L * greatest(n, m)")
-    pairs = pairs.join(sizes.toDF("a", "n"), "a").join(sizes.toDF("b", "m"), "b")
-    pairs = materialise(pairs, "pairs")
-    asked = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
-    wanted = asked.join(some.select("id", "class"), "class")
-    full = materialise(_sets_of(docs, wanted, rule, key, text), "candidate-sets")
-    measured = materialise(_measured(pairs.select("a", "b"), full), "measured")
-    links = measured.where(_linked(rule)).select("a", "b")
+    stars = _buckets(sets)
+    some = sets.where("class is not null").groupBy("class").agg(F.min("id").alias("id"))
+    asked = stars.select("class").union(stars.select("rep")).distinct()
+    candidates = materialise(_candidates(docs, asked.join(some, "class"), rule, key, text), "candidates")
+    links = materialise(_links(_pruned(stars.toDF("a", "b"), candidates, rule), candidates, rule), "links")
     roots = components(links)
-    return sets, roots, buckets, pairs, measured, full
+    more = materialise(_outsiders(stars, candidates, roots, rule), "outsiders")
+    more = materialise(_links(more, candidates, rule), "links")
+    if not more.isEmpty():
+        roots = components(links.union(more))
+    joined = some.join(roots.toDF("class", "root"), "class")
+    least = joined.groupBy("root").agg(F.min("id").alias("component"))
+    known = joined.join(least, "root").select("class", "component")
+    known = some.join(known, "class", "left").select("class", F.coalesce("component", "id").alias("component"))
+    full = sets.where("class is not null").select("id", "n", "class").join(known, "class").select("id", "n", "component")
+    return full.unionAll(sets.where("class is null").select("id", "n", F.col("id").alias("component")))

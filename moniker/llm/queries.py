@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from moniker.llm.jaccard import linked_classes
 from moniker.llm.pieces import piece_digests
 from moniker.llm.secrets import find_secrets
 from moniker.llm.toxicity import ToxicityModel, fit_toxicity, score_toxicity
@@ -44,6 +45,10 @@ def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold(5) == 0).alias("held_out"), "score", predicted)
 
 
+def jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linked_classes(table(spark, sf_dir, "documents")).toDF("doc_id", "n_shingles", "component_id")
+
+
 def pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(table(spark, sf_dir, "documents"), piece_model(), ["doc_id"])
 
@@ -52,6 +57,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_secrets": secrets,
         "op4_toxicity": toxicity,
+        "op5_jaccard": jaccard,
         "op9_pieces": pieces,
     }
 

@@ -137,3 +137,26 @@ def spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     total = int(lengths.sum())
     shift = np.repeat(starts - np.concatenate([[0], np.cumsum(lengths)[:-1]]), lengths) if len(lengths) else 0
     return np.arange(total, dtype=np.int64) + shift
+
+
+def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Rows of one key after the other, from batches sorted by ``keys``. One group is held at a time."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
+        change = np.zeros(batch.num_rows, bool)
+        for column in columns:
+            change[1:] |= column[1:] != column[:-1]
+        cuts = [0, *np.flatnonzero(change).tolist(), batch.num_rows]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            own = tuple(column[a] for column in columns)
+            if last is not None and own != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+            last = own
+    if held:
+        yield pa.Table.from_batches(held)
