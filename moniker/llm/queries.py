@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moniker.llm.jaccard import linked_classes
+from moniker.llm.mixing import mix_sources
 from moniker.llm.pieces import piece_digests
 from moniker.llm.secrets import find_secrets
 from moniker.llm.toxicity import ToxicityModel, fit_toxicity, score_toxicity
@@ -49,6 +50,48 @@ def jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked_classes(table(spark, sf_dir, "documents")).toDF("doc_id", "n_shingles", "component_id")
 
 
+def mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix_sources(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "finish")
+
+
+MIXING_SQL = r"""
+WITH own AS (
+    SELECT doc_id, source, md5(coalesce(text, '')) AS digest, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS draw,
+        coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size
+    FROM documents
+),
+sizes AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM own GROUP BY source),
+weighed AS (
+    SELECT *, CAST([5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS DOUBLE) AS weight FROM sizes
+),
+ends AS (SELECT *, 3 * source_size AS most, CAST(3 * source_size AS DOUBLE) / weight AS ends FROM weighed),
+levels AS (
+    SELECT *,
+        CAST(sum(source_size) OVER () - coalesce(sum(most) OVER before, 0) AS DOUBLE)
+            / (sum(weight) OVER () - coalesce(sum(weight) OVER before, 0)) AS level
+    FROM ends WINDOW before AS (ORDER BY ends, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+),
+targets AS (
+    SELECT source, source_size, weight,
+        least(CAST(most AS DOUBLE), weight * (SELECT max(level) FROM levels WHERE level <= ends)) AS target
+    FROM levels
+),
+served AS (
+    SELECT own.*, source_size, weight, target, CAST(round(target) AS BIGINT) AS goal,
+        CAST(coalesce(sum(size) OVER (
+            PARTITION BY own.source ORDER BY draw, doc_id, size, digest ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING
+        ), 0) AS BIGINT) AS start
+    FROM own JOIN targets ON own.source IS NOT DISTINCT FROM targets.source
+)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
+    CAST(least(size, greatest(goal - start, 0)) + least(size, greatest(goal - start - source_size, 0))
+        + least(size, greatest(goal - start - 2 * source_size, 0)) AS BIGINT) AS taken,
+    CAST(start + size AS DOUBLE) / weight AS finish
+FROM served
+"""
+
+
 def pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(table(spark, sf_dir, "documents"), piece_model(), ["doc_id"])
 
@@ -58,9 +101,10 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_secrets": secrets,
         "op4_toxicity": toxicity,
         "op5_jaccard": jaccard,
+        "op6_mixing": mixing,
         "op9_pieces": pieces,
     }
 
 
 def statements() -> dict[str, str]:
-    return {}
+    return {"op6_mixing": MIXING_SQL}
