@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moniker.llm.jaccard import linked_classes
+from moniker.llm.lattice import linked_vectors
 from moniker.llm.mixing import mix_sources
 from moniker.llm.pieces import piece_digests
 from moniker.llm.secrets import find_secrets
@@ -92,6 +93,11 @@ FROM served
 """
 
 
+def lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = linked_vectors(table(spark, sf_dir, "embeddings")).toDF("vec_id", "n_links", "component_id")
+    return found.withColumn("kept", F.col("vec_id") == F.col("component_id"))
+
+
 def pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(table(spark, sf_dir, "documents"), piece_model(), ["doc_id"])
 
@@ -102,6 +108,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_toxicity": toxicity,
         "op5_jaccard": jaccard,
         "op6_mixing": mixing,
+        "op8_lattice": lattice,
         "op9_pieces": pieces,
     }
 
