@@ -114,7 +114,7 @@ def cells_of(units: np.ndarray) -> np.ndarray:
 
 
 def sketches(units: np.ndarray) -> np.ndarray:
-    """64 signs of each vector."""
+    """64 signs of each vector, as the bits of a number."""
     signs = units @ _drawn(units.shape[1])[2] >= 0
     return np.packbits(signs, axis=1, bitorder="little").view(np.int64)[:, 0]
 
@@ -169,7 +169,7 @@ def _promising(cells: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for cell in _several(groups(batches, ["cell"]), 4 * BLOCK):
-            sketch, home = cell.column("sketch").to_numpy(), cell.column("home").to_numpy()
+            sketch, home = cell.column("sketch").to_numpy().view(np.uint64), cell.column("home").to_numpy()
             value = cell.column("cell").to_numpy()
             starts = np.flatnonzero(np.concatenate([[True], value[1:] != value[:-1]]))
             i, j = _pairs(np.diff(np.append(starts, len(value))))
