@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from moniker.llm.jaccard import linked_classes
 from moniker.llm.lattice import linked_vectors
 from moniker.llm.mixing import mix_sources
+from moniker.llm.nearest import nearest
 from moniker.llm.pieces import piece_digests
 from moniker.llm.secrets import find_secrets
 from moniker.llm.toxicity import ToxicityModel, fit_toxicity, score_toxicity
@@ -98,6 +99,11 @@ def lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("kept", F.col("vec_id") == F.col("component_id"))
 
 
+def neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+    return found.toDF("query_id", "rank", "vec_id", "score")
+
+
 def pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(table(spark, sf_dir, "documents"), piece_model(), ["doc_id"])
 
@@ -108,6 +114,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_toxicity": toxicity,
         "op5_jaccard": jaccard,
         "op6_mixing": mixing,
+        "op7_neighbours": neighbours,
         "op8_lattice": lattice,
         "op9_pieces": pieces,
     }
