@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from moniker.llm.jaccard import linked_classes
 from moniker.llm.lattice import linked_vectors
+from moniker.llm.maxent import ROUNDS, score_texts
 from moniker.llm.mixing import mix_sources
 from moniker.llm.nearest import nearest
 from moniker.llm.pieces import piece_digests
@@ -108,6 +109,12 @@ def pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(table(spark, sf_dir, "documents"), piece_model(), ["doc_id"])
 
 
+def language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", fold(10) == 0)
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(ROUNDS))
+    return score_texts(docs, ~F.col("held_out"), ["doc_id", "held_out"], part)
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_secrets": secrets,
@@ -117,6 +124,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_neighbours": neighbours,
         "op8_lattice": lattice,
         "op9_pieces": pieces,
+        "op10_language_model": language_model,
     }
 
 
