@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from moniker.llm.cotrain import fit_quality, score_quality
 from moniker.llm.jaccard import linked_classes
 from moniker.llm.lattice import linked_vectors
+from moniker.llm.licenses import find_licenses, license_sql
 from moniker.llm.maxent import ROUNDS, score_texts
 from moniker.llm.mixing import mix_sources
 from moniker.llm.nearest import nearest
@@ -33,6 +35,18 @@ def fold(folds: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(folds))
 
 
+def cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, meta = table(spark, sf_dir, "documents"), ["lang", "source", "n_chars"]
+    model = fit_quality(docs, table(spark, sf_dir, "labels").where(fold(5) != 0), meta, learnable=fold(5) != 0)
+    scored = score_quality(docs, model, meta, ["doc_id"])
+    predicted = (F.col("score") >= 0.5).cast("int").alias("predicted")
+    return scored.select("doc_id", (fold(5) == 0).alias("held_out"), "score", predicted)
+
+
+def licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_licenses(table(spark, sf_dir, "documents"))
+
+
 def secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(table(spark, sf_dir, "documents"))
 
@@ -117,6 +131,8 @@ def language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_cotraining": cotraining,
+        "op2_licenses": licenses,
         "op3_secrets": secrets,
         "op4_toxicity": toxicity,
         "op5_jaccard": jaccard,
@@ -129,4 +145,4 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def statements() -> dict[str, str]:
-    return {"op6_mixing": MIXING_SQL}
+    return {"op2_licenses": license_sql(), "op6_mixing": MIXING_SQL}

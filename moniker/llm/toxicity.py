@@ -34,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from moniker.llm.logistic import fit_logistic
 from moniker.llm.words import hashed_words, mix, row_chunks
 from moniker.sources import materialise
 
@@ -103,24 +104,6 @@ def _features(ratio: np.ndarray, words: np.ndarray) -> np.ndarray:
     return np.stack([np.ones(len(n)), ratio / n, ratio / np.sqrt(n)], axis=1)
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-3, steps: int = 50) -> np.ndarray:
-    """Weighted logistic regression by damped Newton steps; columns are scaled for the ridge."""
-    scale = np.maximum(np.abs(x).max(axis=0), 1e-9)
-    x, w = x / scale, np.zeros(x.shape[1])
-    loss = lambda w: weight @ np.logaddexp(0, np.where(y > 0, -1, 1) * (x @ w)) + ridge * w @ w / 2
-    for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -35, 35)))
-        gradient = x.T @ (weight * (p - y)) + ridge * w
-        step = np.linalg.solve((x * (weight * p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w)), gradient)
-        size = 1.0
-        while size > 1e-4 and loss(w - size * step) > loss(w):
-            size /= 2
-        w = w - size * step
-        if np.abs(size * step).max() < 1e-8:
-            break
-    return w / scale
-
-
 def _labelled(docs: DataFrame, labels: DataFrame, text: str, key: str, label: str, sample: int) -> DataFrame:
     """(id, toxic, text) of at most ``sample`` rows of each class. The list of ids is so bounded, hence broadcast.
 
@@ -214,7 +197,7 @@ def fit_toxicity(
     toxic = told["toxic"].to_numpy()
     weight = np.where(toxic == 1, shares[0] / (toxic == 1).sum(), (shares[1] - shares[0]) / (toxic == 0).sum())
     x = _features(told["__ratio"].to_numpy(), told["__words"].to_numpy())
-    model.weights = _logistic(x, toxic, weight / weight.sum() * len(weight))
+    model.weights = fit_logistic(x, toxic, weight / weight.sum() * len(weight))
     return model
 
 
