@@ -19,6 +19,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -274,6 +275,16 @@ class Units:
         sums = np.concatenate([[0], np.cumsum(np.fromiter(map(len, self.ids), np.int64, len(self.ids))[self.which])])
         return np.diff(sums[self.begins])
 
+    def flat_ids(self, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all rows, each ended by ``end``, and the first of each row (one more at the end)."""
+        sizes = np.fromiter(map(len, self.ids), np.int64, len(self.ids))
+        whole = np.fromiter(chain(chain.from_iterable(self.ids), [end]), np.int32, int(sizes.sum()) + 1)
+        starts, sizes = np.concatenate([[0], np.cumsum(sizes)]), np.append(sizes, 1)
+        placed = np.insert(self.which, self.begins[1:], len(self.ids))
+        sizes = sizes[placed]
+        first = np.concatenate([[0], np.cumsum(sizes)])[self.begins + np.arange(len(self.begins))]
+        return whole[spread(starts[placed], sizes)], first
+
     def rows(self, values: tuple) -> Iterator[Iterator]:
         """For each row what ``values`` has for its units, in order."""
         own, which = values.__getitem__, self.which.tolist()
@@ -316,13 +327,6 @@ class Encoder:
                 found[i] = self.seen[keys[i]] = unit
         return Units(found, which, np.searchsorted(starts, begins))
 
-    def rows(self, column: pa.Array) -> Iterator[list[int]]:
-        """Ids of each row, with the end id."""
-        for a, b in row_chunks(column, 2 * CHUNK):
-            units = self.units(column.slice(a, b - a))
-            for row in units.rows(units.ids):
-                yield [i for ids in row for i in ids] + [self.model.end]
-
 
 def encode_pieces(df: DataFrame, model: bytes, text: str = "text", ids: str = "ids") -> DataFrame:
     """All columns of ``df`` and ``ids`` (array<int>), ended by the end id.
@@ -336,8 +340,9 @@ def encode_pieces(df: DataFrame, model: bytes, text: str = "text", ids: str = "i
         encoder = Encoder(model)
         for batch in batches:
             column = batch.column(rest.index(text))
-            for a, b in row_chunks(column):
-                found = pa.array(list(encoder.rows(column.slice(a, b - a))), pa.list_(pa.int32()))
+            for a, b in row_chunks(column, 2 * CHUNK):
+                flat, first = encoder.units(column.slice(a, b - a)).flat_ids(encoder.model.end)
+                found = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(flat))
                 yield pa.RecordBatch.from_arrays([*batch.slice(a, b - a).columns, found], names=[*rest, ids])
 
     return df.select(*[F.col(f"`{c}`") for c in rest]).mapInArrow(run, schema)

@@ -11,7 +11,7 @@ A document counts once for each of its words, at its first occurrence; this keep
 documents that repeat themselves from deciding anything. Its evidence is the sum of the
 log-likelihood ratios beyond ``NEUTRAL``, taken per word and per square root of the words,
 and its score the logistic function of these; the coefficients come from labelled rows that
-the counts have not seen.
+the counts they are told by have not seen.
 
 The models are fitted on at most ``SAMPLE`` labelled rows of each class, picked by a hash
 of their id. They are arrays of fixed size (words hash to 2**20 places, bigrams to 2**21),
@@ -20,8 +20,8 @@ the tasks that read them.
 
 Null texts are empty; an empty text has the score that the share of toxic labels gives.
 Rows whose label is null are not learnt from; of several labels of one id the highest
-counts, of several texts the greatest. Without labels of both classes every score is the
-share of toxic labels (0 without any).
+counts, of several texts the greatest. With too few labels of a class for all folds
+every score is the share of toxic labels (0 without any).
 """
 
 from __future__ import annotations
@@ -30,6 +30,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,6 +44,7 @@ DISCOUNT, PAIR_DISCOUNT = 5.0, 50.0
 NEUTRAL = 2.0  # log-likelihood ratios up to this say nothing, as style and subject make as much
 SHORT = 20.0  # texts of fewer words are treated as if they were longer
 WORD_BITS, PAIR_BITS = 20, 21
+FOLDS = 4
 START = np.uint64(0x243F6A8885A308D3)
 
 
@@ -121,52 +123,67 @@ def _labelled(docs: DataFrame, labels: DataFrame, text: str, key: str, label: st
 
 
 def _pairs(rows: DataFrame) -> DataFrame:
-    """(context, word, n0, n1): after how many different words each class has a pair of places."""
+    """(context, word, and counts): after how many different words each class has a pair of places.
+
+    ``n0`` and ``n1`` are counted in all rows, ``n0_f`` and ``n1_f`` in all but those of fold f.
+    """
     mask = (1 << WORD_BITS) - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            toxic = batch.column("toxic").to_numpy(zero_copy_only=False)
+            toxic, fold = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("toxic", "fold"))
             for a, b in row_chunks(batch.column("text")):
                 ahead, context, word, begins = _places(batch.column("text").slice(a, b - a))
                 triple = ahead << 2 * WORD_BITS | context << WORD_BITS | word
-                kind = np.repeat(toxic[a:b], np.diff(begins))
-                keys, which = np.unique(triple, return_inverse=True)
-                n = [np.bincount(which[kind == k], minlength=len(keys)) > 0 for k in (0, 1)]
-                arrays = [pa.array(c.astype(np.int64)) for c in (keys, *n)]
-                yield pa.RecordBatch.from_arrays(arrays, names=["triple", "n0", "n1"])
-
-    found = rows.select("toxic", "text").mapInArrow(run, "triple bigint, n0 bigint, n1 bigint")
-    triples = found.groupBy("triple").agg(F.max("n0").alias("n0"), F.max("n1").alias("n1"))
+                mark = np.repeat(toxic[a:b] * FOLDS + fold[a:b], np.diff(begins))
+                arrays = [pa.array(triple), pa.array((1 << mark).astype(np.int32))]
+                yield pa.RecordBatch.from_arrays(arrays, names=["triple", "marks"])
+
+    found = rows.select("toxic", "fold", "text").mapInArrow(run, "triple bigint, marks int")
+    triples = found.groupBy("triple").agg(F.bit_or("marks").alias("marks"))
     context = F.shiftright("triple", WORD_BITS).bitwiseAND(mask).alias("context")
-    pairs = triples.select(context, F.col("triple").bitwiseAND(mask).alias("word"), "n0", "n1")
-    return pairs.groupBy("context", "word").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    counts = []
+    for k in (0, 1):
+        for f in (None, *range(FOLDS)):
+            own = sum(1 << (k * FOLDS + g) for g in range(FOLDS) if g != f)
+            counts.append(F.count_if(F.col("marks").bitwiseAND(own) != 0).cast("int").alias(_name(k, f)))
+    pairs = triples.select(context, F.col("triple").bitwiseAND(mask).alias("word"), "marks")
+    return pairs.groupBy("context", "word").agg(*counts)
 
 
-def _arrays(pairs: DataFrame, discount: float, pair_discount: float) -> ToxicityModel:
-    """Fill the arrays of the model from counted pairs. Each result has at most one row per place."""
-    left = [F.greatest(F.col(f"n{k}") - pair_discount, F.lit(0.0)).alias(f"d{k}") for k in (0, 1)]
-    kinds = [F.count_if(F.col(f"n{k}") > 0).alias(f"c{k}") for k in (0, 1)]
-    word = pairs.groupBy("word").agg(*kinds).toPandas()
-    context = pairs.select("context", "n0", "n1", *left).groupBy("context")
-    context = context.agg(*[F.sum(c).alias(c) for c in ("n0", "n1", "d0", "d1")]).toPandas()
-    often = pairs.where(F.greatest("n0", "n1") > pair_discount).select("context", "word", *left).toPandas()
+def _name(kind: int, fold: int | None) -> str:
+    return f"n{kind}" if fold is None else f"n{kind}_{fold}"
+
 
+def _arrays(pairs: DataFrame, fold: int | None, discount: float, pair_discount: float) -> ToxicityModel:
+    """Fill the arrays of the model from counted pairs. Each result has at most one row per place."""
+    pairs = pairs.select("context", "word", *[F.col(_name(k, fold)).alias(f"n{k}") for k in (0, 1)])
+    left = [F.greatest(F.col(f"n{k}") - pair_discount, F.lit(0.0)).cast("float").alias(f"d{k}") for k in (0, 1)]
+    kinds = [F.count_if(F.col(f"n{k}") > 0).cast("int").alias(f"c{k}") for k in (0, 1)]
+    place = F.col("word").cast("int").alias("word")
     size = 1 << WORD_BITS
+    model = ToxicityModel(*[np.zeros((2, size), np.float32) for _ in range(3)], np.zeros((2, 1 << PAIR_BITS), np.float32), np.zeros(3))
+    word = pairs.groupBy(place).agg(*kinds).toPandas()
     shared = np.zeros(size)
     shared[word["word"]] = (word["c0"] > 0).astype(int) + (word["c1"] > 0)
     shared = (shared + 0.5) / (shared.sum() + 0.5 * size)
-    model = ToxicityModel(*[np.zeros((2, size), np.float32) for _ in range(3)], np.zeros((2, 1 << PAIR_BITS), np.float32), np.zeros(3))
-    place = _pair_place(often["context"].to_numpy(np.int64), often["word"].to_numpy(np.int64))
     for k in (0, 1):
         kept = np.zeros(size)
         kept[word["word"]] = np.maximum(word[f"c{k}"] - discount, 0)
         total = max(word[f"c{k}"].sum(), 1)
         model.word[k] = kept / total + (1 - kept.sum() / total) * shared
+    del word, shared
+    context = pairs.select(F.col("context").cast("int").alias("context"), "n0", "n1", *left).groupBy("context")
+    context = context.agg(*[F.sum(c).cast("float").alias(c) for c in ("n0", "n1", "d0", "d1")]).toPandas()
+    for k in (0, 1):
         model.seen[k][context["context"]] = context[f"n{k}"]
         model.rest[k] = 1
         model.rest[k][context["context"]] = 1 - context[f"d{k}"] / np.maximum(context[f"n{k}"], 1)
-        np.add.at(model.pair[k], place, often[f"d{k}"].to_numpy(np.float32))
+    del context
+    often = pairs.where(F.greatest("n0", "n1") > pair_discount).select("context", "word", *left).toPandas()
+    at = _pair_place(often["context"].to_numpy(np.int64), often["word"].to_numpy(np.int64))
+    for k in (0, 1):
+        np.add.at(model.pair[k], at, often[f"d{k}"].to_numpy(np.float32))
     return model
 
 
@@ -180,23 +197,29 @@ def fit_toxicity(
     discount: float = DISCOUNT,
     pair_discount: float = PAIR_DISCOUNT,
 ) -> ToxicityModel | float:
-    """A model from labelled rows, or the share of toxic labels where a class has none.
+    """A model from labelled rows, or the share of toxic labels where a class has too few.
 
-    Three quarters of the sample are counted, the other quarter sets the coefficients,
-    weighted so that the classes have the shares they have among all labels.
+    The evidence of each of ``FOLDS`` parts of the sample is told by a model of the others.
+    All parts together set the coefficients, weighted so that the classes have the shares
+    they have among all labels. The model returned has counted the whole sample.
     """
     spark = docs.sparkSession
     shares = labels.where(F.col(label).isNotNull()).agg(F.count_if(F.col(label) > 0), F.count(F.lit(1))).first()
     rows = materialise(_labelled(docs, labels, text, key, label, sample), "toxicity-sample")
-    rows = rows.withColumn("part", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(4)))
-    have = {(r["toxic"], r["held"]) for r in rows.select("toxic", (F.col("part") == 0).alias("held")).distinct().collect()}
-    if len(have) < 4:
+    rows = rows.withColumn("fold", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(FOLDS)).cast("int"))
+    if rows.select("toxic", "fold").distinct().count() < 2 * FOLDS:
         return shares[0] / max(shares[1], 1)
-    model = _arrays(materialise(_pairs(rows.where("part <> 0")), "toxicity-pairs"), discount, pair_discount)
-    told = _told(rows.where("part = 0"), spark.sparkContext.broadcast(model), ["toxic"]).select("toxic", "__ratio", "__words").toPandas()
+    pairs = materialise(_pairs(rows), "toxicity-pairs")
+    parts = []
+    for f in range(FOLDS):
+        shipped = spark.sparkContext.broadcast(_arrays(pairs, f, discount, pair_discount))
+        parts.append(_told(rows.where(F.col("fold") == f), shipped, ["toxic"]).select("toxic", "__ratio", "__words").toPandas())
+        shipped.destroy()
+    told = pd.concat(parts)
     toxic = told["toxic"].to_numpy()
     weight = np.where(toxic == 1, shares[0] / (toxic == 1).sum(), (shares[1] - shares[0]) / (toxic == 0).sum())
     x = _features(told["__ratio"].to_numpy(), told["__words"].to_numpy())
+    model = _arrays(pairs, None, discount, pair_discount)
     model.weights = fit_logistic(x, toxic, weight / weight.sum() * len(weight))
     return model
 
