@@ -210,10 +210,11 @@ def _near_pairs(table: pa.Table, group: str, least: float) -> tuple[np.ndarray,
     block, x, y = (table.column(c).to_numpy() for c in ("block", "x", "y"))
     edge = (value[1:] != value[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1])
     starts = np.flatnonzero(np.concatenate([[True], edge]))
-    units = unit(np.stack(table.column("vector").combine_chunks().to_numpy(zero_copy_only=False)))
+    vectors = table.column("vector").combine_chunks().to_numpy(zero_copy_only=False)
     found = []
     for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(value)], strict=True):
-        near = np.triu(units[a:b] @ units[a:b].T >= least, 1)
+        units = unit(np.stack(vectors[a:b]))
+        near = np.triu(units @ units.T >= least, 1)
         if x[a] != y[a]:
             near &= block[a:b, None] != block[None, a:b]
         i, j = np.nonzero(near)
