@@ -18,9 +18,11 @@ needed where they prove linked. A set that lies in another component than the le
 an outsider and still has to be compared with all sets that share a bucket with the same
 least one, as far as they lie in other components. This is done in blocks: the parities of
 how many shingles fall on each of some bits differ in no more bits than the sets differ in
-shingles, which rules out nearly all pairs exactly; only pairs that stay are written. So no
-pair of linked copies is written beside the star of their least set, and no link between
-components is lost. What stays is decided on the full lists of 64-bit shingle hashes.
+shingles, which rules out nearly all pairs exactly. Of the pairs that stay, each block gives
+only a spanning forest, which is decided on the full lists of 64-bit shingle hashes; then
+components have grown, and this is done again, ``FORESTS`` times, until few pairs between
+components are left, which are then decided all. So no group of linked copies is written as
+pairs, and no link between components is lost.
 
 Equal sets are one class, known by a 64-bit hash of the set. Signatures that a large
 share of the documents have are found on a sample of ``PROBED`` documents, at most
@@ -48,7 +50,8 @@ from moniker.sources import materialise
 
 PROBED = 1 << 14
 HOT_SHARE, HOT_LIST = 512, 1 << 17
-BLOCK = 2048
+BLOCK = 512
+FORESTS = 4
 # Weighing the ways to show a band: a row costs 1; two segments of t shingles agree by
 # chance, at a cost of COMMON, with probability ODDS**t.
 COMMON, ODDS = 10_000.0, 0.03
@@ -269,11 +272,32 @@ def _links(pairs: DataFrame, candidates: DataFrame, rule: Rule) -> DataFrame:
     return measured.where(f"{rule.parts}L * common >= {rule.least}L * (sizes - common)").select("a", "b")
 
 
-def _outsiders(stars: DataFrame, candidates: DataFrame, roots: DataFrame, rule: Rule) -> DataFrame:
+def _spanning(x: np.ndarray, y: np.ndarray, part: np.ndarray) -> np.ndarray:
+    """Numbers of edges (x, y) that join what all of them join, none twice. ``part``: what is joined already."""
+    part = np.unique(part, return_inverse=True)[1]
+    taken = []
+    while True:
+        a, b = part[x], part[y]
+        open_ = np.flatnonzero(a != b)
+        if not len(open_):
+            return np.concatenate(taken) if taken else open_
+        low, high = np.minimum(a[open_], b[open_]), np.maximum(a[open_], b[open_])
+        order = np.lexsort((low, high))
+        first = order[np.concatenate([[True], high[order][1:] != high[order][:-1]])]
+        taken.append(open_[first])
+        to = np.arange(part.max() + 1)
+        to[high[first]] = low[first]
+        while (to[to] != to).any():
+            to = to[to]
+        part = to[part]
+
+
+def _outsiders(stars: DataFrame, candidates: DataFrame, roots: DataFrame, rule: Rule, forest: bool) -> DataFrame:
     """Pairs (a, b) of sets that share the least set of some bucket, not the component, and that parities leave.
 
     One of each pair is an outsider of the star. Outsiders and members are dealt to
-    blocks of ``BLOCK``; each pair of blocks is a group of its own.
+    blocks of ``BLOCK``; each pair of blocks is a group of its own. A ``forest`` has only as
+    many pairs of each group as would join all that the others would.
     """
     root = lambda c: F.coalesce(F.col(c), F.col("class" if c == "root" else "rep"))
     rows = stars.join(roots.toDF("class", "root"), "class", "left").join(roots.toDF("rep", "home"), "rep", "left")
@@ -299,7 +323,11 @@ def _outsiders(stars: DataFrame, candidates: DataFrame, roots: DataFrame, rule:
         near &= value["root"][i][:, None] != value["root"][j][None]
         near &= ~value["out"][j][None] | (value["class"][i][:, None] < value["class"][j][None])
         x, y = np.nonzero(near)
-        a, b = value["class"][i[x]], value["class"][j[y]]
+        x, y = i[x], j[y]
+        if forest:
+            kept = _spanning(x, y, value["root"])
+            x, y = x[kept], y[kept]
+        a, b = value["class"][x], value["class"][y]
         return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -335,10 +363,14 @@ def linked_classes(docs: DataFrame, rule: Rule = Rule(), key: str = "doc_id", te
     candidates = materialise(_candidates(docs, asked.join(some, "class"), rule, key, text), "candidates")
     links = materialise(_links(_pruned(stars.toDF("a", "b"), candidates, rule), candidates, rule), "links")
     roots = components(links)
-    more = materialise(_outsiders(stars, candidates, roots, rule), "outsiders")
-    more = materialise(_links(more, candidates, rule), "links")
-    if not more.isEmpty():
-        roots = components(links.union(more))
+    for turn in range(FORESTS + 1):
+        more = materialise(_outsiders(stars, candidates, roots, rule, forest=turn < FORESTS), "outsiders")
+        if more.isEmpty():
+            break
+        more = materialise(_links(more, candidates, rule), "links")
+        if not more.isEmpty():
+            links = links.union(more)
+            roots = components(links)
     joined = some.join(roots.toDF("class", "root"), "class")
     least = joined.groupBy("root").agg(F.min("id").alias("component"))
     known = joined.join(least, "root").select("class", "component")
