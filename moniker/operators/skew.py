@@ -7,42 +7,44 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# At most this many keys are spread. A key outside the list has, at most, the
-# share 1/HOT_LIMIT of all rows; the list itself is 8 bytes per key.
-HOT_LIMIT = 1000
+from moniker.sources.scratch import materialise
+
+# A key with so many rows or more is spread, over PLACES places for each so many. Where such
+# keys have over HOT_FLOOR * HOT_PARTS rows together, it takes a share of 1/HOT_PARTS of
+# them, so that there are at most HOT_PARTS hot keys, which bounds the list of 12 bytes a
+# key that is broadcast.
 HOT_FLOOR = 1_000_000
-FANOUT = 64
+HOT_PARTS = 100_000
+PLACES = 4
 
 
-def top_keys(counted: DataFrame, key: str, n: str, floor: int = HOT_FLOOR, limit: int = HOT_LIMIT) -> DataFrame:
-    """Hashes of the ``limit`` most frequent keys that have ``floor`` rows or more.
+def _hot(counted: DataFrame, floor: int) -> DataFrame:
+    """``(hot_hash, fanout)`` of ``(hash, n)``: each hash above the floor and its number of places.
 
     Two keys with one hash are spread alike on both sides of the join, which is
     harmless.
     """
-    frequent = counted.where(F.col(n) >= floor).select(F.xxhash64(key).alias("hot_hash"), n)
-    return frequent.orderBy(F.desc(n), "hot_hash").limit(limit).select("hot_hash").distinct()
+    hot = materialise(counted.where(F.col("n") >= floor), "hot")
+    total = hot.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    rows = max(floor, total // HOT_PARTS)
+    places = F.ceil(PLACES * F.col("n") / rows).cast("int")
+    return hot.where(F.col("n") >= rows).select(F.col("hash").alias("hot_hash"), places.alias("fanout"))
 
 
-def hot_keys(
-    rows: DataFrame,
-    key: str,
-    weight: Column | None = None,
-    floor: int = HOT_FLOOR,
-    limit: int = HOT_LIMIT,
-) -> DataFrame:
-    """``top_keys`` of rows that are yet to be counted; a row counts as its ``weight``."""
+def top_keys(counted: DataFrame, key: str, n: str, floor: int = HOT_FLOOR) -> DataFrame:
+    """Hot keys of rows that are counted already."""
+    return _hot(counted.groupBy(F.xxhash64(key).alias("hash")).agg(F.sum(n).alias("n")), floor)
+
+
+def hot_keys(rows: DataFrame, key: str, weight: Column | None = None, floor: int = HOT_FLOOR) -> DataFrame:
+    """Hot keys of rows that are yet to be counted; a row counts as its ``weight``."""
     n = F.count(F.lit(1)) if weight is None else F.sum(weight)
-    counted = rows.groupBy(F.xxhash64(key).alias("hash")).agg(n.alias("n"))
-    hot = counted.where(F.col("n") >= floor).orderBy(F.desc("n"), "hash").limit(limit)
-    return hot.select(F.col("hash").alias("hot_hash"))
+    return _hot(rows.groupBy(F.xxhash64(key).alias("hash")).agg(n.alias("n")), floor)
 
 
 def mark_hot(rows: DataFrame, key: str, hot: DataFrame) -> DataFrame:
-    """Add ``is_hot``. ``hot`` has no more rows than its limit, so it is broadcast."""
-    known = F.broadcast(hot.withColumn("is_hot", F.lit(True)))
-    marked = rows.join(known, F.xxhash64(rows[key]) == known["hot_hash"], "left").drop("hot_hash")
-    return marked.withColumn("is_hot", F.coalesce("is_hot", F.lit(False)))
+    """Add ``fanout``, null for keys that are not hot. ``hot`` is bounded by its floor, so it is broadcast."""
+    return rows.join(F.broadcast(hot), F.xxhash64(rows[key]) == hot["hot_hash"], "left").drop("hot_hash")
 
 
 def spread_join(
@@ -52,15 +54,19 @@ def spread_join(
     hot: DataFrame,
     spread_by: Sequence[str],
     how: str = "inner",
-    fanout: int = FANOUT,
 ) -> DataFrame:
     """Equi-join of ``many`` rows with at most ``one`` row per key.
 
-    Rows of a hot key go to ``fanout`` places by their ``spread_by`` columns and
-    the single matching row is copied to each; all other keys join as usual.
+    Keys that are not hot join on the key alone, so a bucketed ``one`` stays in
+    place. Rows of a hot key go to several places by their ``spread_by`` columns
+    and the single matching row, read once more, is copied to each.
     """
-    slot = F.pmod(F.xxhash64(*spread_by), F.lit(fanout)).cast("int")
-    salted = mark_hot(many, key, hot).withColumn("salt", F.when(F.col("is_hot"), slot).otherwise(0))
-    slots = F.when(F.col("is_hot"), F.sequence(F.lit(0), F.lit(fanout - 1))).otherwise(F.array(F.lit(0)))
-    copies = mark_hot(one, key, hot).withColumn("salt", F.explode(slots)).drop("is_hot")
-    return salted.drop("is_hot").join(copies, [key, "salt"], how).drop("salt")
+    if hot.isEmpty():
+        return many.join(one, key, how)
+    marked = mark_hot(many, key, hot)
+    cold = marked.where(F.col("fanout").isNull()).drop("fanout").join(one, key, how)
+    slot = F.pmod(F.xxhash64(*spread_by), F.col("fanout")).cast("int")
+    salted = marked.where(F.col("fanout").isNotNull()).withColumn("salt", slot).drop("fanout")
+    copies = mark_hot(one, key, hot).where(F.col("fanout").isNotNull())
+    copies = copies.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("fanout") - 1))).drop("fanout")
+    return cold.unionByName(salted.join(copies, [key, "salt"], how).drop("salt"))

@@ -88,17 +88,23 @@ def _key_column(step: Lookup) -> str:
     return f"key_{step.name}"
 
 
+def _flagged(chain: Sequence[Lookup | Discard], resolved: bool) -> Column:
+    flags = [step.flag(F.col("word_orig")) for step in chain if isinstance(step, Discard) and step.resolved == resolved]
+    return reduce(Column.__or__, flags, F.lit(False))
+
+
 def _dropped(chain: Sequence[Lookup | Discard]) -> Column:
     """Whether an unconditional discard step drops the word.
 
     Such a step drops a word wherever it stands in the chain.
     """
-    flags = [step.flag(F.col("word_orig")) for step in chain if isinstance(step, Discard) and step.resolved]
-    return reduce(Column.__or__, flags, F.lit(False))
+    return _flagged(chain, True)
 
 
 def distinct_words(documents: DataFrame, chain: Sequence[Lookup | Discard] = ()) -> DataFrame:
-    """Distinct words of nested documents: how often, whether dropped, with which keys.
+    """Distinct words of nested documents: how often, whether dropped or doubtful, with which keys.
+
+    A doubtful word is dropped unless a step before the one that flags it resolves it.
 
     All that depends on the word is worked out here, after the aggregation, and
     written once for all steps. Without the write every step would push its own
@@ -113,13 +119,24 @@ def distinct_words(documents: DataFrame, chain: Sequence[Lookup | Discard] = ())
     )
     derived = [step for step in chain if isinstance(step, Lookup) and step.key is not None]
     keys = [step.key(F.col("word_orig")).alias(_key_column(step)) for step in derived]
-    return materialise(counted.select("*", _dropped(chain).alias("dropped"), *keys), "words")
+    flags = [_dropped(chain).alias("dropped"), _flagged(chain, False).alias("doubtful")]
+    return materialise(counted.select("*", *flags, *keys), "words")
 
 
 def kept_words(words: DataFrame) -> DataFrame:
     return words.where(~F.col("dropped"))
 
 
+def answered_words(words: DataFrame, resolution: DataFrame) -> DataFrame:
+    """``(word_orig, ids, stage, kind)`` of every word that no step drops, resolved or not.
+
+    Steps after the one that flags a word do not see it, so a doubtful word with a
+    hit has it from before.
+    """
+    answers = kept_words(words).select("word_orig", "doubtful").join(resolution, "word_orig", "left")
+    return answers.where(~F.col("doubtful") | F.col("stage").isNotNull()).drop("doubtful")
+
+
 def resolver_keys(
     words: DataFrame,
     resolver: Callable[[list[str]], Iterable[str | None]],
@@ -140,21 +157,20 @@ def resolver_keys(
     return keyed.where(F.col("key").isNotNull())
 
 
-def named_dictionary(names: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """Dictionary by name, from ``(name, key)`` and a dictionary by that key.
+def named_keys(words: DataFrame, names: DataFrame) -> DataFrame:
+    """``(word_orig, key)`` of the words that ``names`` ``(name, key)`` has.
 
-    The two hops meet on the side of the dictionaries, so the words take part in
-    one join only.
+    Words come first: only what they hit goes on to the dictionary of the keys.
     """
-    hits = lookup_keys(names.withColumnRenamed("name", "word_orig"), dictionary)
-    return hits.withColumnRenamed("word_orig", "key")
+    keyed = names.withColumnRenamed("name", "word_orig")
+    return words.select("word_orig").join(keyed, "word_orig").select("word_orig", "key")
 
 
 def _hits(words: DataFrame, step: Lookup, earlier: DataFrame | None) -> DataFrame:
     if step.key is not None:
         return lookup_keys(words.withColumnRenamed(_key_column(step), "key"), step.dictionary)
     if step.names is not None:
-        return lookup_words(words, named_dictionary(step.names, step.dictionary))
+        return lookup_keys(materialise(named_keys(words, step.names), "keys"), step.dictionary)
     if step.resolver is not None:
         # Written down: the key skew is measured before the join, and a costly
         # resolver must not run twice.
@@ -194,17 +210,18 @@ def tag_mentions(
     section: str,
     unresolved: bool = False,
     hot_floor: int = HOT_FLOOR,
+    chain: Sequence[Lookup | Discard] = (),
 ) -> DataFrame:
     """Mentions with what their word resolves to, stamped with the document section.
 
     ``unresolved=True`` also keeps mentions without a hit. A word with a large
     share of all mentions is spread over many tasks; ``words`` has the counts
-    that tell.
+    that tell. With the ``chain``, mentions that it drops whatever they resolve to
+    are left out before the shuffle.
     """
-    answers = resolution
-    if unresolved:
-        answers = kept_words(words).select("word_orig").join(resolution, "word_orig", "left")
-    hot = top_keys(words, "word_orig", "n_mentions", floor=hot_floor)
+    answers = answered_words(words, resolution) if unresolved else resolution
+    mentions = mentions.where(F.col("word_orig").isNotNull() & ~_dropped(chain))
+    hot = top_keys(kept_words(words), "word_orig", "n_mentions", floor=hot_floor)
     identity = [c for c in mentions.columns if c != "word_orig"]
     tagged = spread_join(mentions, answers, "word_orig", hot, spread_by=identity)
     return tagged.withColumn("section", F.lit(section))

@@ -7,7 +7,7 @@ from moniker.sources.dictionaries import (
     publish_dictionary,
     read_entity_json,
 )
-from moniker.sources.manifest import assign_batches, file_manifest, part_id, pending_files
+from moniker.sources.manifest import assign_batches, file_manifest, misnamed_files, part_id, pending_files
 from moniker.sources.ner import (
     MENTION_SCHEMA,
     NER_SCHEMA,
@@ -18,7 +18,7 @@ from moniker.sources.ner import (
     read_ner,
     write_mentions,
 )
-from moniker.sources.scratch import materialise, scratch_path
+from moniker.sources.scratch import materialise, scratch_job, scratch_path
 
 __all__ = [
     "MENTION_SCHEMA",
@@ -30,6 +30,7 @@ __all__ = [
     "file_manifest",
     "load_order",
     "materialise",
+    "misnamed_files",
     "merge_union",
     "part_id",
     "pending_files",
@@ -38,6 +39,7 @@ __all__ = [
     "read_entity_json",
     "read_mentions",
     "read_ner",
+    "scratch_job",
     "scratch_path",
     "write_mentions",
 ]

@@ -4,28 +4,69 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_JOB: ContextVar[str] = ContextVar("job", default="")
+
+
+def _file_system(spark: SparkSession, path: str) -> tuple:
+    """The file system of a path and the path, of the JVM."""
+    own = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return own.getFileSystem(spark._jsc.hadoopConfiguration()), own
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder, if it is there."""
+    system, own = _file_system(spark, path)
+    system.delete(own, True)
+
+
+def move(spark: SparkSession, path: str, target: str) -> None:
+    """Rename a folder. Raises ``OSError`` where that is not possible."""
+    system, own = _file_system(spark, path)
+    if not system.rename(own, _file_system(spark, target)[1]):
+        raise OSError(f"{path} cannot be renamed to {target}")
+
+
+@contextmanager
+def scratch_job(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables made inside are deleted at the end, also after a failure."""
+    token = _JOB.set(f"job-{uuid.uuid4().hex}/")
+    folder = f"{_base(spark)}/moniker/{_JOB.get()}"
+    try:
+        yield
+    finally:
+        _JOB.reset(token)
+        delete(spark, folder)
+
+
 @cache
 def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="moniker-")
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path under ``spark.checkpoint.dir``.
-
-    Only where the session names no such folder, as in a local test, is one made
-    on this machine.
-    """
+def _base(spark: SparkSession) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = _local_folder()
-    return f"{base.rstrip('/')}/moniker/{name}-{uuid.uuid4().hex}"
+    return base.rstrip("/")
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path under ``spark.checkpoint.dir``, in the folder of the job if one is open.
+
+    Only where the session names no such folder, as in a local test, is one made
+    on this machine.
+    """
+    return f"{_base(spark)}/moniker/{_JOB.get()}{name}-{uuid.uuid4().hex}"
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

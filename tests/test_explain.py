@@ -1,11 +1,14 @@
 """Plans that must not get worse."""
 
 import re
+import uuid
 
 from pyspark.sql import functions as F
 
 from moniker.functions import cas_key, formula_key, rubbish_reason, strip_tags
 from moniker.operators import flatten_mentions, lookup_words, renest_mentions
+from moniker.plans import Discard, Lookup, distinct_words, resolve_words, standard_chain, tag_mentions
+from moniker.plans.cascade import named_keys
 from moniker.plans.publish import nest_by_bucket
 from moniker.sources import build_dictionary, load_order, publish_dictionary, read_mentions, scratch_path
 
@@ -40,6 +43,51 @@ def test_bucketed_tables_join_in_place(spark):
     assert "SortMergeJoin" in found and "Exchange" not in found
 
 
+def test_chain_leaves_bucketed_dictionaries_in_place(spark):
+    def entries(name, kind="string"):
+        rows = spark.range(50).select(F.col("id").cast(kind).alias("key"), F.array(F.lit("x")).alias("ids"))
+        return publish_dictionary(rows, f"{name}_{uuid.uuid4().hex}", scratch_path(spark, name), 4)
+
+    names = spark.createDataFrame([("a", "1")], "name string, key string")
+    tables = dict(names=entries("n"), cas=entries("c", "bigint"), formulas=entries("f"), inchikeys=entries("i"), entities=entries("e"))
+    chain = standard_chain(**tables, name_to_inchikey=names)
+    words = distinct_words(stored(spark), chain)
+    found = without_broadcast(spark, lambda: resolve_words(words, chain))
+    lines = found.splitlines()
+    scans = [i for i, line in enumerate(lines) if "Bucketed: true" in line]
+    assert len(scans) == 5
+    for scan in scans:
+        # Nothing between the scan of a dictionary and its join deals the rows anew.
+        first = next(line for line in _above(lines, scan) if "Exchange" in line or "Join" in line)
+        assert "Join" in first
+
+
+def _above(lines, at):
+    """What a line of a plan feeds, from the nearest up."""
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    least = depth(lines[at])
+    for line in reversed(lines[:at]):
+        if depth(line) < least:
+            least = depth(line)
+            yield line
+
+
+def test_words_meet_the_names_before_the_second_dictionary(spark):
+    names = spark.createDataFrame([("a", "k"), ("b", "l")], "name string, key string")
+    words = spark.createDataFrame([("a",)], "word_orig string")
+    assert [(r.word_orig, r.key) for r in named_keys(words, names).collect()] == [("a", "k")]
+
+
+def test_dropped_mentions_stay_out_of_the_shuffle(spark):
+    chain = [Discard("short", lambda w: F.length(w) < 2), Lookup("name", spark.createDataFrame([("ab", ["1"])], "key string, ids array<string>"))]
+    docs = stored(spark)
+    words = distinct_words(docs, chain)
+    tagged = without_broadcast(spark, lambda: tag_mentions(flatten_mentions(docs), words, resolve_words(words, chain), "desc", chain=chain))
+    generate = [i for i, line in enumerate(tagged.splitlines()) if "Generate" in line]
+    above = tagged.splitlines()[: generate[0]]
+    assert any("Filter" in line and "length" in line for line in above[-4:])
+
+
 def test_keys_stay_in_the_engine(spark):
     w = F.col("w")
     keys = spark.createDataFrame([("x",)], "w string").select(formula_key(w), cas_key(w), rubbish_reason(w), strip_tags(w))

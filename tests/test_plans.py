@@ -1,5 +1,6 @@
 """The chain of lookups, routing and publication."""
 
+import os
 import random
 import subprocess
 import sys
@@ -27,8 +28,9 @@ from moniker.plans import (
     tag_mentions,
     write_bucketed,
 )
+from moniker.plans.cascade import answered_words
 from moniker.plans.publish import hot_patents
-from moniker.sources import scratch_path
+from moniker.sources import scratch_job, scratch_path
 
 SCHEMA = "patent_id string, row_id long, infer_list array<struct<start_orig: int, end_orig: int, word_orig: string>>"
 
@@ -80,6 +82,17 @@ def test_names_can_be_kept_from_the_rubbish_filter(spark, tables):
     assert resolution(documents(spark, [("p", WORDS)]), chain) == {**EXPECTED, "DMSO": ("name", ["n3"], "substance")}
 
 
+def test_rubbish_without_a_name_goes_in_either_scope(spark, tables):
+    docs = documents(spark, [("p", ["DMSO", "PCBs", "x", "miss"])])
+    for scope, kept in (("all", {"miss"}), ("unresolved", {"DMSO", "miss"})):
+        chain = standard_chain(**tables, rubbish_scope=scope)
+        words = distinct_words(docs, chain)
+        found = resolve_words(words, chain)
+        assert {r.word_orig for r in answered_words(words, found).collect()} == kept
+        tagged = tag_mentions(flatten_mentions(docs), words, found, "desc", unresolved=True, chain=chain)
+        assert {r.word_orig for r in tagged.collect()} == kept
+
+
 def test_cas_numbers_can_be_rubbish(spark, tables):
     expected = {word: hit for word, hit in EXPECTED.items() if word != "64-17-5"}
     assert resolution(documents(spark, [("p", WORDS)]), standard_chain(**tables, spare_cas=False)) == expected
@@ -198,6 +211,37 @@ def test_compaction(spark):
         assert whole.select(F.input_file_name()).distinct().count() <= 2
 
 
+def test_failed_compaction_leaves_the_target(spark, tmp_path):
+    schema = "patent_id string, infer_list array<struct<start_orig: int, end_orig: int, word_orig: string>>"
+    good, target = scratch_path(spark, "part"), str(tmp_path / "target")
+    documents(spark, [("p", ["a"])]).drop("row_id").write.parquet(good)
+    compact(spark, [good], schema, target)
+    bad = tmp_path / "bad"
+    bad.mkdir()
+    (bad / "x.parquet").write_text("no parquet")
+    with pytest.raises(Exception, match="(?i)parquet"):
+        compact(spark, [good, str(bad)], schema, target)
+    with pytest.raises(ValueError):
+        compact(spark, [good, target + "/"], schema, target)
+    assert [r.patent_id for r in spark.read.parquet(target).collect()] == ["p"]
+    assert [p.name for p in tmp_path.iterdir() if "new" in p.name] == []
+
+
+def test_scratch_of_a_job_is_deleted(spark):
+    with pytest.raises(RuntimeError), scratch_job(spark):
+        path = scratch_path(spark, "inside")
+        spark.range(1).write.parquet(path)
+        raise RuntimeError
+    outside = scratch_path(spark, "outside")
+    assert not os.path.exists(path.removeprefix("file:")) and "job-" in path and "job-" not in outside
+
+
+def test_entities_with_several_ids(spark):
+    rows = [("p", 0, ["00000001", "00000002", "3"], "entity")]
+    tagged = spark.createDataFrame(rows, "patent_id string, pos int, ids array<string>, kind string")
+    assert sorted(r.ppi_id for r in route_entity(tagged).collect()) == ["00000001", "00000002"]
+
+
 def test_rubbish_flag_is_a_function_of_the_word(spark):
     words = spark.createDataFrame([("x",), ("ethanol",)], "word_orig string")
     assert [r.f for r in words.select(is_rubbish(F.col("word_orig")).alias("f")).collect()] == [True, False]

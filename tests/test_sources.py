@@ -17,6 +17,7 @@ from moniker.sources import (
     materialise,
     merge_union,
     part_id,
+    misnamed_files,
     pending_files,
     publish_dictionary,
     quarantined,
@@ -115,8 +116,16 @@ def test_manifest(spark, tmp_path):
     (tmp_path / "ner_part_3.txt").write_text("")
     files = file_manifest(spark, str(tmp_path), "*.json.gz")
     assert {r.part for r in files.select(part_id(F.col("file")).alias("part")).collect()} == {"1", "2", "10", "21"}
-    done = spark.createDataFrame([("1",), ("2",)], "part string")
+    done = spark.createDataFrame([("ner_part_1.json.gz",), ("ner_part_2.json.gz",)], "file string")
     assert {r.file for r in pending_files(files, done).collect()} == {"ner_part_10.json.gz", "ner_part_21.json.gz"}
+    for name in ("alt_part_1", "stray", "stray_two"):
+        write_gz(tmp_path / f"{name}.json.gz", ["{}"])
+    files = file_manifest(spark, str(tmp_path), "*.json.gz")
+    left = {"ner_part_10.json.gz", "ner_part_21.json.gz", "alt_part_1.json.gz"}
+    assert {r.file for r in pending_files(files, done).collect()} == left
+    assert {r.file for r in misnamed_files(files).collect()} == {"stray.json.gz", "stray_two.json.gz"}
+    by_path = files.where("file = 'alt_part_1.json.gz'").select("path")
+    assert "alt_part_1.json.gz" not in {r.file for r in pending_files(files, by_path, by="path").collect()}
 
 
 @pytest.mark.parametrize("count, size", [(0, 3), (1, 3), (100, 7), (6, 3)])

@@ -262,12 +262,21 @@ def entity_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_entity_json(spark, path)
 
 
+def file_name(prefix: Column) -> Column:
+    """Name of the file of an order."""
+    return F.concat(prefix, F.lit("_"), _text(F.col("o_orderkey")), F.lit(".json.gz"))
+
+
 def file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A file manifest: one recogniser file per order."""
-    orders = table(spark, sf_dir, "orders")
-    return orders.select(
-        F.concat(F.lit("ner_part_"), _text(F.col("o_orderkey")), F.lit(".json.gz")).alias("file")
-    )
+    """A file manifest: one recogniser file per order.
+
+    Urgent orders have a second one of the same part under another prefix, and
+    those of low priority one whose name has no part.
+    """
+    urgent = F.when(F.col("o_orderpriority") == "1-URGENT", file_name(F.lit("alt_part")))
+    low = F.when(F.col("o_orderpriority") == "5-LOW", file_name(F.lit("stray")))
+    names = F.array(file_name(F.lit("ner_part")), urgent, low)
+    return table(spark, sf_dir, "orders").select(F.explode(F.filter(names, lambda f: f.isNotNull())).alias("file"))
 
 
 def chain(spark: SparkSession, sf_dir: str, **options: str | bool) -> list[Lookup | Discard]:

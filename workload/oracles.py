@@ -97,7 +97,11 @@ _cte("ner", ["ner_words"], """
     FROM ner_words WHERE regexp_matches(word_orig, '^[A-Z]')""")
 _NER = "SELECT patent_id, pos, start_orig, end_orig, word_orig FROM ner"
 
-_cte("files", [], "SELECT concat('ner_part_', o_orderkey, '.json.gz') AS file, CAST(o_orderkey AS VARCHAR) AS part FROM orders")
+_cte("files", [], """
+    SELECT concat('ner_part_', o_orderkey, '.json.gz') AS file, CAST(o_orderkey AS VARCHAR) AS part FROM orders
+    UNION ALL SELECT concat('alt_part_', o_orderkey, '.json.gz'), CAST(o_orderkey AS VARCHAR) FROM orders
+    WHERE o_orderpriority = '1-URGENT'
+    UNION ALL SELECT concat('stray_', o_orderkey, '.json.gz'), NULL FROM orders WHERE o_orderpriority = '5-LOW'""")
 
 # Predicates and simple keys
 
@@ -283,14 +287,12 @@ def _first_hits(kept: str) -> str:
 _HITS = ["judged", "cas_keys", "hit_name", "hit_cas", "hit_formula", "hit_inchikey", "hit_entity"]
 _cte("cascade", _HITS, f"SELECT word_orig, stage, ids FROM ({_first_hits('true')}) WHERE clean")
 _cte("cascade_strict", _HITS, _first_hits("reason IS NULL"))
-# A rubbish word without a name has no other hit in this scope.
+# Rubbish goes, unless the step before the filter, the lookup of names, has resolved it.
 _cte("cascade_scoped", _HITS, f"""
-    SELECT word_orig, CASE WHEN clean OR stage = 'name' THEN stage END AS stage,
-           CASE WHEN clean OR stage = 'name' THEN ids END AS ids
-    FROM ({_first_hits('true')})""")
+    SELECT word_orig, stage, ids FROM ({_first_hits('true')}) WHERE clean OR stage = 'name'""")
 _cte("tagged", ["mentions", "cascade"], "SELECT * FROM mentions JOIN cascade USING (word_orig)")
 _cte("substances", ["tagged"], "SELECT * FROM tagged WHERE stage <> 'entity'")
-_cte("entities", ["tagged"], "SELECT *, ids[1] AS ppi_id FROM tagged WHERE stage = 'entity' AND length(ids[1]) = 8")
+_cte("entities", ["tagged"], "SELECT * FROM (SELECT *, unnest(ids) AS ppi_id FROM tagged WHERE stage = 'entity') WHERE length(ppi_id) = 8")
 
 _IDS = "array_to_string(ids, ',') AS ids"
 
@@ -316,8 +318,8 @@ def statements() -> dict[str, str]:
     add("mentions_flat", ["mentions"], "SELECT patent_id, pos, start_orig, end_orig, word_orig FROM mentions")
     add("part_id", ["files"], "SELECT file, part FROM files")
     add("pending_files", ["files"], """
-        SELECT file FROM files WHERE part NOT IN (
-            SELECT CAST(o_orderkey AS VARCHAR) FROM orders WHERE o_orderstatus = 'F')""")
+        SELECT file FROM files WHERE part IS NOT NULL AND file NOT IN (
+            SELECT concat('ner_part_', o_orderkey, '.json.gz') FROM orders WHERE o_orderstatus = 'F')""")
     add("batch_assign", ["files"], f"""
         SELECT file, (row_number() OVER (ORDER BY md5(file), file) - 1) // {BATCH_SIZE} AS batch_id FROM files""")
     add("compact", ["documents_"], """
@@ -351,6 +353,8 @@ def statements() -> dict[str, str]:
     add("cascade", ["cascade"], f"SELECT word_orig, stage, {_IDS}, '{SECTION}' AS section FROM cascade")
     add("cascade_keep_names", ["cascade_scoped"], f"""
         SELECT word_orig, stage, {_IDS}, '{SECTION}' AS section FROM cascade_scoped""")
+    add("tagged_keep_names", ["mentions", "cascade_scoped"], f"""
+        SELECT patent_id, pos, word_orig, {_IDS}, stage FROM mentions JOIN cascade_scoped USING (word_orig)""")
     add("cascade_drop_cas", ["cascade_strict"], f"""
         SELECT word_orig, stage, {_IDS}, '{SECTION}' AS section FROM cascade_strict""")
     add("tagged_mentions", ["tagged"], f"""

@@ -36,7 +36,7 @@ from moniker.plans import (
     tag_mentions,
     write_bucketed,
 )
-from moniker.plans.cascade import kept_words, named_dictionary, resolver_keys
+from moniker.plans.cascade import answered_words, kept_words, resolver_keys
 from moniker.sources import (
     MENTION_SCHEMA,
     assign_batches,
@@ -139,7 +139,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("pending_files")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = inputs.table(spark, sf_dir, "orders")
-    done = orders.where(F.col("o_orderstatus") == "F").select(F.col("o_orderkey").cast("string").alias("part"))
+    done = orders.where(F.col("o_orderstatus") == "F").select(inputs.file_name(F.lit("ner_part")).alias("file"))
     return pending_files(inputs.file_names(spark, sf_dir), done)
 
 
@@ -306,8 +306,8 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("lookup_inchikey")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    by_name = named_dictionary(inputs.name_to_inchikey(spark, sf_dir), inputs.inchikey_dictionary(spark, sf_dir))
-    return _hits_text(lookup_words(_words(spark, sf_dir), by_name))
+    names, dictionary = inputs.name_to_inchikey(spark, sf_dir), inputs.inchikey_dictionary(spark, sf_dir)
+    return _lookup(spark, sf_dir, Lookup("inchikey", dictionary, names=names))
 
 
 @query("lookup_entity")
@@ -321,7 +321,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _resolved_words(spark: SparkSession, sf_dir: str, **options: str | bool) -> DataFrame:
     chain = inputs.chain(spark, sf_dir, **options)
     words = distinct_words(inputs.corpus(spark, sf_dir), chain)
-    resolved = kept_words(words).select("word_orig").join(resolve_words(words, chain), "word_orig", "left")
+    resolved = answered_words(words, resolve_words(words, chain))
     return resolved.select("word_orig", "stage", _ids_text(), F.lit(SECTION).alias("section"))
 
 
@@ -332,23 +332,32 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("cascade_keep_names")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rubbish words that are dictionary names stay."""
+    """Rubbish words that are dictionary names stay, other rubbish goes."""
     return _resolved_words(spark, sf_dir, rubbish_scope="unresolved")
 
 
+@query("tagged_keep_names")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mentions of the words that stay, resolved or not."""
+    _, tagged = _tagged(spark, sf_dir, unresolved=True, rubbish_scope="unresolved")
+    return tagged.select("patent_id", "pos", "word_orig", _ids_text(), "stage")
+
+
 @query("cascade_drop_cas")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CAS numbers are rubbish like all words of digits."""
     return _resolved_words(spark, sf_dir, spare_cas=False)
 
 
-def _tagged(spark: SparkSession, sf_dir: str, unresolved: bool = False) -> tuple[DataFrame, DataFrame]:
+def _tagged(
+    spark: SparkSession, sf_dir: str, unresolved: bool = False, **options: str | bool
+) -> tuple[DataFrame, DataFrame]:
     """The mention documents and their tagged mentions."""
-    chain = inputs.chain(spark, sf_dir)
+    chain = inputs.chain(spark, sf_dir, **options)
     documents = inputs.stored_corpus(spark, sf_dir)
     words = distinct_words(documents, chain)
     mentions = flatten_mentions(documents, KEYS)
-    return documents, tag_mentions(mentions, words, resolve_words(words, chain), SECTION, unresolved)
+    return documents, tag_mentions(mentions, words, resolve_words(words, chain), SECTION, unresolved, chain=chain)
 
 
 @query("tagged_mentions")
