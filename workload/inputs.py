@@ -5,13 +5,15 @@ Every table is used whole. FIXTURES.md describes what is derived and why.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moniker.functions import composition_key, strip_tags
 from moniker.functions.cas import check_digit
 from moniker.plans import Discard, Lookup, standard_chain
-from moniker.sources import build_dictionary, load_order, read_entity_json, read_mentions, scratch_path
+from moniker.sources import build_dictionary, load_order, materialise, read_entity_json, read_mentions, scratch_path
 
 # Strings the formula rules reject, one per rule.
 REJECTED_FORMULAS = [
@@ -19,6 +21,17 @@ REJECTED_FORMULAS = [
 ]
 
 
+_STORED: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def stored(spark: SparkSession, sf_dir: str, build: Callable[[SparkSession, str], DataFrame]) -> DataFrame:
+    """What ``build`` derives from the tables, written once in a session for all queries that need it."""
+    key = (spark.sparkContext.applicationId, sf_dir, build.__name__)
+    if key not in _STORED:
+        _STORED[key] = materialise(build(spark, sf_dir), build.__name__)
+    return _STORED[key]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -90,7 +103,7 @@ def text_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+def derived_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested mention documents ``(patent_id, infer_list)`` of all kinds.
 
     Texts (D), the CAS number and the supplier name of an order line (O), formulas
@@ -116,13 +129,24 @@ def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text_documents(spark, sf_dir).unionByName(lines).unionByName(parts).unionByName(orders)
 
 
-def stored_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The corpus as a mention table with ``row_id``, for queries that scan it several times."""
+def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored(spark, sf_dir, derived_corpus)
+
+
+def _mention_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "corpus")
-    corpus(spark, sf_dir).write.parquet(path)
+    derived_corpus(spark, sf_dir).write.parquet(path)
     return read_mentions(spark, path)
 
 
+def stored_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus as a mention table with ``row_id``."""
+    key = (spark.sparkContext.applicationId, sf_dir, "mentions")
+    if key not in _STORED:
+        _STORED[key] = _mention_table(spark, sf_dir)
+    return _STORED[key]
+
+
 def raw_ner(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Recogniser output lines: one record per document, a cut-off line per toxic label."""
     documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -280,12 +304,13 @@ def file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def chain(spark: SparkSession, sf_dir: str, **options: str | bool) -> list[Lookup | Discard]:
+    """The standard chain; the dictionaries are built once in a session."""
     return standard_chain(
-        names=name_dictionary(spark, sf_dir),
-        cas=cas_dictionary(spark, sf_dir),
-        formulas=formula_dictionary(spark, sf_dir),
-        inchikeys=inchikey_dictionary(spark, sf_dir),
-        entities=entity_dictionary(spark, sf_dir),
-        name_to_inchikey=name_to_inchikey(spark, sf_dir),
+        names=stored(spark, sf_dir, name_dictionary),
+        cas=stored(spark, sf_dir, cas_dictionary),
+        formulas=stored(spark, sf_dir, formula_dictionary),
+        inchikeys=stored(spark, sf_dir, inchikey_dictionary),
+        entities=stored(spark, sf_dir, entity_dictionary),
+        name_to_inchikey=stored(spark, sf_dir, name_to_inchikey),
         **options,
     )

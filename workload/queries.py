@@ -447,7 +447,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("custom_stage")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A one-step chain: the key is the word in small letters."""
-    chain = [Lookup("lower", inputs.name_dictionary(spark, sf_dir), key=F.lower)]
+    chain = [Lookup("lower", inputs.stored(spark, sf_dir, inputs.name_dictionary), key=F.lower)]
     words = distinct_words(inputs.corpus(spark, sf_dir), chain)
     return resolve_words(words, chain).select("word_orig", "stage", _ids_text())
 
@@ -469,7 +469,7 @@ def _digest_keys() -> Callable[[list[str]], list[str | None]]:
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A resolver that answers for names of several words, run on what no name matches."""
     words = _words(spark, sf_dir)
-    named = lookup_words(words, inputs.name_dictionary(spark, sf_dir))
+    named = lookup_words(words, inputs.stored(spark, sf_dir, inputs.name_dictionary))
     return resolver_keys(words, _digest_keys(), named)
 
 
@@ -485,9 +485,9 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     resolved = build_dictionary(rows, F.col("raw_key"), load_order(F.lit(0), F.col("row")))
     chain = [
-        Lookup("name", inputs.name_dictionary(spark, sf_dir)),
+        Lookup("name", inputs.stored(spark, sf_dir, inputs.name_dictionary)),
         Lookup("resolver", resolved, resolver=_digest_keys()),
-        Lookup("entity", inputs.entity_dictionary(spark, sf_dir), kind="entity"),
+        Lookup("entity", inputs.stored(spark, sf_dir, inputs.entity_dictionary), kind="entity"),
     ]
     words = distinct_words(inputs.corpus(spark, sf_dir), chain)
     return resolve_words(words, chain).select("word_orig", "stage", _ids_text())
