@@ -96,7 +96,7 @@ def _views(rows: DataFrame, meta: list[str]) -> tuple[np.ndarray, np.ndarray, np
                 arrays = [pa.array(list(v), pa.list_(pa.float64())) for v in views]
                 yield pa.RecordBatch.from_arrays([batch.column("__label"), *arrays], names=["label", "text", "meta"])
 
-    got = rows.mapInArrow(run, "label int, text array<double>, meta array<double>").toPandas()
+    got = rows.mapInArrow(run, "label int, text array<double>, meta array<double>").toArrow().to_pandas()
     stacked = [np.stack(got[c]) if len(got) else np.empty((0, 1)) for c in ("text", "meta")]
     return got["label"].to_numpy(), *stacked
 

@@ -220,12 +220,12 @@ def fit_lexicon(counts: DataFrame) -> Lexicon:
         if kept > KNOWN:
             break
         least = at
-    frequent = counts.where(F.lit(False) if least is None else step >= least).toPandas().sort_values("token")
+    frequent = counts.where(F.lit(False) if least is None else step >= least).toArrow().to_pandas().sort_values("token")
     known, n = frequent["token"].to_numpy(np.int64), frequent["n"].to_numpy(np.int64)
     leaf = WORDS + (known & 255)
     most = np.lexsort((known, -n))[:WORDS]
     leaf[most] = np.arange(len(most))
-    buckets = counts.groupBy(F.col("token").bitwiseAND(255).alias("bucket")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("m")).toPandas()
+    buckets = counts.groupBy(F.col("token").bitwiseAND(255).alias("bucket")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("m")).toArrow().to_pandas()
     size, kinds = np.zeros(BUCKETS), np.zeros(BUCKETS)
     size[buckets["bucket"]], kinds[buckets["bucket"]] = buckets["n"], buckets["m"]
     np.subtract.at(size, known[most] & 255, n[most])

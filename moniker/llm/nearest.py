@@ -259,7 +259,7 @@ def nearest(
     indexed = materialise(_in_cells(kept, space, False), "indexed")
     axes = range(DIMENSIONS)
     sides = [f(F.col("place")[d]) for f in (F.min, F.max) for d in axes]
-    boxes = indexed.groupBy("cell").agg(*[s.alias(f"s{i}") for i, s in enumerate(sides)]).toPandas().set_index("cell")
+    boxes = indexed.groupBy("cell").agg(*[s.alias(f"s{i}") for i, s in enumerate(sides)]).toArrow().to_pandas().set_index("cell")
     known = np.full((2, len(space.cuts) + 1, DIMENSIONS), np.inf)
     known[0, boxes.index], known[1, boxes.index] = boxes.iloc[:, :DIMENSIONS], boxes.iloc[:, DIMENSIONS:]
     space.low, space.high = known[0], np.where(np.isinf(known[1]), -np.inf, known[1])

@@ -163,7 +163,7 @@ def _arrays(pairs: DataFrame, fold: int | None, discount: float, pair_discount:
     place = F.col("word").cast("int").alias("word")
     size = 1 << WORD_BITS
     model = ToxicityModel(*[np.zeros((2, size), np.float32) for _ in range(3)], np.zeros((2, 1 << PAIR_BITS), np.float32), np.zeros(3))
-    word = pairs.groupBy(place).agg(*kinds).toPandas()
+    word = pairs.groupBy(place).agg(*kinds).toArrow().to_pandas()
     shared = np.zeros(size)
     shared[word["word"]] = (word["c0"] > 0).astype(int) + (word["c1"] > 0)
     shared = (shared + 0.5) / (shared.sum() + 0.5 * size)
@@ -174,13 +174,13 @@ def _arrays(pairs: DataFrame, fold: int | None, discount: float, pair_discount:
         model.word[k] = kept / total + (1 - kept.sum() / total) * shared
     del word, shared
     context = pairs.select(F.col("context").cast("int").alias("context"), "n0", "n1", *left).groupBy("context")
-    context = context.agg(*[F.sum(c).cast("float").alias(c) for c in ("n0", "n1", "d0", "d1")]).toPandas()
+    context = context.agg(*[F.sum(c).cast("float").alias(c) for c in ("n0", "n1", "d0", "d1")]).toArrow().to_pandas()
     for k in (0, 1):
         model.seen[k][context["context"]] = context[f"n{k}"]
         model.rest[k] = 1
         model.rest[k][context["context"]] = 1 - context[f"d{k}"] / np.maximum(context[f"n{k}"], 1)
     del context
-    often = pairs.where(F.greatest("n0", "n1") > pair_discount).select("context", "word", *left).toPandas()
+    often = pairs.where(F.greatest("n0", "n1") > pair_discount).select("context", "word", *left).toArrow().to_pandas()
     at = _pair_place(often["context"].to_numpy(np.int64), often["word"].to_numpy(np.int64))
     for k in (0, 1):
         np.add.at(model.pair[k], at, often[f"d{k}"].to_numpy(np.float32))
@@ -213,7 +213,7 @@ def fit_toxicity(
     parts = []
     for f in range(FOLDS):
         shipped = spark.sparkContext.broadcast(_arrays(pairs, f, discount, pair_discount))
-        parts.append(_told(rows.where(F.col("fold") == f), shipped, ["toxic"]).select("toxic", "__ratio", "__words").toPandas())
+        parts.append(_told(rows.where(F.col("fold") == f), shipped, ["toxic"]).select("toxic", "__ratio", "__words").toArrow().to_pandas())
         shipped.destroy()
     told = pd.concat(parts)
     toxic = told["toxic"].to_numpy()

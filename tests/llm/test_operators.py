@@ -372,7 +372,12 @@ def test_language_model(documents, monkeypatch, known):
     monkeypatch.setattr(maxent, "KNOWN", known)
     monkeypatch.setattr(maxent, "WORDS", maxent.WORDS)
     draw = random.Random(1)
-    rows = [(i, " ".join(draw.choice(["Red", "green", "blue", f"w{draw.randrange(300)}"]) for _ in range(draw.randrange(40)))) for i in range(200)]
+    cycle = ["Red", "green", "blue", "grey"]
+    rows = []
+    for i in range(400):
+        turn = draw.randrange(4)
+        own = [cycle[(turn + j) % 4] if draw.random() < 0.9 else f"w{draw.randrange(300)}" for j in range(draw.randrange(40))]
+        rows.append((i + 10, " ".join(own)))
     rows += [r for r in ODD if r[0] is not None]
     docs = documents(rows).withColumn("trained", F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(10)) != 0)
     got = maxent.score_texts(docs, F.col("trained"), ["doc_id"], F.pmod(F.xxhash64("doc_id"), F.lit(maxent.ROUNDS))).collect()
