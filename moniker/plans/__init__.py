@@ -3,7 +3,9 @@
 from moniker.plans.cascade import (
     Discard,
     Lookup,
+    answered_words,
     distinct_words,
+    extend_resolution,
     resolve_words,
     standard_chain,
     tag_mentions,
@@ -16,8 +18,10 @@ __all__ = [
     "Discard",
     "Lookup",
     "Output",
+    "answered_words",
     "compact",
     "distinct_words",
+    "extend_resolution",
     "keep_resolved",
     "link_documents",
     "publish_documents",

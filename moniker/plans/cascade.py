@@ -203,6 +203,18 @@ def resolve_words(words: DataFrame, chain: Sequence[Lookup | Discard]) -> DataFr
     return first.select("word_orig", "hit.ids", "hit.stage", "hit.kind")
 
 
+def extend_resolution(words: DataFrame, chain: Sequence[Lookup | Discard], earlier: DataFrame) -> DataFrame:
+    """``answered_words`` of ``words``, of which ``earlier`` has some from a former job with the same chain.
+
+    Only words that ``earlier`` ``(word_orig, ids, stage, kind)`` does not have are
+    looked up; those it has and ``words`` does not are left out.
+    """
+    known = earlier.select("word_orig", "ids", "stage", "kind")
+    fresh = materialise(words.join(known, "word_orig", "left_anti"), "words")
+    kept = known.join(words.select("word_orig"), "word_orig", "left_semi")
+    return kept.unionByName(answered_words(fresh, resolve_words(fresh, chain)))
+
+
 def tag_mentions(
     mentions: DataFrame,
     words: DataFrame,

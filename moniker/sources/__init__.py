@@ -4,6 +4,7 @@ from moniker.sources.dictionaries import (
     build_dictionary,
     load_order,
     merge_union,
+    union_dictionary,
     publish_dictionary,
     read_entity_json,
 )
@@ -32,6 +33,7 @@ __all__ = [
     "materialise",
     "misnamed_files",
     "merge_union",
+    "union_dictionary",
     "part_id",
     "pending_files",
     "publish_dictionary",

@@ -30,6 +30,15 @@ def merge_union(rows: DataFrame, key: Column, ids: str = "ids") -> DataFrame:
     return keyed.where(F.col("key").isNotNull()).distinct()
 
 
+def union_dictionary(merged: DataFrame) -> DataFrame:
+    """``(key, ids)`` of ``(key, id)`` rows, for a chain; ids in order.
+
+    A list is as long as its key has ids in all parts together; every mention that
+    the key answers carries it, so a chain wants keys with few.
+    """
+    return merged.groupBy("key").agg(F.array_sort(F.collect_set("id")).alias("ids"))
+
+
 def publish_dictionary(dictionary: DataFrame, table: str, path: str, buckets: int) -> DataFrame:
     """Bucketed and sorted by key, so that joins on the key leave the table in place."""
     (

@@ -28,9 +28,9 @@ from moniker.plans import (
     tag_mentions,
     write_bucketed,
 )
-from moniker.plans.cascade import answered_words
+from moniker.plans.cascade import answered_words, extend_resolution
 from moniker.plans.publish import hot_patents
-from moniker.sources import scratch_job, scratch_path
+from moniker.sources import scratch_job, scratch_path, union_dictionary
 
 SCHEMA = "patent_id string, row_id long, infer_list array<struct<start_orig: int, end_orig: int, word_orig: string>>"
 
@@ -256,3 +256,23 @@ def test_sample_resolver_needs_no_module_on_the_workers(tmp_path):
     program = "import pickle; print(pickle.load(open('resolver', 'rb'))(['a b', 'ab']))"
     done = subprocess.run([sys.executable, "-c", program], cwd=tmp_path, env={}, capture_output=True, text=True, timeout=60)
     assert done.stdout.strip().endswith(", None]"), done.stderr
+
+
+def test_earlier_answers_are_not_looked_up_again(spark, tables):
+    docs = documents(spark, [("p", WORDS)])
+    chain = standard_chain(**tables)
+    words = distinct_words(docs, chain)
+    whole = {r.word_orig: (r.stage, r.ids) for r in answered_words(words, resolve_words(words, chain)).collect()}
+    earlier = spark.createDataFrame(
+        [("water", ["old"], "name", "substance"), ("miss", None, None, None), ("gone", ["x"], "name", "substance")],
+        "word_orig string, ids array<string>, stage string, kind string",
+    )
+    found = {r.word_orig: (r.stage, r.ids) for r in extend_resolution(words, chain, earlier).collect()}
+    assert found == {**whole, "water": ("name", ["old"])}
+
+
+def test_union_dictionary_is_a_step(spark):
+    rows = spark.createDataFrame([("a", "2"), ("a", "1"), ("b", "3")], "key string, id string")
+    words = spark.createDataFrame([("a", 1, False, False)], "word_orig string, n_mentions long, dropped boolean, doubtful boolean")
+    found = resolve_words(words, [Lookup("name", union_dictionary(rows))]).collect()
+    assert [(r.word_orig, r.ids) for r in found] == [("a", ["1", "2"])]

@@ -355,6 +355,7 @@ def statements() -> dict[str, str]:
         SELECT word_orig, stage, {_IDS}, '{SECTION}' AS section FROM cascade_scoped""")
     add("tagged_keep_names", ["mentions", "cascade_scoped"], f"""
         SELECT patent_id, pos, word_orig, {_IDS}, stage FROM mentions JOIN cascade_scoped USING (word_orig)""")
+    add("cascade_extended", ["cascade"], f"SELECT word_orig, stage, {_IDS} FROM cascade")
     add("cascade_drop_cas", ["cascade_strict"], f"""
         SELECT word_orig, stage, {_IDS}, '{SECTION}' AS section FROM cascade_strict""")
     add("tagged_mentions", ["tagged"], f"""
@@ -377,6 +378,10 @@ def statements() -> dict[str, str]:
     add("custom_stage", ["words", "dict_name"], f"""
         SELECT word_orig, 'lower' AS stage, {_IDS} FROM words JOIN dict_name ON lower(word_orig) = key
         WHERE len(ids) > 0""")
+    add("lookup_union", ["words", "name_rows"], f"""
+        SELECT word_orig, {_IDS} FROM words JOIN (
+            SELECT key, list_sort(list(DISTINCT id)) AS ids
+            FROM (SELECT key, unnest(ids) AS id FROM name_rows) GROUP BY key) ON key = word_orig""")
     add("custom_resolver", ["words", "hit_name"], """
         SELECT word_orig, upper(substr(md5(word_orig), 1, 14)) AS key FROM words
         WHERE contains(word_orig, ' ') AND word_orig NOT IN (SELECT word_orig FROM hit_name)""")

@@ -36,7 +36,7 @@ from moniker.plans import (
     tag_mentions,
     write_bucketed,
 )
-from moniker.plans.cascade import answered_words, kept_words, resolver_keys
+from moniker.plans.cascade import answered_words, extend_resolution, resolver_keys
 from moniker.sources import (
     MENTION_SCHEMA,
     assign_batches,
@@ -44,6 +44,7 @@ from moniker.sources import (
     cem_mentions,
     count_ingest,
     load_order,
+    materialise,
     merge_union,
     part_id,
     pending_files,
@@ -52,6 +53,7 @@ from moniker.sources import (
     read_mentions,
     read_ner,
     scratch_path,
+    union_dictionary,
     write_mentions,
 )
 from moniker.streaming import ingest_available
@@ -294,6 +296,13 @@ def _lookup(spark: SparkSession, sf_dir: str, step: Lookup) -> DataFrame:
     return _hits_text(resolve_words(words, [step]))
 
 
+@query("lookup_union")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A chain step on a dictionary that keeps the ids of all parts."""
+    merged = merge_union(inputs.name_rows(spark, sf_dir), strip_tags(F.col("raw_key")))
+    return _lookup(spark, sf_dir, Lookup("name", union_dictionary(merged)))
+
+
 @query("lookup_cas")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lookup(spark, sf_dir, Lookup("cas", inputs.cas_dictionary(spark, sf_dir), key=cas_key))
@@ -349,6 +358,16 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _resolved_words(spark, sf_dir, spare_cas=False)
 
 
+@query("cascade_extended")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the words resolved by a former job, the others now."""
+    chain = inputs.chain(spark, sf_dir)
+    words = distinct_words(inputs.corpus(spark, sf_dir), chain)
+    half = words.where(F.pmod(F.xxhash64("word_orig"), F.lit(2)) == 0)
+    earlier = materialise(answered_words(half, resolve_words(half, chain)), "earlier")
+    return extend_resolution(words, chain, earlier).select("word_orig", "stage", _ids_text())
+
+
 def _tagged(
     spark: SparkSession, sf_dir: str, unresolved: bool = False, **options: str | bool
 ) -> tuple[DataFrame, DataFrame]:
