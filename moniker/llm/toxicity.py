@@ -156,30 +156,35 @@ def _name(kind: int, fold: int | None) -> str:
 
 
 def _arrays(pairs: DataFrame, fold: int | None, discount: float, pair_discount: float) -> ToxicityModel:
-    """Fill the arrays of the model from counted pairs. Each result has at most one row per place."""
+    """Fill the arrays of the model from counted pairs.
+
+    Words and contexts of which the discount leaves nothing are as likely for either class,
+    but for a factor; only the others, few, come to the driver, and the totals.
+    """
     pairs = pairs.select("context", "word", *[F.col(_name(k, fold)).alias(f"n{k}") for k in (0, 1)])
     left = [F.greatest(F.col(f"n{k}") - pair_discount, F.lit(0.0)).cast("float").alias(f"d{k}") for k in (0, 1)]
     kinds = [F.count_if(F.col(f"n{k}") > 0).cast("int").alias(f"c{k}") for k in (0, 1)]
-    place = F.col("word").cast("int").alias("word")
+    words = pairs.groupBy(F.col("word").cast("int").alias("word")).agg(*kinds)
+    spread = F.sum((F.col("c0") > 0).cast("int") + (F.col("c1") > 0).cast("int"))
+    *totals, classes = words.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("c0", "c1")], F.coalesce(spread, F.lit(0))).first()
+    word = words.where(F.greatest("c0", "c1") > discount).toArrow().to_pandas()
     size = 1 << WORD_BITS
-    model = ToxicityModel(*[np.zeros((2, size), np.float32) for _ in range(3)], np.zeros((2, 1 << PAIR_BITS), np.float32), np.zeros(3))
-    word = pairs.groupBy(place).agg(*kinds).toArrow().to_pandas()
-    shared = np.zeros(size)
-    shared[word["word"]] = (word["c0"] > 0).astype(int) + (word["c1"] > 0)
-    shared = (shared + 0.5) / (shared.sum() + 0.5 * size)
+    shared = np.full(size, 1.5 / (classes + 0.5 * size), np.float32)
+    shared[word["word"]] = ((word["c0"] > 0).astype(int) + (word["c1"] > 0) + 0.5) / (classes + 0.5 * size)
+    model = ToxicityModel(
+        np.empty((2, size), np.float32), np.zeros((2, size), np.float32), np.ones((2, size), np.float32),
+        np.zeros((2, 1 << PAIR_BITS), np.float32), np.zeros(3),
+    )
     for k in (0, 1):
-        kept = np.zeros(size)
-        kept[word["word"]] = np.maximum(word[f"c{k}"] - discount, 0)
-        total = max(word[f"c{k}"].sum(), 1)
-        model.word[k] = kept / total + (1 - kept.sum() / total) * shared
-    del word, shared
+        kept, total = np.maximum(word[f"c{k}"] - discount, 0), max(totals[k], 1)
+        model.word[k] = (1 - kept.sum() / total) * shared
+        model.word[k][word["word"]] += (kept / total).to_numpy(np.float32)
     context = pairs.select(F.col("context").cast("int").alias("context"), "n0", "n1", *left).groupBy("context")
-    context = context.agg(*[F.sum(c).cast("float").alias(c) for c in ("n0", "n1", "d0", "d1")]).toArrow().to_pandas()
+    context = context.agg(*[F.sum(c).cast("float").alias(c) for c in ("n0", "n1", "d0", "d1")])
+    context = context.where("d0 + d1 > 0").toArrow().to_pandas()
     for k in (0, 1):
         model.seen[k][context["context"]] = context[f"n{k}"]
-        model.rest[k] = 1
         model.rest[k][context["context"]] = 1 - context[f"d{k}"] / np.maximum(context[f"n{k}"], 1)
-    del context
     often = pairs.where(F.greatest("n0", "n1") > pair_discount).select("context", "word", *left).toArrow().to_pandas()
     at = _pair_place(often["context"].to_numpy(np.int64), often["word"].to_numpy(np.int64))
     for k in (0, 1):
