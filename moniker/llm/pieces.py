@@ -27,11 +27,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from moniker.llm.words import CHUNK, hash_ranges, row_chunks, spread, text_bytes
+from moniker.llm.words import hash_ranges, row_chunks, spread, text_bytes
 
 SPACE = "▁"
 LONG = 96
-CACHE = 400_000
+CACHE = 200_000
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 NONE = np.int64(1) << 62
 WIDE = {x: pa.scalar(x, pa.large_string()) for x in ("", " ")}
@@ -340,7 +340,7 @@ def encode_pieces(df: DataFrame, model: bytes, text: str = "text", ids: str = "i
         encoder = Encoder(model)
         for batch in batches:
             column = batch.column(rest.index(text))
-            for a, b in row_chunks(column, 2 * CHUNK):
+            for a, b in row_chunks(column):
                 flat, first = encoder.units(column.slice(a, b - a)).flat_ids(encoder.model.end)
                 found = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(flat))
                 yield pa.RecordBatch.from_arrays([*batch.slice(a, b - a).columns, found], names=[*rest, ids])
@@ -382,7 +382,7 @@ def piece_digests(df: DataFrame, model: bytes, keys: list[str], text: str = "tex
         for batch in batches:
             column = batch.column(len(keys))
             counts, written, decoded = [], [], []
-            for a, b in row_chunks(column, 2 * CHUNK):
+            for a, b in row_chunks(column):
                 units = encoder.units(column.slice(a, b - a))
                 counts.append(units.counts() + 1)
                 written.extend(_sha256(b" ".join([*row, end])) for row in units.rows(units.written))
