@@ -31,7 +31,8 @@ from moniker.llm.words import hash_ranges, row_chunks, spread, text_bytes
 
 SPACE = "▁"
 LONG = 96
-CACHE = 200_000
+CACHE = 80_000
+CHUNK = 1 << 20
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 NONE = np.int64(1) << 62
 WIDE = {x: pa.scalar(x, pa.large_string()) for x in ("", " ")}
@@ -293,12 +294,13 @@ class Units:
 
 
 class Encoder:
-    """Encodes chunks of rows; remembers at most about ``CACHE`` units between chunks."""
+    """Encodes chunks of rows; remembers the last ``CACHE`` to twice as many units between chunks."""
 
     def __init__(self, model: bytes):
         self.model = PieceModel(model)
         self.number = [str(i).encode() for i in range(self.model.size)]
         self.seen: dict[int, tuple[list[int], bytes, bytes]] = {}
+        self.older = self.seen
 
     def units(self, column: pa.Array) -> Units:
         """Units of all rows; for each distinct one its ids, these written out, and the bytes decoded from them."""
@@ -315,9 +317,16 @@ class Encoder:
         hashes, where, which = np.unique(hash_ranges(data, starts, ends), return_index=True, return_inverse=True)
         keys = hashes.tolist()
         if len(self.seen) > CACHE:
-            self.seen = {}
+            self.seen, self.older = {}, self.seen
         found = list(map(self.seen.get, keys))
-        new = [i for i, unit in enumerate(found) if unit is None]
+        new = []
+        for i, unit in enumerate(found):
+            if unit is None:
+                found[i] = unit = self.older.get(keys[i])
+                if unit is None:
+                    new.append(i)
+                else:
+                    self.seen[keys[i]] = unit
         if new:
             number, back = self.number.__getitem__, self.model.text.__getitem__
             order = np.argsort(where[new])
@@ -340,7 +349,7 @@ def encode_pieces(df: DataFrame, model: bytes, text: str = "text", ids: str = "i
         encoder = Encoder(model)
         for batch in batches:
             column = batch.column(rest.index(text))
-            for a, b in row_chunks(column):
+            for a, b in row_chunks(column, CHUNK):
                 flat, first = encoder.units(column.slice(a, b - a)).flat_ids(encoder.model.end)
                 found = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(flat))
                 yield pa.RecordBatch.from_arrays([*batch.slice(a, b - a).columns, found], names=[*rest, ids])
@@ -382,7 +391,7 @@ def piece_digests(df: DataFrame, model: bytes, keys: list[str], text: str = "tex
         for batch in batches:
             column = batch.column(len(keys))
             counts, written, decoded = [], [], []
-            for a, b in row_chunks(column):
+            for a, b in row_chunks(column, CHUNK):
                 units = encoder.units(column.slice(a, b - a))
                 counts.append(units.counts() + 1)
                 written.extend(_sha256(b" ".join([*row, end])) for row in units.rows(units.written))
