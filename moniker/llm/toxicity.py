@@ -4,14 +4,16 @@ Each class (toxic, ordinary) has a bigram model of continuation counts: after ho
 different words a pair stands, less an absolute discount. It backs off to the continuation
 counts of single words, and these back off to counts that both classes share: in how many
 classes a word stands. As a pair is counted once for each word before it, copies of a text
-weigh no more than the text. A discount above 1 leaves nothing of expressions that a class
-has as often or less, so that these say little for either class.
+weigh no more than the text. The discounts are below 1 and estimated for each class from
+how many pairs (words) stand after one and after two different words (pairs), so that
+something is left of every expression a class has.
 
-A document counts once for each of its words, at its first occurrence; this keeps single
-documents that repeat themselves from deciding anything. Its evidence is the sum of the
-log-likelihood ratios beyond ``NEUTRAL``, taken per word and per square root of the words,
-and its score the logistic function of these; the coefficients come from labelled rows that
-the counts they are told by have not seen.
+The evidence of a document are the log-likelihood ratios of all its words, what each word
+says alone and what its context adds, and ``POWERS`` of them, summed and taken per word
+and per square root of the words. The score is the logistic function of these sums; the
+coefficients, and how strongly they are held back, come from labelled rows that the counts
+they are told by have not seen. So no ratio is left out, and how much small and large ones
+say is learnt.
 
 The models are fitted on at most ``SAMPLE`` labelled rows of each class, picked by a hash
 of their id. They are arrays of fixed size (words hash to 2**20 places, bigrams to 2**21),
@@ -35,16 +37,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from moniker.llm.logistic import fit_logistic
+from moniker.llm.logistic import fit_logistic, probability
 from moniker.llm.words import hashed_words, mix, row_chunks
 from moniker.sources import materialise
 
 SAMPLE = 8192
-DISCOUNT, PAIR_DISCOUNT = 5.0, 50.0
-NEUTRAL = 2.0  # log-likelihood ratios up to this say nothing, as style and subject make as much
 SHORT = 20.0  # texts of fewer words are treated as if they were longer
 WORD_BITS, PAIR_BITS = 20, 21
 FOLDS = 4
+POWERS = (1, 2, 3)  # of log-likelihood ratios; their coefficients say how much more large ones count
+KINDS = 4 * len(POWERS)  # of evidence: alone or by context, for either class
+RIDGES = [1.0, 0.1, 0.01, 0.001]  # that which tells the folds best is taken
 START = np.uint64(0x243F6A8885A308D3)
 
 
@@ -56,11 +59,11 @@ class ToxicityModel:
     seen: np.ndarray  # how often a context was seen
     rest: np.ndarray  # share of a context that goes to the model without context
     pair: np.ndarray  # discounted counts of pairs
-    weights: np.ndarray  # of 1, evidence per word, evidence per root of words
+    weights: np.ndarray  # of 1, each kind of evidence per word, each per root of words
 
 
 def _places(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Places of the distinct words of all rows, each with the two words before its first occurrence.
+    """Places of the words of all rows, each with the two words before it.
 
     (word before the context, context, word, first of each row and one more at the end)
     """
@@ -74,9 +77,7 @@ def _places(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     context[first] = ahead[first] = start
     second = first + 1
     ahead[second[second < len(place)]] = start
-    row = np.repeat(np.arange(len(begins) - 1), np.diff(begins))
-    keys, at = np.unique(row << WORD_BITS | place, return_index=True)
-    return ahead[at], context[at], place[at], np.searchsorted(keys, np.arange(len(begins)) << WORD_BITS)
+    return ahead, context, place, begins
 
 
 def _pair_place(context: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -84,26 +85,34 @@ def _pair_place(context: np.ndarray, word: np.ndarray) -> np.ndarray:
 
 
 def _ratios(model: ToxicityModel, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Evidence (sum of the log-likelihood ratios beyond ``NEUTRAL``) and number of words of each row."""
-    sums, counts = [], []
+    """Evidence of each row, and its number of words.
+
+    The log-likelihood ratio of a word is that without its context and what the context adds;
+    the ``POWERS`` of both are summed over all words, for either class apart. The first powers
+    together are the ratio of the whole text.
+    """
+    sums, counts = [np.empty((0, KINDS))], [np.empty(0, np.int64)]
     for a, b in row_chunks(column):
         _, context, word, begins = _places(column.slice(a, b - a))
         place = _pair_place(context, word)
-        logs = []
+        alone, logs = [], []
         for k in (0, 1):
-            seen = model.seen[k][context]
-            own = model.pair[k][place] / np.maximum(seen, 1) + model.rest[k][context] * model.word[k][word]
-            logs.append(np.log(own))
-        ratio = logs[1] - logs[0]
-        total = np.concatenate([[0.0], np.cumsum(np.sign(ratio) * np.maximum(np.abs(ratio) - NEUTRAL, 0), dtype=np.float64)])
-        sums.append(np.diff(total[begins]))
+            own = model.word[k][word]
+            alone.append(np.log(own))
+            logs.append(np.log(model.pair[k][place] / np.maximum(model.seen[k][context], 1) + model.rest[k][context] * own))
+        alone, whole = alone[1] - alone[0], logs[1] - logs[0]
+        row, told = np.repeat(np.arange(b - a), np.diff(begins)), []
+        for ratio in (alone, whole - alone):
+            for side in (np.maximum(ratio, 0), np.minimum(ratio, 0)):
+                told += [np.bincount(row, weights=side * np.abs(side) ** (p - 1), minlength=b - a) for p in POWERS]
+        sums.append(np.stack(told, axis=1))
         counts.append(np.diff(begins))
-    return np.concatenate(sums or [np.empty(0)]), np.concatenate(counts or [np.empty(0, np.int64)])
+    return np.concatenate(sums), np.concatenate(counts)
 
 
-def _features(ratio: np.ndarray, words: np.ndarray) -> np.ndarray:
-    n = words + SHORT
-    return np.stack([np.ones(len(n)), ratio / n, ratio / np.sqrt(n)], axis=1)
+def _features(evidence: np.ndarray, words: np.ndarray) -> np.ndarray:
+    n = (words + SHORT)[:, None]
+    return np.concatenate([np.ones((len(n), 1)), evidence / n, evidence / np.sqrt(n)], axis=1)
 
 
 def _labelled(docs: DataFrame, labels: DataFrame, text: str, key: str, label: str, sample: int) -> DataFrame:
@@ -123,7 +132,7 @@ def _labelled(docs: DataFrame, labels: DataFrame, text: str, key: str, label: st
 
 
 def _pairs(rows: DataFrame) -> DataFrame:
-    """(context, word, and counts): after how many different words each class has a pair of places.
+    """(context, word, place of the pair, and counts): after how many different words each class has a pair of places.
 
     ``n0`` and ``n1`` are counted in all rows, ``n0_f`` and ``n1_f`` in all but those of fold f.
     """
@@ -135,10 +144,17 @@ def _pairs(rows: DataFrame) -> DataFrame:
             for a, b in row_chunks(batch.column("text")):
                 ahead, context, word, begins = _places(batch.column("text").slice(a, b - a))
                 triple = ahead << 2 * WORD_BITS | context << WORD_BITS | word
-                mark = np.repeat(toxic[a:b] * FOLDS + fold[a:b], np.diff(begins))
-                arrays = [pa.array(triple), pa.array((1 << mark).astype(np.int32))]
+                mark = np.repeat(toxic[a:b] * FOLDS + fold[a:b], np.diff(begins)).astype(np.int64)
+                found = np.unique(triple << 3 | mark)
+                arrays = [pa.array(found >> 3), pa.array((1 << (found & 7)).astype(np.int32))]
                 yield pa.RecordBatch.from_arrays(arrays, names=["triple", "marks"])
 
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            context, word = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("context", "word"))
+            own = pa.array(_pair_place(context, word).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([*batch.columns, own], names=[*batch.schema.names, "place"])
+
     found = rows.select("toxic", "fold", "text").mapInArrow(run, "triple bigint, marks int")
     triples = found.groupBy("triple").agg(F.bit_or("marks").alias("marks"))
     context = F.shiftright("triple", WORD_BITS).bitwiseAND(mask).alias("context")
@@ -148,47 +164,53 @@ def _pairs(rows: DataFrame) -> DataFrame:
             own = sum(1 << (k * FOLDS + g) for g in range(FOLDS) if g != f)
             counts.append(F.count_if(F.col("marks").bitwiseAND(own) != 0).cast("int").alias(_name(k, f)))
     pairs = triples.select(context, F.col("triple").bitwiseAND(mask).alias("word"), "marks")
-    return pairs.groupBy("context", "word").agg(*counts)
+    pairs = pairs.groupBy("context", "word").agg(*counts)
+    return pairs.mapInArrow(placed, pairs.withColumn("place", F.lit(0)).schema)
 
 
 def _name(kind: int, fold: int | None) -> str:
     return f"n{kind}" if fold is None else f"n{kind}_{fold}"
 
 
-def _arrays(pairs: DataFrame, fold: int | None, discount: float, pair_discount: float) -> ToxicityModel:
+def _discount(once: int, twice: int) -> float:
+    """Absolute discount by how many counts are 1 and 2; always between 0 and 1."""
+    return (once + 0.5) / (once + 2 * twice + 1)
+
+
+def _arrays(pairs: DataFrame, fold: int | None) -> ToxicityModel:
     """Fill the arrays of the model from counted pairs.
 
-    Words and contexts of which the discount leaves nothing are as likely for either class,
-    but for a factor; only the others, few, come to the driver, and the totals.
+    All words, contexts and pairs come to the driver summed by their places, whose number is fixed.
     """
-    pairs = pairs.select("context", "word", *[F.col(_name(k, fold)).alias(f"n{k}") for k in (0, 1)])
-    left = [F.greatest(F.col(f"n{k}") - pair_discount, F.lit(0.0)).cast("float").alias(f"d{k}") for k in (0, 1)]
+    pairs = pairs.select("context", "word", "place", *[F.col(_name(k, fold)).alias(f"n{k}") for k in (0, 1)])
+    few = [F.count_if(F.col(f"n{k}") == i).alias(f"f{k}_{i}") for k in (0, 1) for i in (1, 2)]
+    few = pairs.agg(*few).first()
+    pair_discount = [_discount(few[f"f{k}_1"], few[f"f{k}_2"]) for k in (0, 1)]
+    left = [F.greatest(F.col(f"n{k}") - F.lit(pair_discount[k]), F.lit(0.0)).alias(f"d{k}") for k in (0, 1)]
     kinds = [F.count_if(F.col(f"n{k}") > 0).cast("int").alias(f"c{k}") for k in (0, 1)]
-    words = pairs.groupBy(F.col("word").cast("int").alias("word")).agg(*kinds)
-    spread = F.sum((F.col("c0") > 0).cast("int") + (F.col("c1") > 0).cast("int"))
-    *totals, classes = words.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("c0", "c1")], F.coalesce(spread, F.lit(0))).first()
-    word = words.where(F.greatest("c0", "c1") > discount).toArrow().to_pandas()
+    word = pairs.groupBy(F.col("word").cast("int").alias("word")).agg(*kinds).toArrow().to_pandas()
     size = 1 << WORD_BITS
-    shared = np.full(size, 1.5 / (classes + 0.5 * size), np.float32)
-    shared[word["word"]] = ((word["c0"] > 0).astype(int) + (word["c1"] > 0) + 0.5) / (classes + 0.5 * size)
+    known = (word["c0"] > 0).to_numpy(int) + (word["c1"] > 0).to_numpy(int)
+    shared = np.full(size, 0.5 / (known.sum() + 0.5 * size))
+    shared[word["word"]] = (known + 0.5) / (known.sum() + 0.5 * size)
     model = ToxicityModel(
         np.empty((2, size), np.float32), np.zeros((2, size), np.float32), np.ones((2, size), np.float32),
-        np.zeros((2, 1 << PAIR_BITS), np.float32), np.zeros(3),
+        np.zeros((2, 1 << PAIR_BITS), np.float32), np.zeros(1 + 2 * KINDS),
     )
     for k in (0, 1):
-        kept, total = np.maximum(word[f"c{k}"] - discount, 0), max(totals[k], 1)
+        own = word[f"c{k}"].to_numpy()
+        kept, total = np.maximum(own - _discount((own == 1).sum(), (own == 2).sum()), 0), max(own.sum(), 1)
         model.word[k] = (1 - kept.sum() / total) * shared
-        model.word[k][word["word"]] += (kept / total).to_numpy(np.float32)
+        model.word[k][word["word"]] += (kept / total).astype(np.float32)
     context = pairs.select(F.col("context").cast("int").alias("context"), "n0", "n1", *left).groupBy("context")
-    context = context.agg(*[F.sum(c).cast("float").alias(c) for c in ("n0", "n1", "d0", "d1")])
-    context = context.where("d0 + d1 > 0").toArrow().to_pandas()
+    context = context.agg(*[F.sum(c).alias(c) for c in ("n0", "n1", "d0", "d1")]).toArrow().to_pandas()
     for k in (0, 1):
-        model.seen[k][context["context"]] = context[f"n{k}"]
-        model.rest[k][context["context"]] = 1 - context[f"d{k}"] / np.maximum(context[f"n{k}"], 1)
-    often = pairs.where(F.greatest("n0", "n1") > pair_discount).select("context", "word", *left).toArrow().to_pandas()
-    at = _pair_place(often["context"].to_numpy(np.int64), often["word"].to_numpy(np.int64))
+        seen = context[f"n{k}"].to_numpy()
+        model.seen[k][context["context"]] = seen
+        model.rest[k][context["context"]] = np.where(seen > 0, 1 - context[f"d{k}"] / np.maximum(seen, 1), 1)
+    often = pairs.select("place", *left).groupBy("place").agg(*[F.sum(c).cast("float").alias(c) for c in ("d0", "d1")]).toArrow().to_pandas()
     for k in (0, 1):
-        np.add.at(model.pair[k], at, often[f"d{k}"].to_numpy(np.float32))
+        model.pair[k][often["place"]] = often[f"d{k}"]
     return model
 
 
@@ -199,8 +221,6 @@ def fit_toxicity(
     key: str = "doc_id",
     label: str = "toxic",
     sample: int = SAMPLE,
-    discount: float = DISCOUNT,
-    pair_discount: float = PAIR_DISCOUNT,
 ) -> ToxicityModel | float:
     """A model from labelled rows, or the share of toxic labels where a class has too few.
 
@@ -217,38 +237,59 @@ def fit_toxicity(
     pairs = materialise(_pairs(rows), "toxicity-pairs")
     parts = []
     for f in range(FOLDS):
-        shipped = spark.sparkContext.broadcast(_arrays(pairs, f, discount, pair_discount))
-        parts.append(_told(rows.where(F.col("fold") == f), shipped, ["toxic"]).select("toxic", "__ratio", "__words").toArrow().to_pandas())
+        shipped = spark.sparkContext.broadcast(_arrays(pairs, f))
+        parts.append(_told(rows.where(F.col("fold") == f), shipped, ["toxic", "fold"]).toArrow().to_pandas())
         shipped.destroy()
     told = pd.concat(parts)
     toxic = told["toxic"].to_numpy()
     weight = np.where(toxic == 1, shares[0] / (toxic == 1).sum(), (shares[1] - shares[0]) / (toxic == 0).sum())
-    x = _features(told["__ratio"].to_numpy(), told["__words"].to_numpy())
-    model = _arrays(pairs, None, discount, pair_discount)
-    model.weights = fit_logistic(x, toxic, weight / weight.sum() * len(weight))
+    x = _features(np.stack(told["__evidence"].to_list()), told["__words"].to_numpy())
+    model = _arrays(pairs, None)
+    model.weights = _fit_weights(x, toxic, weight / weight.sum() * len(weight), told["fold"].to_numpy())
     return model
 
 
+def _fit_weights(x: np.ndarray, y: np.ndarray, weight: np.ndarray, fold: np.ndarray) -> np.ndarray:
+    """Coefficients with the ridge under which those of the other folds have the least loss on each fold."""
+    losses = []
+    for ridge in RIDGES:
+        loss = 0.0
+        for f in range(FOLDS):
+            own = fold == f
+            logit = x[own] @ fit_logistic(x[~own], y[~own], weight[~own], ridge)
+            loss += weight[own] @ np.logaddexp(0, np.where(y[own] > 0, -1, 1) * logit)
+        losses.append(loss)
+    return fit_logistic(x, y, weight, RIDGES[int(np.argmin(losses))])
+
+
 def _told(rows: DataFrame, shipped, keep: list[str], text: str = "text") -> DataFrame:
     """Columns ``keep``, the evidence and the number of words of each row."""
     own = rows.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("__text"))
-    schema = own.select(*[F.col(f"`{c}`") for c in keep], F.lit(0.0).alias("__ratio"), F.lit(0).cast("long").alias("__words")).schema
+    more = [F.lit(None).cast("array<double>").alias("__evidence"), F.lit(0).cast("long").alias("__words")]
+    schema = own.select(*[F.col(f"`{c}`") for c in keep], *more).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ratio, words = _ratios(shipped.value, batch.column(len(keep)))
-            found = [*batch.columns[:-1], pa.array(ratio, pa.float64()), pa.array(words.astype(np.int64), pa.int64())]
-            yield pa.RecordBatch.from_arrays(found, names=[*keep, "__ratio", "__words"])
+            evidence, words = _ratios(shipped.value, batch.column(len(keep)))
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(words) + 1, dtype=np.int32) * KINDS), pa.array(evidence.ravel()))
+            found = [*batch.columns[:-1], lists, pa.array(words.astype(np.int64))]
+            yield pa.RecordBatch.from_arrays(found, names=[*keep, "__evidence", "__words"])
 
     return own.mapInArrow(run, schema)
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel | float, keep: list[str], text: str = "text") -> DataFrame:
     """Columns ``keep`` and ``score`` (0 to 1) for every row of ``docs``."""
+    kept = [F.col(f"`{c}`") for c in keep]
     if not isinstance(model, ToxicityModel):
-        return docs.select(*[F.col(f"`{c}`") for c in keep], F.lit(float(model)).alias("score"))
-    told = _told(docs, docs.sparkSession.sparkContext.broadcast(model), keep, text)
-    n = F.col("__words") + F.lit(SHORT)
-    a, b, c = (F.lit(float(w)) for w in model.weights)
-    score = F.lit(1.0) / (F.lit(1.0) + F.exp(-(a + b * F.col("__ratio") / n + c * F.col("__ratio") / F.sqrt(n))))
-    return told.select(*[F.col(f"`{c}`") for c in keep], score.alias("score"))
+        return docs.select(*kept, F.lit(float(model)).alias("score"))
+    shipped = docs.sparkSession.sparkContext.broadcast(model)
+    own = docs.select(*kept, F.col(f"`{text}`").alias("__text"))
+    schema = own.select(*kept, F.lit(0.0).alias("score")).schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            score = probability(_features(*_ratios(shipped.value, batch.column(len(keep)))) @ shipped.value.weights)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(score)], names=[*keep, "score"])
+
+    return own.mapInArrow(run, schema)

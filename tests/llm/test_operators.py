@@ -9,6 +9,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -95,6 +96,51 @@ def test_toxicity(spark, documents):
     assert toxicity.score_toxicity(docs.where("false"), model, ["doc_id"]).count() == 0
 
 
+def plain_toxicity(texts):
+    """Counted from text: after how many different words each pair stands, in each class; with base probabilities."""
+    triples = [set(), set()]
+    for text, toxic in texts:
+        words = ["<s>", "<s>", *text.split()]
+        triples[toxic] |= set(zip(words, words[1:], words[2:]))
+    pairs = [collections.Counter((b, c) for _, b, c in t) for t in triples]
+    words = [collections.Counter(c for _, c in p) for p in pairs]
+    size = 1 << toxicity.WORD_BITS
+    kinds = sum(len(w) for w in words)
+
+    def discount(counts):
+        of = collections.Counter(counts.values())
+        return (of[1] + 0.5) / (of[1] + 2 * of[2] + 1)
+
+    def chance(k, context, word):
+        total, d = sum(words[k].values()), discount(words[k])
+        shared = (sum(word in w for w in words) + 0.5) / (kinds + 0.5 * size)
+        alone = max(words[k][word] - d, 0) / total + sum(min(d, n) for n in words[k].values()) / total * shared
+        own = {c: n for (b, c), n in pairs[k].items() if b == context}
+        if not own:
+            return alone, alone
+        total, d = sum(own.values()), discount(pairs[k])
+        return alone, max(own.get(word, 0) - d, 0) / total + d * len(own) / total * alone
+
+    return chance
+
+
+def test_every_word_of_a_text_is_evidence(spark, documents):
+    draw = random.Random(5)
+    vocabulary = [f"w{chr(97 + i)}{chr(97 + i // 3)}" for i in range(24)]
+    texts = [(" ".join(draw.choice(vocabulary[i % 2 * 6 :]) for _ in range(draw.randrange(3, 40))), i % 2) for i in range(64)]
+    labels = spark.createDataFrame([(i, toxic) for i, (_, toxic) in enumerate(texts)], "doc_id bigint, toxic int")
+    model = toxicity.fit_toxicity(documents([(i, t) for i, (t, _) in enumerate(texts)]), labels)
+    assert (model.pair > 0).sum() > 400  # no pair is emptied, however rare
+    chance = plain_toxicity(texts)
+    told = ["wbb unseen wcc wbb wcc wbb", texts[0][0], texts[1][0], "", texts[1][0] + " " + texts[1][0]]
+    evidence, words = toxicity._ratios(model, pa.array(told))
+    for i, text in enumerate(told):
+        own = ["<s>", *text.split()]
+        ratio = sum(np.log(chance(1, b, c)[1] / chance(0, b, c)[1]) for b, c in zip(own, own[1:]))
+        assert words[i] == len(own) - 1 and evidence[i, :: len(toxicity.POWERS)].sum() == pytest.approx(ratio, rel=1e-3, abs=1e-2)
+    assert np.allclose(toxicity._ratios(model, pa.array(told[-1:]))[0], evidence[-1:])
+
+
 # --- 2: licences ------------------------------------------------------------------------
 
 LICENSES = [
