@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moniker.llm.jaccard import linked_classes
+from moniker.llm.jaccard import Rule, linked_classes
 from moniker.llm.mixing import mixed_documents
 from moniker.llm.pieces import encode_pieces
 from moniker.llm.queries import piece_model, table, toxicity_model
@@ -19,6 +19,7 @@ from moniker.llm.toxicity import score_toxicity
 from moniker.sources import materialise
 
 ORACLE_SQL = None
+NEAR = Rule(words=5, least=80)
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,12 +29,12 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the least id.
+    """Of each group of linked documents the one with the least id; links are by shingles of five words and a similarity of 0.8.
 
     Rows with one id are one document: one of them stays, if any does. Rows without an id
     cannot be told apart and all stay, as do documents without words.
     """
-    told = linked_classes(docs).where(F.col("id").isNotNull()).groupBy("id")
+    told = linked_classes(docs, NEAR).where(F.col("id").isNotNull()).groupBy("id")
     told = told.agg(F.count(F.lit(1)).alias("__rows"), F.max((F.col("id") == F.col("component")).cast("int")).alias("__stays"))
     stays = materialise(told.where("__stays = 1").select(F.col("id").alias("__id"), "__rows"), "stays")
     match = F.col("doc_id") == F.col("__id")

@@ -51,6 +51,37 @@ def test_one_document_of_each_group_stays(stages):
     assert len(after) < len(before)
 
 
+def near_classes(rows, words, least):
+    """Least id of the group of each row, by comparing all pairs of sets of shingles."""
+    sets = []
+    for _, text in rows:
+        own = plain_words(text)
+        sets.append({tuple(own[i : i + words]) for i in range(max(1, len(own) - words + 1))} if own else set())
+    label = [key for key, _ in rows]
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a and b and 100 * len(a & b) >= least * len(a | b):
+                x, y = sorted((label[i], label[j]))
+                label = [x if v == y else v for v in label]
+    return label
+
+
+def test_copies_from_four_fifths_on_go(spark, documents):
+    """Texts with words added at one end, so that copies have any similarity from 0.70 to 0.95."""
+    rows = []
+    for group, size in enumerate([24, 60, 104, 250]):
+        base = [f"g{group}w{i}" for i in range(size)]
+        rows.append((100 * group, " ".join(base)))
+        for i, similar in enumerate([0.70, 0.78, 0.79, 0.80, 0.81, 0.82, 0.83, 0.84, 0.86, 0.95]):
+            more = [f"g{group}c{i}x{j}" for j in range(int((size - 4) * (1 / similar - 1)))]
+            rows.append((100 * group + i + 1, " ".join([*base, *more])))
+    rows += [(10**4 + i, t) for i, t in enumerate(near_texts(11, 20))]
+    kept = corpus_pipeline.without_near_duplicates(spark, documents(rows, extra=False), DATA).collect()
+    stays = {key for (key, _), least in zip(rows, near_classes(rows, 5, 80), strict=True) if key == least}
+    assert sorted(r["doc_id"] for r in kept) == sorted(stays)
+    assert stays < {key for (key, _), least in zip(rows, near_classes(rows, 4, 85), strict=True) if key == least}
+
+
 def test_secrets_are_masked(stages):
     before, after, _ = stages["secrets"]
     texts = {r["doc_id"]: r["text"] for r in before}
