@@ -47,7 +47,7 @@ WORD_BITS, PAIR_BITS = 20, 21
 FOLDS = 4
 POWERS = (1, 2, 3)  # of log-likelihood ratios; their coefficients say how much more large ones count
 KINDS = 4 * len(POWERS)  # of evidence: alone or by context, for either class
-RIDGES = [1.0, 0.1, 0.01, 0.001]  # that which tells the folds best is taken
+RIDGES = [10.0, 1.0, 0.1, 0.01, 0.001]  # the strongest is taken that tells the folds as well as the best, within the error
 START = np.uint64(0x243F6A8885A308D3)
 
 
@@ -250,16 +250,21 @@ def fit_toxicity(
 
 
 def _fit_weights(x: np.ndarray, y: np.ndarray, weight: np.ndarray, fold: np.ndarray) -> np.ndarray:
-    """Coefficients with the ridge under which those of the other folds have the least loss on each fold."""
+    """Coefficients with a ridge by the loss on each fold of those from the other folds.
+
+    The strongest whose loss is the least but for one standard error, so that few rows say little.
+    """
     losses = []
     for ridge in RIDGES:
-        loss = 0.0
+        loss = np.zeros(len(y))
         for f in range(FOLDS):
             own = fold == f
             logit = x[own] @ fit_logistic(x[~own], y[~own], weight[~own], ridge)
-            loss += weight[own] @ np.logaddexp(0, np.where(y[own] > 0, -1, 1) * logit)
+            loss[own] = weight[own] * np.logaddexp(0, np.where(y[own] > 0, -1, 1) * logit)
         losses.append(loss)
-    return fit_logistic(x, y, weight, RIDGES[int(np.argmin(losses))])
+    best = min(losses, key=np.sum)
+    good = [np.sum(loss - best) <= np.std(loss - best) * np.sqrt(len(y)) for loss in losses]
+    return fit_logistic(x, y, weight, RIDGES[good.index(True)])
 
 
 def _told(rows: DataFrame, shipped, keep: list[str], text: str = "text") -> DataFrame:
