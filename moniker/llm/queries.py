@@ -7,13 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from moniker.llm.audit import AUDIT_SQL, audit_filters
 from moniker.llm.cotrain import fit_quality, score_quality
 from moniker.llm.jaccard import linked_classes
 from moniker.llm.lattice import linked_vectors
 from moniker.llm.licenses import find_licenses, license_sql
 from moniker.llm.maxent import ROUNDS, score_texts
+from moniker.llm.middle import MIDDLE_SQL, fill_in_middle
 from moniker.llm.mixing import mix_sources
 from moniker.llm.nearest import nearest
+from moniker.llm.pages import main_texts
 from moniker.llm.pieces import piece_digests
 from moniker.llm.secrets import find_secrets
 from moniker.llm.toxicity import ToxicityModel, fit_toxicity, score_toxicity
@@ -129,6 +132,19 @@ def language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(docs, ~F.col("held_out"), ["doc_id", "held_out"], part)
 
 
+def middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle(table(spark, sf_dir, "documents"), digests=True).withColumnRenamed("id", "doc_id")
+
+
+def extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = main_texts(table(spark, sf_dir, "pages"), ["page_id", "url"])
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
+def audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_cotraining": cotraining,
@@ -141,8 +157,11 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_lattice": lattice,
         "op9_pieces": pieces,
         "op10_language_model": language_model,
+        "op11_middle": middle,
+        "op12_extraction": extraction,
+        "op13_audit": audit,
     }
 
 
 def statements() -> dict[str, str]:
-    return {"op2_licenses": license_sql(), "op6_mixing": MIXING_SQL}
+    return {"op2_licenses": license_sql(), "op6_mixing": MIXING_SQL, "op11_middle": MIDDLE_SQL, "op13_audit": AUDIT_SQL}
