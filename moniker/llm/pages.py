@@ -121,10 +121,14 @@ def _node_of(tag: str, attributes: str) -> tuple[str, int]:
     return "|".join([tag, *(DIGITS.sub("0", x) for x in names)]), seen
 
 
-@lru_cache(1 << 16)
-def number(key: str) -> int:
-    """64-bit hash of a key."""
-    return int.from_bytes(blake2b(key.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+def number(text: str) -> int:
+    """64-bit hash of a text."""
+    return int.from_bytes(blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+
+
+@lru_cache(1 << 14)
+def _child(node: int, key: str) -> int:
+    return number(f"{node}/{key}")
 
 
 @dataclass(frozen=True)
@@ -214,7 +218,7 @@ class Page:
         hidden = top.hidden or seen == HIDDEN or seen == UNLESS_MARKED and not top.marks
         node = top.node
         if not hidden and top.depth < DEPTH:
-            node = number(f"{top.node}/{key}")
+            node = _child(top.node, key)
             self.above[node] = top.node
             self.children.setdefault(top.node, []).append(key)
         self._push(Open(tag, node, hidden, top.marks | {"article": 1, "main": 2}.get(tag, 0), top.depth + 1))
