@@ -6,10 +6,14 @@ character (checked when the model is loaded), so no merge crosses such a cut, an
 distinct unit of a chunk is merged once.
 
 A round of merges works on flat arrays of the symbols of all units: the least pair rank
-of each unit is found by a segmented minimum (of equal ranks the leftmost), every unit
-merges that one pair, and the arrays are compacted; units without a pair left drop out.
-A unit of more than ``LONG`` characters would need as many rounds; it is merged with a
-heap instead, in the same order, so that its cost stays n log n.
+of each unit is found by a segmented minimum, all pairs of that rank are merged at once, from
+the left and without overlaps, and the arrays are compacted; units without a pair left drop
+out. Where a merged piece has a pair of a lower rank than its own, which would come before the
+places further right, only the leftmost place is merged in that round. Units of more than ``WHOLE`` characters are cut where
+two characters stand that no piece has side by side. A segment of more than ``LONG`` characters,
+as hardly occurs in text, could need thousands of rounds over all of it; it is merged with a
+heap instead, in the same order, so that its cost stays n log n. Units are told apart by their
+bytes; hashes only bring equal ones together.
 
 Null text is empty; an empty text has no piece but the end id. Texts are never cut.
 """
@@ -30,7 +34,7 @@ from pyspark.sql import functions as F
 from moniker.llm.words import hash_ranges, row_chunks, spread, text_bytes
 
 SPACE = "▁"
-LONG = 96
+WHOLE, LONG = 48, 4096
 CACHE = 80_000
 CHUNK = 1 << 20
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
@@ -108,6 +112,18 @@ class PieceModel:
         self.keys = np.fromiter(sorted(pairs), np.int64, len(pairs))
         self.ranks = np.array([pairs[k][0] for k in self.keys.tolist()], np.int64)
         self.merged = np.array([pairs[k][1] for k in self.keys.tolist()], np.int64)
+        # A merge is safe to make everywhere at once if what it makes has no pair of a lower rank,
+        # so that none of its pairs would come before the places still to be merged.
+        first = np.full(self.size, NONE)
+        for side in (self.keys >> 21, self.keys & ((1 << 21) - 1)):
+            whole = side < self.size
+            np.minimum.at(first, side[whole], self.ranks[whole])
+        own = np.full(self.size, NONE)
+        own[self.merged] = self.ranks
+        often = np.bincount(self.ranks[np.unique(self.merged, return_index=True)[1]]) if len(pairs) else np.zeros(1, np.int64)
+        self.safe = (first > own) & (own < NONE) & (often[np.minimum(own, len(often) - 1)] == 1)
+        beside = {ord(a) << 21 | ord(b) for p in known for a, b in zip(p, p[1:], strict=False)}
+        self.beside = np.array(sorted(beside) or [-1], np.int64)
         text = {NORMAL: lambda p: p.replace(SPACE, " ").encode(), UNKNOWN: lambda p: " ⁇ ".encode()}
         text |= {CONTROL: lambda p: b"", BYTE: lambda p: bytes([int(p[3:5], 16)])}
         self.text = [text[k](p) for p, k in zip(pieces, kinds, strict=True)]
@@ -123,6 +139,11 @@ class PieceModel:
         hit = self.keys[at] == key
         return np.where(hit, self.ranks[at], NONE >> 31), self.merged[at]
 
+    def together(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Whether two characters stand side by side in some piece."""
+        key = left << 21 | right
+        return self.beside[np.minimum(np.searchsorted(self.beside, key), len(self.beside) - 1)] == key
+
     def ids_of(self, symbols: list[int]) -> list[int]:
         """Ids of merged symbols; a character without a piece becomes its bytes."""
         if not symbols or max(symbols) < self.size:
@@ -176,8 +197,15 @@ def _characters(run: bytearray) -> str:
     return "".join(out)
 
 
+def _leftmost(found: np.ndarray) -> np.ndarray:
+    """Of places of pairs in order, the leftmost that do not overlap."""
+    fresh = np.concatenate([[True], np.diff(found) != 1])
+    at = np.arange(len(found))
+    return found[(at - at[fresh][np.cumsum(fresh) - 1]) % 2 == 0]
+
+
 def merge_rounds(model: PieceModel, symbols: np.ndarray, lengths: np.ndarray) -> list[list[int]]:
-    """Merged symbols of units that lie one after the other in ``symbols``."""
+    """Merged symbols of segments that lie one after the other in ``symbols``."""
     done: list[list[int] | None] = [None] * len(lengths)
     unit = np.repeat(np.arange(len(lengths)), lengths)
     rank, merged = np.full(len(symbols), NONE >> 31), np.zeros(len(symbols), np.int64)
@@ -199,19 +227,21 @@ def merge_rounds(model: PieceModel, symbols: np.ndarray, lengths: np.ndarray) ->
             for u, x, y in zip(unit[starts[over]].tolist(), [0, *ends], ends, strict=False):
                 done[u] = flat[x:y]
         keep = np.repeat(busy, sizes)
-        at = best[busy] & ((1 << 31) - 1)
+        least = best & ((1 << 31) - 1)
+        at = np.flatnonzero(keep & (rank == np.repeat(best >> 31, sizes)))
+        at = at[model.safe[merged[at]] | (at == np.repeat(least, sizes)[at])]
+        if not len(at):
+            break
+        at = _leftmost(at)
         symbols[at] = merged[at]
-        rank[at] = rank[at + 1]
         keep[at + 1] = False
         place = np.cumsum(keep) - 1
-        symbols, unit, rank, merged, last = symbols[keep], unit[keep], rank[keep], merged[keep], last[keep]
+        symbols, unit, rank, merged = symbols[keep], unit[keep], rank[keep], merged[keep]
         at = place[at]
-        if not len(symbols):
-            break
         last = np.concatenate([unit[1:] != unit[:-1], [True]])
-        for near in (at, at[(at > 0)] - 1):
-            near = near[~last[near]]
-            rank[near], merged[near] = model.look_up(symbols[near], symbols[near + 1])
+        near = np.concatenate([at, at[at > 0] - 1])
+        near = near[~last[near]]
+        rank[near], merged[near] = model.look_up(symbols[near], symbols[near + 1])
         rank[last] = NONE >> 31
     return done
 
@@ -243,25 +273,41 @@ def merge_heap(model: PieceModel, symbols: list[int]) -> list[int]:
 
 
 def merge_units(model: PieceModel, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[list[int]]:
-    """Ids of units given as ranges of UTF-8 bytes."""
+    """Ids of units given as ranges of UTF-8 bytes, none of them empty."""
     own = data[spread(starts, ends - starts)]
     begins = np.concatenate([[0], np.cumsum(ends - starts)])
     counted = np.concatenate([[0], np.cumsum((own & 0xC0) != 0x80)])
-    lengths = np.diff(counted[begins])
-    points = np.frombuffer(own.tobytes().decode().encode("utf-32-le"), np.uint32)
+    places = counted[begins]
+    points = np.frombuffer(own.tobytes().decode().encode("utf-32-le"), np.uint32).astype(np.int64)
+    points[points == ord(" ")] = ord(SPACE)
     symbols = model.character[points]
-    firsts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
+    firsts, lengths = _segments(model, points, places)
     short = lengths <= LONG
-    merged = iter(merge_rounds(model, symbols[spread(firsts[short], lengths[short])], lengths[short]))
-    out = []
-    if short.all() and (not len(symbols) or int(symbols.max()) < model.size):
-        return list(merged)
-    for i, is_short in enumerate(short.tolist()):
-        if is_short:
-            out.append(model.ids_of(next(merged)))
-        else:
-            out.append(model.ids_of(merge_heap(model, symbols[firsts[i] : firsts[i] + lengths[i]].tolist())))
-    return out
+    own = symbols if short.all() else symbols[spread(firsts[short], lengths[short])]
+    segments = merge_rounds(model, own, lengths[short])
+    if not short.all():
+        rest = iter(segments)
+        segments = [next(rest) if s else merge_heap(model, symbols[a : a + n].tolist()) for s, a, n in zip(short.tolist(), firsts.tolist(), lengths.tolist(), strict=True)]
+    if len(segments) > len(starts):
+        bounds = np.searchsorted(firsts, places).tolist()
+        segments = [list(chain.from_iterable(segments[a:b])) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+    if len(symbols) and int(symbols.max()) >= model.size:  # some characters have no piece
+        odd = np.searchsorted(places, np.flatnonzero(symbols >= model.size), side="right") - 1
+        for i in np.unique(odd).tolist():
+            segments[i] = model.ids_of(segments[i])
+    return segments
+
+
+def _segments(model: PieceModel, points: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First character and length of each segment: whole units, the longer ones cut where nothing can be merged."""
+    firsts, lengths = places[:-1], np.diff(places)
+    if (lengths <= WHOLE).all():
+        return firsts, lengths
+    own = np.flatnonzero(np.repeat(lengths > WHOLE, lengths))
+    own = own[own + 1 < len(points)]
+    cuts = own[~model.together(points[own], points[own + 1])] + 1
+    firsts = np.union1d(firsts, cuts)
+    return firsts, np.diff(np.append(firsts, len(points)))
 
 
 class Units:
@@ -293,13 +339,24 @@ class Units:
             yield map(own, which[a:b])
 
 
+def _distinct(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One place of each distinct unit, and for every unit which of them it is. Units cover ``data``."""
+    hashes, where, which = np.unique(hash_ranges(data, starts, ends), return_index=True, return_inverse=True)
+    first, lengths = where[which], ends - starts
+    if (lengths[first] == lengths).all() and np.array_equal(data, data[spread(starts[first], lengths)]):
+        return where, which
+    whole, places = data.tobytes(), {}  # two units with one hash
+    which = np.array([places.setdefault(whole[a:b], len(places)) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)])
+    return np.unique(which, return_index=True)[1], which
+
+
 class Encoder:
     """Encodes chunks of rows; remembers the last ``CACHE`` to twice as many units between chunks."""
 
     def __init__(self, model: bytes):
         self.model = PieceModel(model)
         self.number = [str(i).encode() for i in range(self.model.size)]
-        self.seen: dict[int, tuple[list[int], bytes, bytes]] = {}
+        self.seen: dict[bytes, tuple[list[int], bytes, bytes]] = {}
         self.older = self.seen
 
     def units(self, column: pa.Array) -> Units:
@@ -314,8 +371,9 @@ class Encoder:
         before = np.concatenate([[False], space[:-1]]) if len(data) else space
         starts = np.flatnonzero((space & ~before) | first[:-1]) if len(data) else np.empty(0, np.int64)
         ends = np.append(starts[1:], len(data)) if len(starts) else starts
-        hashes, where, which = np.unique(hash_ranges(data, starts, ends), return_index=True, return_inverse=True)
-        keys = hashes.tolist()
+        where, which = _distinct(data, starts, ends)
+        whole = data.tobytes()
+        keys = [whole[a:b] for a, b in zip(starts[where].tolist(), ends[where].tolist(), strict=True)]
         if len(self.seen) > CACHE:
             self.seen, self.older = {}, self.seen
         found = list(map(self.seen.get, keys))

@@ -8,16 +8,14 @@ many rows Spark puts in a batch.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 CHUNK = 2 << 20
-BLOCK = 1 << 17
-BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
-INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
+BLOCK = 1 << 16
+STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -65,36 +63,52 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-@cache
-def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
-    n = 1 << bits
-    return tuple(np.cumprod(np.concatenate([[np.uint64(1)], np.full(n - 1, x, np.uint64)])) for x in (BASE, INVERSE))
-
-
-@cache
-def _byte_values() -> np.ndarray:
-    return mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
+def _block_sums(blocks: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Sum of the mixed 8-byte blocks of each range, each told by its place; all ranges have bytes."""
+    counts = (lengths + 7) >> 3
+    first = np.cumsum(counts) - counts
+    place = np.arange(int(counts.sum())) - np.repeat(first, counts)
+    value = blocks[np.repeat(starts, counts) + 8 * place]
+    over = 8 * counts - lengths  # bytes of the last block that are not of the range
+    value[first + counts - 1] &= ~np.uint64(0) >> (8 * over).astype(np.uint64)
+    return np.add.reduceat(mix(mix(value + STEP) + place.astype(np.uint64) * STEP), first)
 
 
 def hash_ranges(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hash of each range of bytes; equal bytes have equal hashes wherever they stand.
 
-    Ranges are in order. They are hashed from running sums over blocks that stay in cache.
+    Blocks of 8 bytes are mixed with their place in the range and summed, so that no relation of
+    the bytes to each other cancels out. About ``BLOCK`` blocks are held at a time.
     """
-    out = np.empty(len(starts), np.uint64)
+    lengths = (ends - starts).astype(np.int64)
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    blocks = np.lib.stride_tricks.as_strided(padded[:8].view(np.uint64), (len(data) + 1,), (1,))
+    sums = np.zeros(len(starts), np.uint64)
+    counted = np.concatenate([[0], np.cumsum((lengths + 7) >> 3)])
     at = 0
     while at < len(starts):
-        low = int(starts[at])
-        to = max(at + 1, int(np.searchsorted(ends, low + BLOCK, side="right")))
-        own = data[low : ends[to - 1]]
-        power, inverse = _powers(max(len(own) - 1, BLOCK - 1).bit_length())
-        sums = np.empty(len(own) + 1, np.uint64)
-        sums[0] = 0
-        np.cumsum(_byte_values()[own] * power[: len(own)], out=sums[1:])
-        begin, end = starts[at:to] - low, ends[at:to] - low
-        out[at:to] = (sums[end] - sums[begin]) * inverse[begin]
+        to = max(at + 1, int(np.searchsorted(counted, counted[at] + BLOCK, side="right")) - 1)
+        own = slice(at, to)
+        some = lengths[own] > 0
+        if counted[to] - counted[at] <= 2 * BLOCK:
+            if some.any():
+                sums[own][some] = _block_sums(blocks, starts[own][some], lengths[own][some])
+        else:  # one long range, piece by piece
+            sums[at] = _long_sum(blocks, int(starts[at]), int(lengths[at]))
         at = to
-    return mix(out + (ends - starts).astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
+    return mix(sums + lengths.astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
+
+
+def _long_sum(blocks: np.ndarray, start: int, length: int) -> np.uint64:
+    total = np.zeros(1, np.uint64)
+    for low in range(0, length, 8 * BLOCK):
+        count = min(BLOCK, (length - low + 7) >> 3)
+        place = np.arange(low >> 3, (low >> 3) + count)
+        value = blocks[start + 8 * place]
+        over = max(0, low + 8 * count - length)
+        value[-1] &= ~np.uint64(0) >> np.uint64(8 * over)
+        total += mix(mix(value + STEP) + place.astype(np.uint64) * STEP).sum()
+    return total[0]
 
 
 def is_letter(data: np.ndarray) -> np.ndarray:

@@ -24,6 +24,26 @@ def plain_words(text):
     return [w for w in lowered.split(" ") if w]
 
 
+def parity_twins(size):
+    """Two words of ``size`` letters by the parity of the bits of the place, one the other's exchange."""
+    odd = [bin(i).count("1") & 1 for i in range(size)]
+    return ["".join("ab"[x ^ y] for x in odd) for y in (0, 1)]
+
+
+def test_structured_words_have_different_hashes():
+    made = [w for n in (8, 64, 1024, 2048) for w in parity_twins(n)]
+    made += ["a" * i + "b" + "a" * (99 - i) for i in range(100)] + [x * 8 + y * 8 for x in "abcd" for y in "abcd"] + ["\0" * i + "x" for i in range(40)]
+    assert len(set(words.hashed_words(pa.array(made))[0].tolist())) == len(set(made))
+
+
+def test_hashes_do_not_depend_on_the_place():
+    draw = random.Random(3)
+    own = ["".join(draw.choice("abé𝔘") for _ in range(n)) for n in (1, 7, 8, 9, 16, 17, 4000)]
+    alone = [words.hashed_words(pa.array([w]))[0][0] for w in own]
+    for shift in range(9):
+        assert words.hashed_words(pa.array(["x" * shift + " " + " ".join(own)]))[0][-len(own) :].tolist() == alone
+
+
 @pytest.mark.parametrize("block", [8, 1 << 17])
 def test_words_and_hashes(monkeypatch, block):
     monkeypatch.setattr(words, "BLOCK", block)
@@ -88,6 +108,27 @@ def test_long_units_and_unknown_characters(encoder, library):
     assert encoded(encoder, pa.array(texts)) == library.encode(texts, add_eos=True)
 
 
+def test_words_with_structured_bytes(encoder, library):
+    texts = [" ".join(parity_twins(n)) for n in (1024, 2048)] + parity_twins(1024)
+    assert encoded(encoder, pa.array(texts)) == library.encode(texts, add_eos=True)
+
+
+def test_units_with_one_hash(encoder, library, monkeypatch):
+    monkeypatch.setattr(pieces, "hash_ranges", lambda data, starts, ends: (ends - starts).astype(np.uint64))
+    texts = ["one two six ten", "the fox ran off", "ten one", ""]
+    assert encoded(encoder, pa.array(texts)) == library.encode(texts, add_eos=True)
+
+
+@pytest.mark.parametrize("long", [4, 4096])
+def test_merges_at_once_and_by_heap_equal_the_library(encoder, library, monkeypatch, long):
+    monkeypatch.setattr(pieces, "LONG", long)
+    draw = random.Random(7)
+    texts = ["".join(draw.choice(a) for _ in range(draw.randrange(300))) for a in ("ab", "aeinrst", "abcdefghijklmnopqrstuvwxyz", "a", "01", "=-", "日本語のは", "éèàß") for _ in range(20)]
+    monkeypatch.setattr(encoder, "seen", {})
+    monkeypatch.setattr(encoder, "older", {})
+    assert encoded(encoder, pa.array(texts)) == library.encode(texts, add_eos=True)
+
+
 def test_decoding_any_ids(encoder, library):
     draw = random.Random(4)
     for _ in range(500):
