@@ -19,7 +19,7 @@ from moniker.sources.ner import (
     read_ner,
     write_mentions,
 )
-from moniker.sources.scratch import materialise, scratch_job, scratch_path
+from moniker.sources.scratch import materialise, scratch_job, scratch_path, settle
 
 __all__ = [
     "MENTION_SCHEMA",
@@ -43,5 +43,6 @@ __all__ = [
     "read_ner",
     "scratch_job",
     "scratch_path",
+    "settle",
     "write_mentions",
 ]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 from functools import cache
@@ -69,6 +69,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{_base(spark)}/moniker/{_JOB.get()}{name}-{uuid.uuid4().hex}"
 
 
+def settle(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """Write what ``build`` gives and read it back; the intermediate tables made on the way are deleted."""
+    path = scratch_path(spark, name)
+    with scratch_job(spark):
+        made = build()
+        made.write.parquet(path)
+        schema = made.schema
+    return spark.read.schema(schema).parquet(path)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once and read it back.
 
