@@ -9,9 +9,11 @@ Which segments it shows is a matter of cost. Signatures are ordered by what they
 segment with many shingles rarely agrees by chance, an empty one always does. As the
 order depends on the signature alone, two sets that agree in enough segments also share
 one of their first ``H + 1``, H the most in which they can differ, and the others need
-not be shown. Where a band's segments would be too small to tell sets apart, half as
-many are used, and each is shown whole and with every one of its shingles left out; then
-similar sets have a segment in which they differ by one shingle at most.
+not be shown. The other way is to use half as many segments and to show each whole and with
+every one of its shingles left out; then similar sets have a segment in which they differ by
+one shingle at most. That shows more signatures, but longer ones, which meet less often by
+chance. Which way is cheaper is measured for each band on a sample of ``MEASURED`` documents;
+both ways keep every link.
 
 In every bucket of a signature the least set is compared with all others; nothing else is
 needed where they prove linked. A set that lies in another component than the least one is
@@ -45,16 +47,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from moniker.llm.graph import components
-from moniker.llm.words import groups, hashed_words, mix, row_chunks
+from moniker.llm.words import groups, hashed_words, mix, row_chunks, spread
 from moniker.sources import materialise
 
 PROBED = 1 << 14
-HOT_SHARE, HOT_LIST = 512, 1 << 17
+HOT_SHARE, HOT_LIST = 1024, 1 << 17
 BLOCK = 512
 FORESTS = 4
-# Weighing the ways to show a band: a row costs 1; two segments of t shingles agree by
-# chance, at a cost of COMMON, with probability ODDS**t.
-COMMON, ODDS = 10_000.0, 0.03
+MEASURED, COMMON = 1 << 11, 20.0
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -80,18 +80,51 @@ def band_of(n: np.ndarray) -> np.ndarray:
     return np.frexp(n.astype(np.float64))[1] - 1
 
 
-def allocation(rule: Rule, bands: int = 48) -> tuple[np.ndarray, np.ndarray]:
-    """Segments of each band, and whether they are shown with one shingle left out."""
+@dataclass(frozen=True)
+class Ways:
+    """For each band its segments, and whether they are shown with one shingle left out."""
+
+    segments: np.ndarray
+    leave_out: np.ndarray
+
+
+def ways_of(rule: Rule, leave_out: np.ndarray | bool = False, bands: int = 48) -> Ways:
+    """Both ways keep the pigeonhole: plain has one segment more than the differences, the other half as many."""
     low = 2 ** np.arange(bands, dtype=np.int64)
     high = 2 * low - 1
     differ = rule.differ(high, rule.largest(high))
-    plain, loose = differ + 1, (differ + 2) // 2
-    t = low / plain
-    cost_plain = (differ + 1) * (1 + COMMON * ODDS**t)
-    t = low / loose
-    cost_loose = loose * (1 + COMMON * ODDS**t) + low * (1 + COMMON * ODDS ** np.maximum(t - 1, 0))
-    leave_out = cost_loose < cost_plain
-    return np.where(leave_out, loose, plain), leave_out
+    leave_out = np.broadcast_to(leave_out, (bands,))
+    return Ways(np.where(leave_out, (differ + 2) // 2, differ + 1), leave_out)
+
+
+def allocation(docs: DataFrame, rule: Rule, rows: int, key: str, text: str) -> Ways:
+    """The cheaper way for each band by what a sample of ``MEASURED`` documents shows in either way.
+
+    A row costs 1. A signature that another set shows as well costs ``COMMON``, and as most of these meet by
+    chance, as often as there are more documents than in the sample.
+    """
+    share = min(1.0, MEASURED / max(rows, 1))
+    picked = F.pmod(F.xxhash64(F.col(f"`{key}`"), F.lit(11)), F.lit(1 << 20)) < int(share * (1 << 20))
+    own = docs.where(picked).select(F.col(f"`{text}`").alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b in row_chunks(batch.column(0)):
+                shingles, begins = shingle_sets(batch.column(0).slice(a, b - a), rule)
+                classes, n = _class_of(shingles, begins), np.diff(begins)
+                for leave_out in (False, True):
+                    shown, first = signatures(shingles, begins, rule, ways_of(rule, leave_out))
+                    counts = np.diff(first)
+                    columns = [np.repeat(band_of(np.maximum(n, 1)), counts).astype(np.int32), np.full(len(shown), leave_out)]
+                    columns += [shown.view(np.int64), np.repeat(classes, counts)]
+                    yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names=["band", "less", "signature", "class"])
+
+    shown = own.mapInArrow(run, "band int, less boolean, signature bigint, class bigint")
+    met = shown.groupBy("band", "less", "signature").agg(F.count(F.lit(1)).alias("n"), F.min("class").alias("a"), F.max("class").alias("b"))
+    cost = F.sum("n") + F.lit(COMMON / max(share, 1e-9)) * F.sum(F.when(F.col("a") < F.col("b"), F.col("n")).otherwise(0))
+    costs = {(r["band"], r["less"]): r["cost"] for r in met.groupBy("band", "less").agg(cost.alias("cost")).collect()}
+    less = [costs.get((band, True), 1.0) < costs.get((band, False), 0.0) for band in range(48)]
+    return ways_of(rule, np.array(less))
 
 
 def shingle_sets(column: pa.Array, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
@@ -118,9 +151,9 @@ def shingle_sets(column: pa.Array, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
     return shingles[keep], np.concatenate([[0], np.cumsum(keep)])[first]
 
 
-def _show(shingles: np.ndarray, row: np.ndarray, n: np.ndarray, band: np.ndarray, shown: np.ndarray, ways) -> tuple:
+def _show(shingles: np.ndarray, row: np.ndarray, n: np.ndarray, band: np.ndarray, shown: np.ndarray, ways: Ways) -> tuple:
     """Signatures of sets in given bands: (set number, signature). ``shown``: how many segments each shows."""
-    segments, leave_out = ways[0][band], ways[1][band]
+    segments, leave_out = ways.segments[band], ways.leave_out[band]
     base = np.concatenate([[0], np.cumsum(segments)])
     salt = mix(band.astype(np.uint64) + np.uint64(77))[row]
     token = mix(shingles ^ salt)
@@ -141,10 +174,9 @@ def _show(shingles: np.ndarray, row: np.ndarray, n: np.ndarray, band: np.ndarray
     return np.concatenate([owner[kept], row[loose]]), np.concatenate([whole[kept], less])
 
 
-def signatures(shingles: np.ndarray, begins: np.ndarray, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
+def signatures(shingles: np.ndarray, begins: np.ndarray, rule: Rule, ways: Ways) -> tuple[np.ndarray, np.ndarray]:
     """Signatures of all sets, and the first of each set (one more at the end)."""
     n = np.diff(begins)
-    ways = allocation(rule)
     rows, found = [], []
     own_band = band_of(np.maximum(n, 1))
     below = 2**own_band - 1
@@ -176,28 +208,47 @@ def _class_of(shingles: np.ndarray, begins: np.ndarray) -> np.ndarray:
     return mix(sums[begins[1:]] - sums[begins[:-1]] + np.diff(begins).astype(np.uint64) * STEP).astype(np.int64)
 
 
-def document_sets(docs: DataFrame, rule: Rule, key: str, text: str) -> DataFrame:
-    """(id, n, class, signatures) of each row; null class for an empty set."""
+def document_sets(docs: DataFrame, rule: Rule, ways: Ways, key: str, text: str) -> DataFrame:
+    """(id, n, class, signatures) of each row; null class for an empty set.
+
+    Each task lists the signatures of a class once, however many copies it reads.
+    """
     own = docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("text"))
     schema = f"id {own.schema['id'].dataType.simpleString()}, n bigint, class bigint, signatures array<bigint>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        listed = np.empty(0, np.int64)
         for batch in batches:
             for a, b in row_chunks(batch.column(1)):
                 shingles, begins = shingle_sets(batch.column(1).slice(a, b - a), rule)
-                n = np.diff(begins)
-                shown, first = signatures(shingles, begins, rule)
+                n, classes = np.diff(begins), _class_of(shingles, begins)
+                fresh = np.zeros(len(n), bool)
+                fresh[np.unique(classes, return_index=True)[1]] = True
+                fresh &= (n > 0) & ~_among(listed, classes)
+                listed = np.union1d(listed, classes[fresh])
+                picked, sizes = np.flatnonzero(fresh), n[fresh]
+                bounds = np.concatenate([[0], np.cumsum(sizes)])
+                shown, some = signatures(shingles[spread(begins[picked], sizes)], bounds, rule, ways)
+                counts = np.zeros(len(n), np.int64)
+                counts[picked] = np.diff(some)
+                first = np.concatenate([[0], np.cumsum(counts)])
                 lists = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(shown.view(np.int64)))
-                classes = pa.array(_class_of(shingles, begins), pa.int64(), mask=n == 0)
-                columns = [batch.column(0).slice(a, b - a), pa.array(n.astype(np.int64)), classes, lists]
+                columns = [batch.column(0).slice(a, b - a), pa.array(n.astype(np.int64)), pa.array(classes, pa.int64(), mask=n == 0), lists]
                 yield pa.RecordBatch.from_arrays(columns, names=["id", "n", "class", "signatures"])
 
     return own.mapInArrow(run, schema)
 
 
+def _among(sorted_: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Which values are in a sorted array."""
+    if not len(sorted_):
+        return np.zeros(len(values), bool)
+    return sorted_[np.minimum(np.searchsorted(sorted_, values), len(sorted_) - 1)] == values
+
+
 def bit_count(n: int) -> int:
-    """Bits of a set's parities: at least as many as shingles, so that sets that differ enough show it."""
-    return 1 << min(max(n.bit_length(), 9), 16)
+    """Bits of a set's parities: four or more for each shingle, so that few differences hide each other."""
+    return 1 << min(max((4 * n - 1).bit_length(), 9), 18)
 
 
 def parities(shingles: np.ndarray) -> bytes:
@@ -337,27 +388,60 @@ def _outsiders(stars: DataFrame, candidates: DataFrame, roots: DataFrame, rule:
     return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
 
 
-def _buckets(sets: DataFrame) -> DataFrame:
-    """(rep, class): every class that shares a signature with others, with the least class that has it."""
-    shown = sets.where(F.size("signatures") > 0).select("class", F.explode("signatures").alias("signature"))
-    rows = sets.count()
+def _listed(sets: DataFrame, hot: np.ndarray, inside: bool) -> DataFrame:
+    """(class, signature) of all signatures that are hot, or of all that are not."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(1)
+            value = lists.flatten().to_numpy()
+            classes = np.repeat(batch.column(0).to_numpy(), lists.value_lengths().to_numpy())
+            picked = _among(hot, value) == inside
+            yield pa.RecordBatch.from_arrays([pa.array(classes[picked]), pa.array(value[picked])], names=["class", "signature"])
+
+    return sets.where(F.size("signatures") > 0).select("class", "signatures").mapInArrow(run, "class bigint, signature bigint")
+
+
+def _with_hot(sets: DataFrame, hot: np.ndarray, least: np.ndarray) -> DataFrame:
+    """(rep, class): each class with the least classes of its ``hot`` signatures, each once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(1)
+            value = lists.flatten().to_numpy()
+            classes = np.repeat(batch.column(0).to_numpy(), lists.value_lengths().to_numpy())
+            picked = _among(hot, value)
+            pairs = np.stack([least[np.searchsorted(hot, value[picked])], classes[picked]])
+            rep, own = np.unique(pairs[:, pairs[0] != pairs[1]], axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(rep), pa.array(own)], names=["rep", "class"])
+
+    return sets.where(F.size("signatures") > 0).select("class", "signatures").mapInArrow(run, "rep bigint, class bigint")
+
+
+def _buckets(sets: DataFrame, rows: int) -> DataFrame:
+    """(rep, class): every class that shares a signature with others, with the least class that has it.
+
+    What comes to the driver are at most ``HOT_LIST`` signatures, and the least class of each.
+    """
     share = min(1.0, PROBED / max(rows, 1))
-    probe = shown.where(F.pmod(F.xxhash64("class", F.lit(5)), F.lit(1 << 20)) < int(share * (1 << 20)))
-    often = probe.groupBy("signature").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= max(16, share * rows / HOT_SHARE))
-    hot = materialise(often.orderBy(F.desc("n"), "signature").limit(HOT_LIST).select("signature"), "hot-signatures")
-    cold = shown.join(F.broadcast(hot), "signature", "left_anti")
+    probe = sets.where(F.pmod(F.xxhash64("class", F.lit(5)), F.lit(1 << 20)) < int(share * (1 << 20)))
+    often = _listed(probe, np.empty(0, np.int64), False).groupBy("signature").agg(F.count(F.lit(1)).alias("n"))
+    often = often.where(F.col("n") >= max(16, share * rows / HOT_SHARE)).orderBy(F.desc("n"), "signature").limit(HOT_LIST)
+    hot = np.sort(often.select("signature").toArrow().column(0).to_numpy())
     own = Window.partitionBy("signature")
-    found = cold.withColumn("rep", F.min("class").over(own)).where("rep <> class").select("rep", "class")
-    warm = shown.join(F.broadcast(hot), "signature")
-    least = warm.groupBy("signature").agg(F.min("class").alias("rep"))
-    warm = warm.join(F.broadcast(least), "signature").where("rep <> class").select("rep", "class")
-    return materialise(found.union(warm).distinct(), "stars")
+    found = _listed(sets, hot, False).withColumn("rep", F.min("class").over(own)).where("rep <> class").select("rep", "class")
+    if len(hot):
+        known = _listed(sets, hot, True).groupBy("signature").agg(F.min("class").alias("least")).toArrow().sort_by("signature")
+        found = found.union(_with_hot(sets, *(known.column(c).to_numpy() for c in ("signature", "least"))))
+    return materialise(found.distinct(), "stars")
 
 
 def linked_classes(docs: DataFrame, rule: Rule = Rule(), key: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, n, component) of every row of ``docs``: the size of its set and the least id linked with it."""
-    sets = materialise(document_sets(docs, rule, key, text), "sets")
-    stars = _buckets(sets)
+    rows = docs.count()
+    ways = allocation(docs, rule, rows, key, text)
+    sets = materialise(document_sets(docs, rule, ways, key, text), "sets")
+    stars = _buckets(sets, rows)
     some = sets.where("class is not null").groupBy("class").agg(F.min("id").alias("id"))
     asked = stars.select("class").union(stars.select("rep")).distinct()
     candidates = materialise(_candidates(docs, asked.join(some, "class"), rule, key, text), "candidates")

@@ -283,18 +283,18 @@ def _told(rows: DataFrame, shipped, keep: list[str], text: str = "text") -> Data
     return own.mapInArrow(run, schema)
 
 
-def score_toxicity(docs: DataFrame, model: ToxicityModel | float, keep: list[str], text: str = "text") -> DataFrame:
-    """Columns ``keep`` and ``score`` (0 to 1) for every row of ``docs``."""
+def score_toxicity(docs: DataFrame, model: ToxicityModel | float, keep: list[str], text: str = "text", score: str = "score") -> DataFrame:
+    """Columns ``keep`` and the ``score`` (0 to 1) under that name for every row of ``docs``."""
     kept = [F.col(f"`{c}`") for c in keep]
     if not isinstance(model, ToxicityModel):
-        return docs.select(*kept, F.lit(float(model)).alias("score"))
+        return docs.select(*kept, F.lit(float(model)).alias(score))
     shipped = docs.sparkSession.sparkContext.broadcast(model)
     own = docs.select(*kept, F.col(f"`{text}`").alias("__text"))
-    schema = own.select(*kept, F.lit(0.0).alias("score")).schema
+    schema = own.select(*kept, F.lit(0.0).alias(score)).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            score = probability(_features(*_ratios(shipped.value, batch.column(len(keep)))) @ shipped.value.weights)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(score)], names=[*keep, "score"])
+            told = probability(_features(*_ratios(shipped.value, batch.column(len(keep)))) @ shipped.value.weights)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(told)], names=[*keep, score])
 
     return own.mapInArrow(run, schema)

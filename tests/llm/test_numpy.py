@@ -163,13 +163,14 @@ def near_texts(seed, count=60):
     return out
 
 
+@pytest.mark.parametrize("leave_out", [False, True])
 @pytest.mark.parametrize("seed", range(4))
-def test_linked_sets_share_a_signature(seed):
+def test_linked_sets_share_a_signature(seed, leave_out):
     texts, rule = near_texts(seed), jaccard.Rule()
     shingles, begins = jaccard.shingle_sets(pa.array(texts), rule)
     sets = [shingle_set(t) for t in texts]
     assert np.diff(begins).tolist() == list(map(len, sets))
-    shown, first = jaccard.signatures(shingles, begins, rule)
+    shown, first = jaccard.signatures(shingles, begins, rule, jaccard.ways_of(rule, leave_out))
     own = [set(shown[a:b].tolist()) for a, b in zip(first[:-1], first[1:], strict=True)]
     bits = [np.frombuffer(jaccard.parities(shingles[a:b]), np.uint64) for a, b in zip(begins[:-1], begins[1:], strict=True)]
     links = 0
@@ -183,6 +184,14 @@ def test_linked_sets_share_a_signature(seed):
     assert links > 10
 
 
+@pytest.mark.parametrize("rule", [jaccard.Rule(), jaccard.Rule(words=5, least=80)])
+def test_plain_segments_show_fewer_signatures_than_shingles(rule):
+    for n in (8, 20, 100, 500, 3000):
+        shingles = words.mix(np.arange(n, dtype=np.uint64))
+        shown, _ = jaccard.signatures(shingles, np.array([0, n]), rule, jaccard.ways_of(rule))
+        assert len(shown) <= 0.6 * n + 2
+
+
 def test_spanning_forest_joins_what_the_edges_join():
     draw = np.random.default_rng(0)
     for _ in range(50):

@@ -18,7 +18,7 @@ import public_tokenizers
 from moniker.llm import cotrain, graph, jaccard, lattice, licenses, maxent, mixing, nearest, pieces, secrets, toxicity
 from moniker.llm.queries import MIXING_SQL, piece_model
 from tests.llm.conftest import VECTORS
-from tests.llm.test_numpy import near_texts, plain_words, shingle_set
+from tests.llm.test_numpy import near_texts, parity_twins, plain_words, shingle_set
 
 ODD = [(1, None), (2, ""), (3, "  \n"), (None, "alpha beta gamma delta"), (4, "same text here now"), (4, "same text here now"), (5, "é𝔘 \0 x")]
 
@@ -239,7 +239,8 @@ def linked(rows):
 
 @pytest.mark.parametrize("small", [False, True])
 def test_jaccard_join(documents, monkeypatch, small):
-    if small:  # many blocks, all signatures hot, one forest
+    if small:  # many blocks, all signatures hot, one forest, always one shingle left out
+        monkeypatch.setattr(jaccard, "allocation", lambda docs, rule, *_: jaccard.ways_of(rule, True))
         monkeypatch.setattr(jaccard, "BLOCK", 2)
         monkeypatch.setattr(jaccard, "HOT_SHARE", 10**6)
         monkeypatch.setattr(jaccard, "FORESTS", 1)
@@ -252,9 +253,20 @@ def test_jaccard_join(documents, monkeypatch, small):
             own[draw.randrange(120)] = f"x{i}{draw.random()}"
         rows.append((1000 + i, " ".join(own)))
     rows += [(k, t) for k, t in ODD if k is not None]
+    rows += [(5000 + i, t) for i, t in enumerate(parity_twins(1024))]  # two words that say nothing of each other
     assert rows_of(jaccard.linked_classes(documents(rows))) == linked(rows)
 
 
+def test_the_cheaper_way_is_measured(documents):
+    draw = random.Random(1)
+    few = [(i, " ".join(f"{i}x{j}" for j in range(45))) for i in range(40)]
+    many = [(100 + i, " ".join({f"s{draw.randrange(100)}" for _ in range(12)})) for i in range(400)]  # share words by chance
+    rule = jaccard.Rule(words=1, least=80)
+    ways = jaccard.allocation(documents(few + many), rule, 440, "doc_id", "text")
+    assert not ways.leave_out[5] and ways.leave_out[3]
+    assert not jaccard.allocation(documents(few).where("false"), rule, 0, "doc_id", "text").leave_out.any()
+
+
 def test_jaccard_join_without_rows(documents):
     assert jaccard.linked_classes(documents(ODD).where("false")).count() == 0
     assert jaccard.linked_classes(documents([(None, "a b c d e"), (1, "a b c d e")])).count() == 2

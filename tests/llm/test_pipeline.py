@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 import public_tokenizers
 from moniker.llm import queries
+from moniker.sources import materialise
 from tests.llm.test_operators import ODD, base_spans, linked
 from tests.llm.test_numpy import near_texts, plain_words
 
@@ -25,7 +26,7 @@ def stages(spark, documents):
     docs = queries.table(spark, DATA, "documents").unionByName(documents(planted, extra=False))
     out, rows = {}, docs.collect()
     for name, stage in corpus_pipeline.STAGES:
-        made = corpus_pipeline.materialise(stage(spark, docs, DATA), f"test-{name}")
+        made = materialise(stage(spark, docs, DATA), f"test-{name}")
         out[name] = (rows, made.collect(), made.columns)
         docs, rows = made, out[name][1]
     return out
@@ -117,6 +118,13 @@ def test_repeated_and_missing_ids(spark, documents):
         assert stage(spark, none, DATA).columns == NAMES and stage(spark, none, DATA).count() == 0
 
 
+def test_stages_with_clashing_columns(spark, documents):
+    docs = documents([(i, f"some words of text {i} password=abcdefgh{i}", "en", "a") for i in range(20)] + [r for r in ODD if r[0] is not None])
+    for name, stage in corpus_pipeline.STAGES:
+        made = stage(spark, docs, DATA)
+        assert made.columns[: len(docs.columns)] == docs.columns and made.count() > 0, name
+
+
 def test_run_is_the_stages_in_order(spark, monkeypatch):
     named = [(str(i), lambda s, docs, d, i=i: docs.withColumn(f"c{i}", F.lit(i))) for i in range(3)]
     monkeypatch.setattr(corpus_pipeline, "STAGES", named)
