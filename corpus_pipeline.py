@@ -16,7 +16,7 @@ from moniker.llm.pieces import encode_pieces
 from moniker.llm.queries import piece_model, table, toxicity_model
 from moniker.llm.secrets import mask_secrets
 from moniker.llm.toxicity import score_toxicity
-from moniker.sources import materialise
+from moniker.sources import scratch_job, settle
 
 ORACLE_SQL = None
 NEAR = Rule(words=5, least=80)
@@ -24,8 +24,10 @@ NEAR = Rule(words=5, least=80)
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below one half. Repeated rows and null texts are scored like all."""
-    scored = score_toxicity(docs, toxicity_model(spark, docs, sf_dir), docs.columns)
-    return scored.where(F.col("score") < 0.5).select(docs.columns)
+    with scratch_job(spark):  # the model is held by the driver
+        model = toxicity_model(spark, docs, sf_dir)
+    scored = score_toxicity(docs, model, docs.columns, score="__score")
+    return scored.where(F.col("__score") < 0.5).drop("__score")
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,9 +36,14 @@ def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     Rows with one id are one document: one of them stays, if any does. Rows without an id
     cannot be told apart and all stay, as do documents without words.
     """
-    told = linked_classes(docs, NEAR).where(F.col("id").isNotNull()).groupBy("id")
-    told = told.agg(F.count(F.lit(1)).alias("__rows"), F.max((F.col("id") == F.col("component")).cast("int")).alias("__stays"))
-    stays = materialise(told.where("__stays = 1").select(F.col("id").alias("__id"), "__rows"), "stays")
+
+
+    def least_of_groups() -> DataFrame:
+        told = linked_classes(docs, NEAR).where(F.col("id").isNotNull()).groupBy("id")
+        told = told.agg(F.count(F.lit(1)).alias("__rows"), F.max((F.col("id") == F.col("component")).cast("int")).alias("__stays"))
+        return told.where("__stays = 1").select(F.col("id").alias("__id"), "__rows")
+
+    stays = settle(spark, "stays", least_of_groups)
     match = F.col("doc_id") == F.col("__id")
     single = docs.join(stays.where("__rows = 1"), match, "left_semi")
     several = docs.join(stays.where("__rows > 1"), match, "left_semi").dropDuplicates(["doc_id"])
@@ -73,5 +80,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each stage's rows are written and read again."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), name)
+        docs = settle(spark, name, lambda stage=stage, docs=docs: stage(spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)
