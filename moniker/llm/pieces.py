@@ -23,7 +23,6 @@ from __future__ import annotations
 import hashlib
 import heapq
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +34,6 @@ from moniker.llm.words import hash_ranges, row_chunks, spread, text_bytes
 
 SPACE = "▁"
 WHOLE, LONG = 48, 4096
-CACHE = 80_000
 CHUNK = 1 << 20
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 NONE = np.int64(1) << 62
@@ -68,6 +66,20 @@ def _fields(data: bytes) -> Iterator[tuple[int, object]]:
             at += size
 
 
+class Table:
+    """Byte strings by number, one after the other in one array."""
+
+    def __init__(self, strings: list[bytes]):
+        self.flat = np.frombuffer(b"".join(strings), np.uint8)
+        self.sizes = np.fromiter(map(len, strings), np.int64, len(strings))
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def gather(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bytes of all ``numbers``, and where each begins (one more at the end)."""
+        sizes = self.sizes[numbers]
+        return self.flat[spread(self.starts[numbers], sizes)], np.concatenate([[0], np.cumsum(sizes)])
+
+
 class PieceModel:
     """Tables of a BPE model whose normaliser changes nothing but spaces.
 
@@ -108,7 +120,6 @@ class PieceModel:
                 left, right = (self._symbol(known, x) for x in (p[:cut], p[cut:]))
                 if left is not None and right is not None:
                     pairs[left << 21 | right] = (order[scores[i]], i)
-        self.pairs = pairs
         self.keys = np.fromiter(sorted(pairs), np.int64, len(pairs))
         self.ranks = np.array([pairs[k][0] for k in self.keys.tolist()], np.int64)
         self.merged = np.array([pairs[k][1] for k in self.keys.tolist()], np.int64)
@@ -127,11 +138,17 @@ class PieceModel:
         text = {NORMAL: lambda p: p.replace(SPACE, " ").encode(), UNKNOWN: lambda p: " ⁇ ".encode()}
         text |= {CONTROL: lambda p: b"", BYTE: lambda p: bytes([int(p[3:5], 16)])}
         self.text = [text[k](p) for p, k in zip(pieces, kinds, strict=True)]
+        self.texts = Table(self.text)
+        self.numbers = Table([b" %d" % i for i in range(self.size)])
         self.kinds = np.array(kinds)
 
     def _symbol(self, known: dict[str, int], text: str) -> int | None:
         return known.get(text, int(self.character[ord(text)]) if len(text) == 1 else None)
 
+    def pairs(self) -> dict[int, tuple[int, int]]:
+        """Rank and merged id of each pair of symbols."""
+        return dict(zip(self.keys.tolist(), zip(self.ranks.tolist(), self.merged.tolist(), strict=True), strict=True))
+
     def look_up(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank (``NONE``: no piece) and merged id of pairs of symbols."""
         key = left << 21 | right
@@ -144,19 +161,26 @@ class PieceModel:
         key = left << 21 | right
         return self.beside[np.minimum(np.searchsorted(self.beside, key), len(self.beside) - 1)] == key
 
-    def ids_of(self, symbols: list[int]) -> list[int]:
-        """Ids of merged symbols; a character without a piece becomes its bytes."""
-        if not symbols or max(symbols) < self.size:
-            return symbols
-        out = []
-        for s in symbols:
-            if s < self.size:
-                out.append(s)
-            elif self.bytes:
-                out.extend(self.bytes[b] for b in chr(s - self.size).encode())
-            elif not out or out[-1] != self.unknown:
-                out.append(self.unknown)
-        return out
+    def ids_of(self, symbols: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the merged symbols of units and their number; a character without a piece becomes its bytes."""
+        odd = symbols >= self.size
+        if not odd.any():
+            return symbols, counts
+        unit = np.repeat(np.arange(len(counts)), counts)
+        if self.bytes:
+            kinds, which = np.unique(symbols[odd], return_inverse=True)
+            table = Table([chr(x - self.size).encode() for x in kinds.tolist()])
+            size = np.ones(len(symbols), np.int64)
+            size[odd] = table.sizes[which]
+            ids = np.repeat(symbols, size)
+            ids[np.repeat(odd, size)] = np.array(self.bytes)[table.gather(which)[0]]
+            unit = np.repeat(unit, size)
+        else:
+            ids = np.where(odd, self.unknown, symbols)
+            again = np.zeros(len(ids), bool)
+            again[1:] = odd[1:] & odd[:-1] & (unit[1:] == unit[:-1])
+            ids, unit = ids[~again], unit[~again]
+        return ids, np.bincount(unit, minlength=len(counts))
 
     def decode(self, ids: list[int]) -> str:
         """Text of ids; the space before the first word goes, bytes that are no UTF-8 become U+FFFD each."""
@@ -204,9 +228,9 @@ def _leftmost(found: np.ndarray) -> np.ndarray:
     return found[(at - at[fresh][np.cumsum(fresh) - 1]) % 2 == 0]
 
 
-def merge_rounds(model: PieceModel, symbols: np.ndarray, lengths: np.ndarray) -> list[list[int]]:
-    """Merged symbols of segments that lie one after the other in ``symbols``."""
-    done: list[list[int] | None] = [None] * len(lengths)
+def merge_rounds(model: PieceModel, symbols: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Merged symbols of segments that lie one after the other in ``symbols``, and how many each has."""
+    done = [(np.empty(0, np.int64), np.empty(0, np.int64))]
     unit = np.repeat(np.arange(len(lengths)), lengths)
     rank, merged = np.full(len(symbols), NONE >> 31), np.zeros(len(symbols), np.int64)
     if len(symbols) > 1:
@@ -220,13 +244,8 @@ def merge_rounds(model: PieceModel, symbols: np.ndarray, lengths: np.ndarray) ->
         best = np.minimum.reduceat(rank << 31 | np.arange(len(rank)), starts)
         busy = best < NONE
         sizes = np.diff(np.append(starts, len(symbols)))
-        if not busy.all():
-            over = ~busy
-            flat = symbols[spread(starts[over], sizes[over])].tolist()
-            ends = np.cumsum(sizes[over]).tolist()
-            for u, x, y in zip(unit[starts[over]].tolist(), [0, *ends], ends, strict=False):
-                done[u] = flat[x:y]
         keep = np.repeat(busy, sizes)
+        done.append((unit[~keep], symbols[~keep]))
         least = best & ((1 << 31) - 1)
         at = np.flatnonzero(keep & (rank == np.repeat(best >> 31, sizes)))
         at = at[model.safe[merged[at]] | (at == np.repeat(least, sizes)[at])]
@@ -243,18 +262,19 @@ def merge_rounds(model: PieceModel, symbols: np.ndarray, lengths: np.ndarray) ->
         near = near[~last[near]]
         rank[near], merged[near] = model.look_up(symbols[near], symbols[near + 1])
         rank[last] = NONE >> 31
-    return done
+    unit, symbols = map(np.concatenate, zip(*done, strict=True))
+    return symbols[np.argsort(unit, kind="stable")], np.bincount(unit, minlength=len(lengths))
 
 
 def merge_heap(model: PieceModel, symbols: list[int]) -> list[int]:
     """The same merges for one long unit, least rank and leftmost first, from a heap."""
     n = len(symbols)
     symbols, before, after = list(symbols), list(range(-1, n - 1)), list(range(1, n + 1))
-    heap = []
+    heap, pairs = [], model.pairs()
 
     def push(left: int) -> None:
         right = after[left] if left >= 0 else n
-        if left >= 0 and right < n and (found := model.pairs.get(symbols[left] << 21 | symbols[right])):
+        if left >= 0 and right < n and (found := pairs.get(symbols[left] << 21 | symbols[right])):
             heapq.heappush(heap, (found[0], left, right, symbols[left], symbols[right], found[1]))
 
     for i in range(n - 1):
@@ -272,8 +292,8 @@ def merge_heap(model: PieceModel, symbols: list[int]) -> list[int]:
     return [s for s in symbols if s >= 0]
 
 
-def merge_units(model: PieceModel, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[list[int]]:
-    """Ids of units given as ranges of UTF-8 bytes, none of them empty."""
+def merge_units(model: PieceModel, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of units given as ranges of UTF-8 bytes, none of them empty, and how many each has."""
     own = data[spread(starts, ends - starts)]
     begins = np.concatenate([[0], np.cumsum(ends - starts)])
     counted = np.concatenate([[0], np.cumsum((own & 0xC0) != 0x80)])
@@ -283,19 +303,16 @@ def merge_units(model: PieceModel, data: np.ndarray, starts: np.ndarray, ends: n
     symbols = model.character[points]
     firsts, lengths = _segments(model, points, places)
     short = lengths <= LONG
-    own = symbols if short.all() else symbols[spread(firsts[short], lengths[short])]
-    segments = merge_rounds(model, own, lengths[short])
-    if not short.all():
-        rest = iter(segments)
-        segments = [next(rest) if s else merge_heap(model, symbols[a : a + n].tolist()) for s, a, n in zip(short.tolist(), firsts.tolist(), lengths.tolist(), strict=True)]
-    if len(segments) > len(starts):
-        bounds = np.searchsorted(firsts, places).tolist()
-        segments = [list(chain.from_iterable(segments[a:b])) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-    if len(symbols) and int(symbols.max()) >= model.size:  # some characters have no piece
-        odd = np.searchsorted(places, np.flatnonzero(symbols >= model.size), side="right") - 1
-        for i in np.unique(odd).tolist():
-            segments[i] = model.ids_of(segments[i])
-    return segments
+    if short.all():
+        symbols, counts = merge_rounds(model, symbols, lengths)
+    else:
+        merged, sizes = merge_rounds(model, symbols[spread(firsts[short], lengths[short])], lengths[short])
+        parts = iter(np.split(merged, np.cumsum(sizes)[:-1]) if short.any() else ())
+        whole = [next(parts) if s else merge_heap(model, symbols[a : a + n].tolist()) for s, a, n in zip(short.tolist(), firsts.tolist(), lengths.tolist(), strict=True)]
+        symbols, counts = np.concatenate(whole).astype(np.int64), np.fromiter(map(len, whole), np.int64, len(whole))
+    if len(counts) > len(starts):
+        counts = np.diff(np.concatenate([[0], np.cumsum(counts)])[np.searchsorted(firsts, places)])
+    return model.ids_of(symbols, counts)
 
 
 def _segments(model: PieceModel, points: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -311,32 +328,18 @@ def _segments(model: PieceModel, points: np.ndarray, places: np.ndarray) -> tupl
 
 
 class Units:
-    """Distinct units of a chunk and where the rows have them."""
+    """Ids of the distinct units of a chunk, and where the rows have them."""
 
-    def __init__(self, found: list[tuple[list[int], bytes, bytes]], which: np.ndarray, begins: np.ndarray):
-        self.ids, self.written, self.back = zip(*found, strict=True) if found else ((), (), ())
-        self.which, self.begins = which, begins
-
-    def counts(self) -> np.ndarray:
-        """Ids of each row, without an end id."""
-        sums = np.concatenate([[0], np.cumsum(np.fromiter(map(len, self.ids), np.int64, len(self.ids))[self.which])])
-        return np.diff(sums[self.begins])
+    def __init__(self, ids: np.ndarray, counts: np.ndarray, which: np.ndarray, begins: np.ndarray):
+        self.ids, self.counts, self.which, self.begins = ids, counts, which, begins
 
     def flat_ids(self, end: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows, each ended by ``end``, and the first of each row (one more at the end)."""
-        sizes = np.fromiter(map(len, self.ids), np.int64, len(self.ids))
-        whole = np.fromiter(chain(chain.from_iterable(self.ids), [end]), np.int32, int(sizes.sum()) + 1)
-        starts, sizes = np.concatenate([[0], np.cumsum(sizes)]), np.append(sizes, 1)
-        placed = np.insert(self.which, self.begins[1:], len(self.ids))
-        sizes = sizes[placed]
+        whole, sizes = np.append(self.ids, end).astype(np.int32), np.append(self.counts, 1)
+        placed = np.insert(self.which, self.begins[1:], len(self.counts))
+        starts, sizes = (np.cumsum(sizes) - sizes)[placed], sizes[placed]
         first = np.concatenate([[0], np.cumsum(sizes)])[self.begins + np.arange(len(self.begins))]
-        return whole[spread(starts[placed], sizes)], first
-
-    def rows(self, values: tuple) -> Iterator[Iterator]:
-        """For each row what ``values`` has for its units, in order."""
-        own, which = values.__getitem__, self.which.tolist()
-        for a, b in zip(self.begins[:-1].tolist(), self.begins[1:].tolist(), strict=True):
-            yield map(own, which[a:b])
+        return whole[spread(starts, sizes)], first
 
 
 def _distinct(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -351,16 +354,13 @@ def _distinct(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[n
 
 
 class Encoder:
-    """Encodes chunks of rows; remembers the last ``CACHE`` to twice as many units between chunks."""
+    """Encodes chunks of rows."""
 
     def __init__(self, model: bytes):
         self.model = PieceModel(model)
-        self.number = [str(i).encode() for i in range(self.model.size)]
-        self.seen: dict[bytes, tuple[list[int], bytes, bytes]] = {}
-        self.older = self.seen
 
     def units(self, column: pa.Array) -> Units:
-        """Units of all rows; for each distinct one its ids, these written out, and the bytes decoded from them."""
+        """Units of all rows."""
         column = pc.replace_substring(pc.fill_null(column.cast(pa.large_string()), ""), SPACE, " ")
         empty = pc.equal(pc.binary_length(column), 0)
         prefix = pc.if_else(empty, WIDE[""], WIDE[" "])
@@ -372,27 +372,7 @@ class Encoder:
         starts = np.flatnonzero((space & ~before) | first[:-1]) if len(data) else np.empty(0, np.int64)
         ends = np.append(starts[1:], len(data)) if len(starts) else starts
         where, which = _distinct(data, starts, ends)
-        whole = data.tobytes()
-        keys = [whole[a:b] for a, b in zip(starts[where].tolist(), ends[where].tolist(), strict=True)]
-        if len(self.seen) > CACHE:
-            self.seen, self.older = {}, self.seen
-        found = list(map(self.seen.get, keys))
-        new = []
-        for i, unit in enumerate(found):
-            if unit is None:
-                found[i] = unit = self.older.get(keys[i])
-                if unit is None:
-                    new.append(i)
-                else:
-                    self.seen[keys[i]] = unit
-        if new:
-            number, back = self.number.__getitem__, self.model.text.__getitem__
-            order = np.argsort(where[new])
-            new = np.array(new)[order]
-            for i, ids in zip(new.tolist(), merge_units(self.model, data, starts[where[new]], ends[where[new]]), strict=True):
-                unit = (ids, b" ".join(map(number, ids)), b"".join(map(back, ids)))
-                found[i] = self.seen[keys[i]] = unit
-        return Units(found, which, np.searchsorted(starts, begins))
+        return Units(*merge_units(self.model, data, starts[where], ends[where]), which, np.searchsorted(starts, begins))
 
 
 def encode_pieces(df: DataFrame, model: bytes, text: str = "text", ids: str = "ids") -> DataFrame:
@@ -430,14 +410,18 @@ def decode_pieces(df: DataFrame, model: bytes, ids: str = "ids", text: str = "de
     return df.select(*[F.col(f"`{c}`") for c in rest]).mapInArrow(run, schema)
 
 
-def _sha256(data: bytes, prefix: bytes = b"") -> str:
-    return hashlib.sha256(data.removeprefix(prefix)).hexdigest()
+def _digests(table: Table, ids: np.ndarray, first: np.ndarray) -> Iterator[str]:
+    """SHA-256 of what ``table`` has for the ids of each row, without the space it may begin with."""
+    data, begins = table.gather(ids)
+    whole, bounds = data.tobytes(), begins[first].tolist()
+    for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+        yield hashlib.sha256(whole[a:b].removeprefix(b" ")).hexdigest()
 
 
 def piece_digests(df: DataFrame, model: bytes, keys: list[str], text: str = "text") -> DataFrame:
     """``keys``, the number of ids, and SHA-256 of the ids and of the text decoded from them, for each row.
 
-    The ids are written once per distinct unit, and so is their decoded text.
+    Both are put together from tables of the pieces' numbers and texts.
     """
     own = df.select(*[F.col(f"`{c}`") for c in keys], F.col(f"`{text}`").alias("__text"))
     more = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
@@ -445,15 +429,15 @@ def piece_digests(df: DataFrame, model: bytes, keys: list[str], text: str = "tex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(model)
-        end = encoder.number[encoder.model.end]
+        tables = encoder.model
         for batch in batches:
             column = batch.column(len(keys))
             counts, written, decoded = [], [], []
             for a, b in row_chunks(column, CHUNK):
-                units = encoder.units(column.slice(a, b - a))
-                counts.append(units.counts() + 1)
-                written.extend(_sha256(b" ".join([*row, end])) for row in units.rows(units.written))
-                decoded.extend(_sha256(b"".join(row), b" ") for row in units.rows(units.back))
+                ids, first = encoder.units(column.slice(a, b - a)).flat_ids(tables.end)
+                counts.append(np.diff(first))
+                written.extend(_digests(tables.numbers, ids, first))
+                decoded.extend(_digests(tables.texts, ids, first))
             total = np.concatenate(counts) if counts else np.empty(0, np.int64)
             found = [pa.array(total, pa.int64()), pa.array(written, pa.string()), pa.array(decoded, pa.string())]
             names = [*keys, "n_tokens", "ids_sha256", "decoded_sha256"]
