@@ -11,6 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from moniker.functions.elements import SYMBOLS
+from moniker.functions.groups import GROUP_RANGE, GROUPED, finished, group_brackets, run_summary
 from moniker.functions.text import let
 
 # Subscripts, em dash and double line, and what they stand for.
@@ -29,9 +30,9 @@ AMOUNT_PATTERN = r"^\s*\+?(?:[0-9]+(?:_[0-9]+)*\.?(?:[0-9]+(?:_[0-9]+)*)?|\.[0-9
 ELEMENT_PATTERN = r"\p{IsLowercase}+(?:\p{IsUppercase}\p{IsLowercase}*)?|\p{IsUppercase}\p{IsLowercase}*"
 BLANK_EDGES = r"^[\s\x1c-\x1f\x85\p{Z}]+|[\s\x1c-\x1f\x85\p{Z}]+\z"
 
-# Nested brackets can ask for 999 * 999 * ... copies. A text beyond this many
-# characters is no formula; it is rejected instead of filling an executor.
-MAX_EXPANDED = 1_000_000
+# Nested brackets can ask for 999 * 999 * ... copies, more than a string can hold. Writing them
+# out, which is for reading only, gives null beyond this many characters; keys count groups.
+LONGEST_TEXT = 1 << 28
 
 
 def _matches(text: Column, pattern: str, group: int = 0) -> Column:
@@ -52,6 +53,8 @@ def formula_clean(word: Column) -> Column:
 def formula_expand(cleaned: Column) -> Column:
     """Write out ``(letters)n`` until none is left; null where n has over 3 digits.
 
+    ``formula_key`` does not need the copies, see ``moniker.functions.groups``.
+
     A round takes the leftmost bracket and rewrites all its copies, so there are
     at most as many rounds as opening brackets; the ``done`` flag ends them early.
     """
@@ -70,7 +73,7 @@ def formula_expand(cleaned: Column) -> Column:
             written = _occurrences(text, bracket) * F.length(letters) * copies + F.length(text)
             return (
                 F.when(bracket == "", state(text, True))
-                .when(written <= MAX_EXPANDED, state(F.replace(text, bracket, F.repeat(letters, copies)), False))
+                .when(written <= LONGEST_TEXT, state(F.replace(text, bracket, F.repeat(letters, copies)), False))
                 .otherwise(state(F.lit(None).cast("string"), True))
             )
 
@@ -144,8 +147,11 @@ def _rendered(z: Column, lower: Column, upper: Column) -> Column:
     return F.concat_ws(":", z.cast("string"), lower, upper)
 
 
-def _composition(tokens: Column) -> Column:
-    """Key of a token list; null if it holds anything that is no element."""
+def _composition(tokens: Column, counts: Column) -> Column:
+    """Key of a token list; null if it holds anything that is no element.
+
+    ``counts``, by atomic number or empty, are of elements that take no amount.
+    """
     one = F.struct(F.lit(1.0).alias("lower"), F.lit(1.0).alias("upper"))
 
     def factor(lead: Column) -> Column:
@@ -166,9 +172,13 @@ def _composition(tokens: Column) -> Column:
         symbols = F.filter(
             paired, lambda e: ~e["is_amount"] & ((e["symbol"] != "") | e["follows"].isNotNull())
         )
+        def counted(by: Column) -> Column:
+            rows = F.transform(counts, lambda n, i: F.struct((i + 1).cast("long").alias("z"), (by * n).alias("lower"), (by * n).alias("upper")))
+            return F.filter(rows, lambda e: F.get(counts, (e["z"] - 1).cast("int")) > 0)
+
         return let(
             factor(F.get(parsed, F.lit(0))["bounds"]),
-            lambda by: F.transform(
+            lambda by: F.concat(counted(by), F.transform(
                 symbols,
                 lambda e: let(
                     F.coalesce(e["follows"], one),
@@ -178,7 +188,7 @@ def _composition(tokens: Column) -> Column:
                         (by * a["upper"]).alias("upper"),
                     ),
                 ),
-            ),
+            )),
         )
 
     def total(rows: Column, z: Column, side: str) -> Column:
@@ -195,23 +205,58 @@ def _composition(tokens: Column) -> Column:
     return let(parsed, lambda p: let(entries(p), key))
 
 
+def _grouped_key(cleaned: Column, grouped: Column) -> Column:
+    """Key of a text in which characters may stand for groups.
+
+    A run of letters with a group shows its first and last symbol to the rules; all symbols before the last
+    are counted, and the last takes the amount that follows it.
+    """
+    runs = F.regexp_extract_all(grouped["text"], F.lit(rf"[\p{{L}}{GROUP_RANGE}]+|[^\p{{L}}{GROUP_RANGE}]+"), F.lit(0))
+    no_counts = F.array().cast("array<double>")
+
+    def told(run: Column) -> Column:
+        def summed(s: Column) -> Column:
+            tokens = F.when(s["before"].isNull(), F.array(s["last"])).otherwise(F.array(s["first"], F.lit("*"), s["last"]))
+            return F.struct(tokens.alias("tokens"), F.array(s["last"]).alias("open"), s["counts"].alias("counts"), (s["repeats"] | s["odd"]).alias("flawed"))
+
+        def flat(tokens: Column) -> Column:
+            return F.struct(tokens.alias("tokens"), tokens.alias("open"), no_counts.alias("counts"), F.lit(False).alias("flawed"))
+
+        group = let(finished(run_summary(run, grouped["groups"])), summed)
+        return F.when(run.rlike(GROUPED), group).otherwise(let(formula_tokens(run), flat))
+
+    def edges(parts: Column) -> Column:
+        """For the rules about both ends: the text with stars for groups, and with the last symbol where it ends with one."""
+        last = F.coalesce(F.get(F.try_element_at(parts, F.lit(-1))["open"], F.lit(0)), F.lit(""))
+        starred = F.array_join(F.transform(runs, lambda r: F.when(r.rlike(GROUPED), "*").otherwise(r)), "")
+        ended = F.when(F.try_element_at(runs, F.lit(-1)).rlike(GROUPED), F.concat(starred, last)).otherwise(starred)
+        return F.when(F.size(grouped["groups"]) == 0, grouped["text"]).otherwise(ended)
+
+    def key(parts: Column) -> Column:
+        flawed = F.exists(parts, lambda p: F.coalesce(p["flawed"], F.lit(True)))
+        tokens = F.flatten(F.transform(parts, lambda p: p["tokens"]))
+        reason = let(F.struct(tokens.alias("tokens"), edges(parts).alias("edges")), lambda x: formula_reject(cleaned, x["edges"], x["tokens"]))
+        grouped_parts = F.filter(parts, lambda p: F.size(p["counts"]) > 0)
+        plus = lambda acc, p: F.when(F.size(acc) == 0, p["counts"]).otherwise(F.zip_with(acc, p["counts"], lambda a, b: a + b))
+        counts = F.aggregate(grouped_parts, no_counts, plus)
+        opened = F.flatten(F.transform(parts, lambda p: p["open"]))
+        return F.when(~flawed & reason.isNull(), let(counts, lambda c: _composition(opened, c)))
+
+    return let(F.transform(runs, told), key)
+
+
 def formula_key(word: Column) -> Column:
     """Composition key of a formula, or null if the word is not one.
 
     Most words fall at the first test: every element has a capital and none has
-    two small letters in a row, except inside a bracket that is taken 0 times.
+    two small letters in a row, except inside a bracket that is taken 0 times. Large
+    bracket groups are counted, not written out.
     """
 
     def parse(cleaned: Column) -> Column:
         plausible = cleaned.rlike("[A-Z]") & (~cleaned.rlike("[a-z][a-z]") | cleaned.contains(")0"))
         allowed = plausible & ~cleaned.rlike(REJECTED_SYMBOLS)
-        return F.when(allowed, let(formula_expand(cleaned), lambda e: compose(cleaned, e)))
-
-    def compose(cleaned: Column, expanded: Column) -> Column:
-        return let(
-            formula_tokens(expanded),
-            lambda t: F.when(formula_reject(cleaned, expanded, t).isNull(), _composition(t)),
-        )
+        return F.when(allowed, let(group_brackets(cleaned), lambda g: _grouped_key(cleaned, g)))
 
     return let(formula_clean(word), parse)
 

@@ -17,6 +17,7 @@ from moniker.functions import (
     rubbish_reason,
     strip_tags,
 )
+from moniker.functions import groups
 from moniker.functions.elements import SYMBOLS
 
 WATER = "1:2.00:2.00|8:1.00:1.00"
@@ -193,3 +194,30 @@ def test_strip_tags(spark):
     tagged = {"<i>a</i>": "a", "H<sub>2</sub>O": "H2O", '<a href="x">b': '<a href="x">b', "a<br/>b": "ab",
               "<b class=x>c": "<b class=x>c", "<b=x>c": "c", "": None, None: None, "<i></i>": "", "a < b > c": "a < b > c"}
     assert dict(zip(tagged, evaluate(spark, tagged, strip_tags))) == tagged
+
+
+GROUPS = {
+    "((HO)999)500Na": "1:499500.00:499500.00|8:499500.00:499500.00|11:1.00:1.00",
+    "(((HO)999)999)999Na2": "1:997002999.00:997002999.00|8:997002999.00:997002999.00|11:2.00:2.00",
+    "2(CHO)900N": "1:1800.00:1800.00|6:1800.00:1800.00|7:2.00:2.00|8:1800.00:1800.00",
+    "1.5(NaCl)100K2-3": "11:150.00:150.00|17:150.00:150.00|19:3.00:4.50",
+    "O(O)900O": "8:902.00:902.00",
+    "(NaO)500Na": "8:500.00:500.00|11:501.00:501.00",
+    "Na(NaO)500": None, "(C)700": None, "H(e)100": None, "(HAc)99": None, "(Ac)99": None, "(H)1000": None, "((O)900)1000": None,
+}
+
+
+def test_groups_of_any_size(spark):
+    deep = "(" * 40 + "HO" + ")2" * 40
+    assert evaluate(spark, [*GROUPS, deep], formula_key) == [*GROUPS.values(), f"1:{2**40}.00:{2**40}.00|8:{2**40}.00:{2**40}.00"]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_counted_groups_equal_written_ones(spark, monkeypatch, seed):
+    rng = random.Random(seed)
+    pieces = "H O Na C Fe Cl X Ac b e \u00c9 ( ) (OH)2 ((NO)2 ((OH)3)2 (HNaO)5 (O)0 )2 )3 )9 (NaC)4 ((NaO)2Cl)3 (eH)3 (bO)2 1 0 2 12 60 0.5 2-3 -".split()
+    words = sorted({"".join(rng.choices(pieces, k=rng.randint(1, 7))) for _ in range(4000)})
+    monkeypatch.setattr(groups, "WRITTEN", 10**6)
+    written = evaluate(spark, words, formula_key)
+    monkeypatch.setattr(groups, "WRITTEN", 0)
+    assert evaluate(spark, words, formula_key) == written and sum(k is not None for k in written) > 300

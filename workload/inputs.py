@@ -15,9 +15,10 @@ from moniker.functions.cas import check_digit
 from moniker.plans import Discard, Lookup, standard_chain
 from moniker.sources import build_dictionary, load_order, materialise, read_entity_json, read_mentions, scratch_path
 
-# Strings the formula rules reject, one per rule.
+# Strings the formula rules reject, one per rule, and one that is a formula of a million atoms.
 REJECTED_FORMULAS = [
     "CaAc", ":H2O", "(H2O", "Na=O", "(OH)1000", "Xx2", "D2O", "C12", "NaNa", "HO1", "C100", "aB", "Fe-O",
+    "((HO)999)500Na",
 ]
 
 
