@@ -30,7 +30,9 @@ class Lookup:
     By default the word is the key. Else the key comes from one of: ``key``, a
     column expression of the word; ``names``, a table ``(name, key)``;
     ``resolver``, which takes the names of a batch and returns one key or None
-    for each. A resolver is given only words that no earlier step has resolved.
+    for each. A resolver is given only words that no earlier step has resolved. With a
+    path as ``quarantine`` it may fail on some names: these are written there as
+    ``(word_orig, error)``, stay without a key, and the others go on.
     """
 
     name: str
@@ -39,6 +41,7 @@ class Lookup:
     key: Callable[[Column], Column] | None = None
     names: DataFrame | None = None
     resolver: Callable[[list[str]], Iterable[str | None]] | None = None
+    quarantine: str | None = None
 
 
 @dataclass(frozen=True)
@@ -137,12 +140,53 @@ def answered_words(words: DataFrame, resolution: DataFrame) -> DataFrame:
     return answers.where(~F.col("doubtful") | F.col("stage").isNotNull()).drop("doubtful")
 
 
+def _isolated(resolver: Callable[[list[str]], Iterable[str | None]], names: list[str], attempts: int) -> list[tuple]:
+    """(key, attempts, error) of each name. A batch that fails is halved until single names are left that fail."""
+    try:
+        keys = list(resolver(names))
+        if len(keys) != len(names):
+            raise ValueError(f"{len(keys)} answers for {len(names)} names")
+        return [(key, attempts, None) for key in keys]
+    except Exception as error:  # whatever a user's function raises
+        if len(names) == 1:
+            return [(None, attempts, f"{type(error).__name__}: {error}")]
+        half = len(names) // 2
+        return _isolated(resolver, names[:half], attempts + 1) + _isolated(resolver, names[half:], attempts + 1)
+
+
+def resolver_answers(
+    words: DataFrame,
+    resolver: Callable[[list[str]], Iterable[str | None]],
+    resolved: DataFrame | None = None,
+) -> DataFrame:
+    """``(word_orig, key, attempts, error)``: a user resolver run over the distinct words that are not ``resolved`` yet.
+
+    Names on which it raises do not stop the others: ``error`` says what was raised, and
+    ``attempts`` how many calls a name was part of. Every key travels beside its name, so a
+    resolver cannot shift the answers; one that gives too few or too many counts as failing.
+    """
+
+    def batches(frames: Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]:
+        for frame in frames:
+            names = frame["word_orig"].tolist()
+            told = pd.DataFrame(_isolated(resolver, names, 1) if names else [], columns=["key", "attempts", "error"], dtype=object)
+            yield told.assign(word_orig=names)[["word_orig", "key", "attempts", "error"]]
+
+    todo = words if resolved is None else words.join(resolved, "word_orig", "left_anti")
+    return todo.select("word_orig").mapInPandas(batches, "word_orig string, key string, attempts int, error string")
+
+
+def failed_names(answers: DataFrame) -> DataFrame:
+    """The quarantine: ``(word_orig, error)`` of names that a resolver could not take."""
+    return answers.where(F.col("error").isNotNull()).select("word_orig", "error")
+
+
 def resolver_keys(
     words: DataFrame,
     resolver: Callable[[list[str]], Iterable[str | None]],
     resolved: DataFrame | None = None,
 ) -> DataFrame:
-    """Run a user resolver over the distinct words that are not ``resolved`` yet.
+    """``(word_orig, key)`` of the names that a resolver has a key for; an error of the resolver ends the job.
 
     Every key travels beside its name, so a resolver cannot shift the answers.
     """
@@ -174,7 +218,11 @@ def _hits(words: DataFrame, step: Lookup, earlier: DataFrame | None) -> DataFram
     if step.resolver is not None:
         # Written down: the key skew is measured before the join, and a costly
         # resolver must not run twice.
-        return lookup_keys(materialise(resolver_keys(words, step.resolver, earlier), "keys"), step.dictionary)
+        if step.quarantine is None:
+            return lookup_keys(materialise(resolver_keys(words, step.resolver, earlier), "keys"), step.dictionary)
+        answers = materialise(resolver_answers(words, step.resolver, earlier), "keys")
+        failed_names(answers).write.mode("overwrite").parquet(step.quarantine)
+        return lookup_keys(answers.where(F.col("key").isNotNull()), step.dictionary)
     return lookup_words(words, step.dictionary)
 
 
@@ -203,16 +251,24 @@ def resolve_words(words: DataFrame, chain: Sequence[Lookup | Discard]) -> DataFr
     return first.select("word_orig", "hit.ids", "hit.stage", "hit.kind")
 
 
+def known_answers(words: DataFrame, earlier: DataFrame) -> DataFrame:
+    """What ``earlier`` ``(word_orig, ids, stage, kind)`` says of ``words``."""
+    return earlier.select("word_orig", "ids", "stage", "kind").join(words.select("word_orig"), "word_orig", "left_semi")
+
+
+def fresh_answers(words: DataFrame, chain: Sequence[Lookup | Discard], earlier: DataFrame) -> DataFrame:
+    """``answered_words`` of those ``words`` of which ``earlier`` says nothing."""
+    fresh = materialise(words.join(earlier.select("word_orig"), "word_orig", "left_anti"), "words")
+    return answered_words(fresh, resolve_words(fresh, chain))
+
+
 def extend_resolution(words: DataFrame, chain: Sequence[Lookup | Discard], earlier: DataFrame) -> DataFrame:
     """``answered_words`` of ``words``, of which ``earlier`` has some from a former job with the same chain.
 
     Only words that ``earlier`` ``(word_orig, ids, stage, kind)`` does not have are
     looked up; those it has and ``words`` does not are left out.
     """
-    known = earlier.select("word_orig", "ids", "stage", "kind")
-    fresh = materialise(words.join(known, "word_orig", "left_anti"), "words")
-    kept = known.join(words.select("word_orig"), "word_orig", "left_semi")
-    return kept.unionByName(answered_words(fresh, resolve_words(fresh, chain)))
+    return known_answers(words, earlier).unionByName(fresh_answers(words, chain, earlier))
 
 
 def tag_mentions(

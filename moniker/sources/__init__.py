@@ -19,7 +19,9 @@ from moniker.sources.ner import (
     read_ner,
     write_mentions,
 )
+from moniker.sources.drift import schema_drift, seen_fields
 from moniker.sources.scratch import materialise, scratch_job, scratch_path, settle
+from moniker.sources.upkeep import start_dictionary, update_dictionary
 
 __all__ = [
     "MENTION_SCHEMA",
@@ -41,8 +43,12 @@ __all__ = [
     "read_entity_json",
     "read_mentions",
     "read_ner",
+    "schema_drift",
     "scratch_job",
     "scratch_path",
+    "seen_fields",
     "settle",
+    "start_dictionary",
+    "update_dictionary",
     "write_mentions",
 ]

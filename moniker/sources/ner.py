@@ -76,15 +76,20 @@ def write_mentions(documents: DataFrame, path: str, files: int | None = None) ->
     return seen.get
 
 
-def read_mentions(spark: SparkSession, *paths: str) -> DataFrame:
+def row_number_hash() -> Column:
+    """Hash of file and row number, the same in a recomputed task."""
+    return F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
+
+
+def read_mentions(spark: SparkSession, *paths: str, file: str | None = None) -> DataFrame:
     """Mention table with ``row_id``, which tells rows of one ``patent_id`` apart.
 
-    It is a hash of file and row number, so a recomputed task gives the same id.
+    With a name as ``file`` the path of each row's file is a column too.
     """
     table = (
         spark.read.schema(f"{MENTION_SCHEMA}, {BAD_LINE} string")
         .option("pathGlobFilter", "*.parquet")
         .parquet(*paths)
     )
-    row = F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
-    return table.where(F.col(BAD_LINE).isNull()).select("patent_id", row.alias("row_id"), "infer_list")
+    more = [] if file is None else [F.col("_metadata.file_path").alias(file)]
+    return table.where(F.col(BAD_LINE).isNull()).select("patent_id", row_number_hash().alias("row_id"), "infer_list", *more)

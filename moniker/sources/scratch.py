@@ -27,6 +27,17 @@ def delete(spark: SparkSession, path: str) -> None:
     system.delete(own, True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    system, own = _file_system(spark, path)
+    return system.exists(own)
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Paths of the folders in a folder."""
+    system, own = _file_system(spark, path)
+    return [entry.getPath().toString() for entry in system.listStatus(own) if entry.isDirectory()]
+
+
 def move(spark: SparkSession, path: str, target: str) -> None:
     """Rename a folder. Raises ``OSError`` where that is not possible."""
     system, own = _file_system(spark, path)

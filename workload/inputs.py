@@ -174,6 +174,17 @@ def raw_ner(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.unionByName(broken)
 
 
+def drifting_ner(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Recogniser lines of even documents as they are, and of odd ones with ``entity_group`` renamed and ``start_orig`` as text."""
+    lines = raw_ner(spark, sf_dir).withColumn("id", F.get_json_object("value", "$.patent_id").cast("bigint"))
+    whole = lines.where(F.col("id").isNotNull())
+    changed = F.regexp_replace(F.replace("value", F.lit('"entity_group":'), F.lit('"label":')), '"start_orig":([0-9]+)', '"start_orig":"$1"')
+    return {
+        "kept": whole.where("id % 2 = 0").select("value"),
+        "changed": whole.where("id % 2 = 1").select(changed.alias("value")),
+    }
+
+
 def write_raw_ner(spark: SparkSession, sf_dir: str) -> str:
     """The same as gzip JSON lines; the path of the folder."""
     path = scratch_path(spark, "ner")

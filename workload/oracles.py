@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from moniker.functions.elements import SYMBOLS
 from workload.inputs import REJECTED_FORMULAS
-from workload.queries import BATCH_SIZE, SECTION
+from workload.queries import BATCH_SIZE, PARTS, SECTION
 
 # Name -> (names it needs, definition). Rendered in order of need.
 _CTES: dict[str, tuple[list[str], str]] = {}
@@ -375,6 +375,32 @@ def statements() -> dict[str, str]:
         CAST(count(pos) AS INTEGER) AS n, md5(coalesce(string_agg(word_orig, '|' ORDER BY pos), '')) AS words_md5"""))
     add("nested_resolved_only", ["documents_", "tagged"], _per_document("tagged", "CAST(count(stage) AS INTEGER) AS n"))
 
+    sql["compact_versions"], sql["dict_upkeep"], sql["resolve_stream"] = sql["compact"], sql["dict_name"], sql["tagged_mentions"]
+    of_batch = f"(instr('{PARTS}', left(patent_id, 1)) - 1) // 2"
+    add("batch_outputs", ["substances", "entities"], " UNION ALL ".join(f"""
+        SELECT '{name}' AS output, CAST({of_batch} AS INTEGER) AS batch_id,
+               CASE WHEN {of_batch} = 1 THEN 'again' ELSE '{SECTION}' END AS section, count(*) AS n
+        FROM {table} GROUP BY ALL""" for name, table in (("substance", "substances"), ("entity", "entities"))))
+    inner = "data.results_list.infer_list."
+    add("schema_drift", [], f"""
+        SELECT file, field, declared, kind, drift, count(kind) AS n
+        FROM (VALUES
+            ('kept', '{inner}word', NULL, 'string', 'unknown', 0), ('changed', '{inner}word', NULL, 'string', 'unknown', 1),
+            ('changed', '{inner}label', NULL, 'string', 'unknown', 1),
+            ('changed', '{inner}entity_group', 'string', NULL, 'missing', 1),
+            ('changed', '{inner}start_orig', 'int', 'string', 'retyped', 1)) AS f(file, field, declared, kind, drift, odd)
+        JOIN documents ON doc_id % 2 = odd GROUP BY file, field, declared, kind, drift""")
+
+    add("resolver_failing", ["words"], """
+        SELECT word_orig,
+               CASE WHEN contains(word_orig, ' ') AND NOT starts_with(word_orig, 'blue')
+                    THEN upper(substr(md5(word_orig), 1, 14)) END AS key,
+               CASE WHEN starts_with(word_orig, 'blue') THEN concat('ValueError: ', word_orig) END AS error
+        FROM words""")
+    add("resolver_quarantine", ["words"], f"""
+        SELECT word_orig, 'resolver' AS stage FROM words SEMI JOIN part ON word_orig = {_IUPAC}
+        WHERE NOT starts_with(word_orig, 'blue')
+        UNION ALL SELECT word_orig, 'quarantine' FROM words WHERE starts_with(word_orig, 'blue')""")
     add("custom_stage", ["words", "dict_name"], f"""
         SELECT word_orig, 'lower' AS stage, {_IDS} FROM words JOIN dict_name ON lower(word_orig) = key
         WHERE len(ids) > 0""")
@@ -383,16 +409,14 @@ def statements() -> dict[str, str]:
             SELECT key, list_sort(list(DISTINCT id)) AS ids
             FROM (SELECT key, unnest(ids) AS id FROM name_rows) GROUP BY key) ON key = word_orig""")
     add("custom_resolver", ["words", "hit_name"], """
-        SELECT word_orig, upper(substr(md5(word_orig), 1, 14)) AS key FROM words
-        WHERE contains(word_orig, ' ') AND word_orig NOT IN (SELECT word_orig FROM hit_name)""")
+        SELECT word_orig, upper(substr(md5(word_orig), 1, 14)) AS key FROM words ANTI JOIN hit_name USING (word_orig)
+        WHERE contains(word_orig, ' ')""")
     add("custom_resolver_chain", ["words", "hit_name", "hit_entity"], f"""
         SELECT word_orig, stage, {_IDS} FROM (
             SELECT word_orig, 'name' AS stage, ids FROM hit_name
             UNION ALL
             SELECT word_orig, 'resolver', [CAST(max(p_partkey) AS VARCHAR)]
-            FROM words JOIN part ON word_orig = {_IUPAC}
-            WHERE word_orig NOT IN (SELECT word_orig FROM hit_name) GROUP BY word_orig
+            FROM words JOIN part ON word_orig = {_IUPAC} ANTI JOIN hit_name USING (word_orig) GROUP BY word_orig
             UNION ALL
-            SELECT word_orig, 'entity', ids FROM hit_entity
-            WHERE word_orig NOT IN (SELECT word_orig FROM hit_name))""")
+            SELECT word_orig, 'entity', ids FROM hit_entity ANTI JOIN hit_name USING (word_orig))""")
     return sql

@@ -8,6 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from moniker.functions import (
     cas_key,
@@ -25,10 +26,13 @@ from moniker.plans import (
     Lookup,
     Output,
     compact,
+    compact_table,
     distinct_words,
     keep_resolved,
+    link_batches,
     link_documents,
     publish_documents,
+    publish_version,
     resolve_words,
     resolved_only,
     route_entity,
@@ -36,13 +40,14 @@ from moniker.plans import (
     tag_mentions,
     write_bucketed,
 )
-from moniker.plans.cascade import answered_words, extend_resolution, resolver_keys
+from moniker.plans.cascade import answered_words, extend_resolution, resolver_answers, resolver_keys
 from moniker.sources import (
     MENTION_SCHEMA,
     assign_batches,
     build_dictionary,
     cem_mentions,
     count_ingest,
+    file_manifest,
     load_order,
     materialise,
     merge_union,
@@ -52,11 +57,16 @@ from moniker.sources import (
     quarantined,
     read_mentions,
     read_ner,
+    schema_drift,
     scratch_path,
+    seen_fields,
+    start_dictionary,
     union_dictionary,
+    update_dictionary,
     write_mentions,
 )
-from moniker.streaming import ingest_available
+from moniker.sources.ner import NER_SCHEMA
+from moniker.streaming import batch_resolver, ingest_available, resolve_available
 from workload import inputs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,6 +74,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 SECTION = "desc"
 BATCH_SIZE = 45
 BUCKETS = 8
+PARTS = "DOPC"  # first letters of patent ids by the part of the mention files they are in
 KEYS = ["patent_id", "row_id"]
 _REGISTRY: dict[str, Query] = {}
 
@@ -97,6 +108,81 @@ def _table_name(prefix: str) -> str:
     return f"{prefix}_{uuid.uuid4().hex}"
 
 
+# User-defined resolvers
+
+
+def _digest_keys() -> Callable[[list[str]], list[str | None]]:
+    """A stand-in for a name parser: a digest of names of several words.
+
+    An inner function travels to the workers by value, so they need no copy of
+    this module.
+    """
+
+    def answer(names: list[str]) -> list[str | None]:
+        return [hashlib.md5(name.encode()).hexdigest()[:14].upper() if " " in name else None for name in names]
+
+    return answer
+
+
+@query("custom_resolver")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A resolver that answers for names of several words, run on what no name matches."""
+    words = _words(spark, sf_dir)
+    named = lookup_words(words, inputs.stored(spark, sf_dir, inputs.name_dictionary))
+    return resolver_keys(words, _digest_keys(), named)
+
+
+@query("custom_resolver_chain")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The resolver as a step between two lookups."""
+    part = inputs.table(spark, sf_dir, "part")
+    name = inputs.iupac_name(part)
+    rows = part.select(
+        F.upper(F.left(F.md5(name), F.lit(14))).alias("raw_key"),
+        F.array(F.col("p_partkey").cast("string")).alias("ids"),
+        F.col("p_partkey").alias("row"),
+    )
+    resolved = build_dictionary(rows, F.col("raw_key"), load_order(F.lit(0), F.col("row")))
+    chain = [
+        Lookup("name", inputs.stored(spark, sf_dir, inputs.name_dictionary)),
+        Lookup("resolver", resolved, resolver=_digest_keys()),
+        Lookup("entity", inputs.stored(spark, sf_dir, inputs.entity_dictionary), kind="entity"),
+    ]
+    words = distinct_words(inputs.corpus(spark, sf_dir), chain)
+    return resolve_words(words, chain).select("word_orig", "stage", _ids_text())
+
+
+def _failing_keys() -> Callable[[list[str]], list[str | None]]:
+    """The same, but names that begin with blue make it raise."""
+
+    def answer(names: list[str]) -> list[str | None]:
+        for name in names:
+            if name.startswith("blue"):
+                raise ValueError(name)
+        return [hashlib.md5(name.encode()).hexdigest()[:14].upper() if " " in name else None for name in names]
+
+    return answer
+
+
+@query("resolver_failing")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names a resolver cannot take are told apart; all others are answered."""
+    return resolver_answers(_words(spark, sf_dir), _failing_keys()).select("word_orig", "key", "error")
+
+
+@query("resolver_quarantine")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same resolver as a step of a chain: what it resolves, and what it leaves in the quarantine."""
+    path = scratch_path(spark, "quarantine")
+    part = inputs.table(spark, sf_dir, "part")
+    name = inputs.iupac_name(part)
+    rows = part.select(F.upper(F.left(F.md5(name), F.lit(14))).alias("key"), F.array(F.lit("R")).alias("ids")).distinct()
+    chain = [Lookup("resolver", rows, resolver=_failing_keys(), quarantine=path)]
+    words = distinct_words(inputs.corpus(spark, sf_dir), chain)
+    found = resolve_words(words, chain).select("word_orig", "stage")
+    return found.unionByName(spark.read.parquet(path).select("word_orig", F.lit("quarantine").alias("stage")))
+
+
 # Sources and sinks
 
 
@@ -159,6 +245,45 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whole.select("patent_id", F.size("infer_list").alias("n"))
 
 
+@query("compact_versions")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as a table that is switched from a first version to the whole."""
+    parts = [scratch_path(spark, "part") for _ in range(2)]
+    documents, root, name = inputs.text_documents(spark, sf_dir), scratch_path(spark, "versions"), _table_name("versions")
+    documents.write.parquet(parts[0])
+    inputs.corpus(spark, sf_dir).write.parquet(parts[1])
+    publish_version(spark.read.schema(MENTION_SCHEMA).parquet(parts[0]), name, root)
+    whole = compact_table(spark, parts, MENTION_SCHEMA, name, root, files=BUCKETS)
+    return whole.select("patent_id", F.size("infer_list").alias("n"))
+
+
+@query("schema_drift")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recogniser files as declared, and those of odd documents with a renamed and a retyped field."""
+    root = scratch_path(spark, "drift")
+    for folder, lines in inputs.drifting_ner(spark, sf_dir).items():
+        lines.write.option("compression", "gzip").text(f"{root}/{folder}")
+    schema = StructType.fromDDL(NER_SCHEMA)
+    seen = seen_fields(spark, [f"{root}/kept", f"{root}/changed"], schema, "*.txt.gz")
+    folder = F.element_at(F.split("file", "/"), -2).alias("file")
+    return schema_drift(seen.groupBy(folder, "field", "kind").agg(F.sum("n").alias("n")), schema)
+
+
+@query("batch_outputs")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mention files in two batches with an output each; the second batch is made again for another section."""
+    source, outputs = scratch_path(spark, "parts"), [scratch_path(spark, n) for n in ("substance", "entity")]
+    part = F.call_function("locate", F.left("patent_id", F.lit(1)), F.lit(PARTS)) - 1
+    inputs.corpus(spark, sf_dir).withColumn("part", part).write.partitionBy("part").parquet(source)
+    number = F.regexp_extract("path", "part=([0-9]+)", 1).cast("int")
+    batches = file_manifest(spark, source, "*.parquet").select("path", F.floor(number / 2).cast("int").alias("batch_id"))
+    chain = inputs.chain(spark, sf_dir)
+    link_batches(spark, batches, chain, SECTION, *outputs)
+    made = link_batches(spark, batches, chain, "again", *outputs, only=[1])
+    flat = [t.select(F.lit(n).alias("output"), "batch_id", F.explode("infer_list.section").alias("section")) for n, t in zip(("substance", "entity"), made, strict=True)]
+    return flat[0].unionByName(flat[1]).groupBy("output", "batch_id", "section").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("bucketed_roundtrip")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = inputs.corpus(spark, sf_dir)
@@ -274,6 +399,17 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _dictionary_text(inputs.entity_dictionary(spark, sf_dir))
 
 
+@query("dict_upkeep")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dictionary of seven parts to which the eighth is added, twice."""
+    rows, path = inputs.name_rows(spark, sf_dir), scratch_path(spark, "upkeep")
+    key, order = strip_tags(F.col("raw_key")), load_order(F.col("part"), F.col("row"))
+    start_dictionary(rows.where("part <> 8"), key, order, path, BUCKETS)
+    for _ in range(2):
+        kept = update_dictionary(rows.where("part = 8"), key, order, path, BUCKETS)
+    return _dictionary_text(kept)
+
+
 @query("dict_merge_union")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge_union(inputs.name_rows(spark, sf_dir), strip_tags(F.col("raw_key")))
@@ -386,6 +522,21 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tagged.select("patent_id", "pos", "word_orig", _ids_text(), "stage", "section")
 
 
+@query("resolve_stream")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mention files that come in two feeds, the second of which is delivered twice."""
+    source, answers, target, checkpoint = (scratch_path(spark, n) for n in ("source", "answers", "target", "offsets"))
+    chain = inputs.chain(spark, sf_dir)
+    second = F.left("patent_id", F.lit(1)).isin("P", "C")
+    for feed in (~second, second):
+        inputs.corpus(spark, sf_dir).where(feed).write.mode("append").parquet(source)
+        resolve_available(spark, source, chain, SECTION, answers, target, checkpoint)
+    again = read_mentions(spark, source).where(second)
+    batch_resolver(chain, SECTION, answers, target)(again, 1)
+    tagged = spark.read.parquet(target)
+    return tagged.select("patent_id", "pos", "word_orig", _ids_text(), "stage", "section")
+
+
 @query("resolved_only")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, tagged = _tagged(spark, sf_dir, unresolved=True)
@@ -471,42 +622,3 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolve_words(words, chain).select("word_orig", "stage", _ids_text())
 
 
-def _digest_keys() -> Callable[[list[str]], list[str | None]]:
-    """A stand-in for a name parser: a digest of names of several words.
-
-    An inner function travels to the workers by value, so they need no copy of
-    this module.
-    """
-
-    def answer(names: list[str]) -> list[str | None]:
-        return [hashlib.md5(name.encode()).hexdigest()[:14].upper() if " " in name else None for name in names]
-
-    return answer
-
-
-@query("custom_resolver")
-def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A resolver that answers for names of several words, run on what no name matches."""
-    words = _words(spark, sf_dir)
-    named = lookup_words(words, inputs.stored(spark, sf_dir, inputs.name_dictionary))
-    return resolver_keys(words, _digest_keys(), named)
-
-
-@query("custom_resolver_chain")
-def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The resolver as a step between two lookups."""
-    part = inputs.table(spark, sf_dir, "part")
-    name = inputs.iupac_name(part)
-    rows = part.select(
-        F.upper(F.left(F.md5(name), F.lit(14))).alias("raw_key"),
-        F.array(F.col("p_partkey").cast("string")).alias("ids"),
-        F.col("p_partkey").alias("row"),
-    )
-    resolved = build_dictionary(rows, F.col("raw_key"), load_order(F.lit(0), F.col("row")))
-    chain = [
-        Lookup("name", inputs.stored(spark, sf_dir, inputs.name_dictionary)),
-        Lookup("resolver", resolved, resolver=_digest_keys()),
-        Lookup("entity", inputs.stored(spark, sf_dir, inputs.entity_dictionary), kind="entity"),
-    ]
-    words = distinct_words(inputs.corpus(spark, sf_dir), chain)
-    return resolve_words(words, chain).select("word_orig", "stage", _ids_text())
