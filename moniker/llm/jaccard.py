@@ -20,11 +20,11 @@ needed where they prove linked. A set that lies in another component than the le
 an outsider and still has to be compared with all sets that share a bucket with the same
 least one, as far as they lie in other components. This is done in blocks: the parities of
 how many shingles fall on each of some bits differ in no more bits than the sets differ in
-shingles, which rules out nearly all pairs exactly. Of the pairs that stay, each block gives
-only a spanning forest, which is decided on the full lists of 64-bit shingle hashes; then
-components have grown, and this is done again, ``FORESTS`` times, until few pairs between
-components are left, which are then decided all. So no group of linked copies is written as
-pairs, and no link between components is lost.
+shingles, which rules out nearly all pairs exactly. A block in which few pairs stay gives them all, to be decided
+on the full lists of 64-bit shingle hashes. Of many pairs, as near copies have, it gives only a
+spanning forest; then components have grown, and the blocks are compared again, ``FORESTS`` times
+at most, after which all pairs between components that are left are decided. So no group of
+linked copies is written as pairs, and no link between components is lost.
 
 Equal sets are one class, known by a 64-bit hash of the set. Signatures that a large
 share of the documents have are found on a sample of ``PROBED`` documents, at most
@@ -52,8 +52,8 @@ from moniker.sources import materialise
 
 PROBED = 1 << 14
 HOT_SHARE, HOT_LIST = 1024, 1 << 17
-BLOCK = 512
-FORESTS = 4
+BLOCK = 1024
+FORESTS, FEW = 4, 4
 MEASURED, COMMON = 1 << 11, 20.0
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -343,16 +343,21 @@ def _spanning(x: np.ndarray, y: np.ndarray, part: np.ndarray) -> np.ndarray:
         part = to[part]
 
 
+def _with_roots(stars: DataFrame, roots: DataFrame) -> DataFrame:
+    """(rep, class, root, home): each class beside the least one of its buckets, with the components of both."""
+    rows = stars.join(roots.toDF("class", "root"), "class", "left").join(roots.toDF("rep", "home"), "rep", "left")
+    root, home = F.coalesce("root", "class"), F.coalesce("home", "rep")
+    return rows.select("rep", "class", root.alias("root"), home.alias("home"))
+
+
 def _outsiders(stars: DataFrame, candidates: DataFrame, roots: DataFrame, rule: Rule, forest: bool) -> DataFrame:
-    """Pairs (a, b) of sets that share the least set of some bucket, not the component, and that parities leave.
+    """Pairs (a, b, cut) of sets that share the least set of some bucket, not the component, and that parities leave.
 
     One of each pair is an outsider of the star. Outsiders and members are dealt to
-    blocks of ``BLOCK``; each pair of blocks is a group of its own. A ``forest`` has only as
-    many pairs of each group as would join all that the others would.
+    blocks of ``BLOCK``; each pair of blocks is a group of its own. With ``forest`` a group with more
+    than ``FEW`` pairs for each row is ``cut`` to as many as would join all that the others would.
     """
-    root = lambda c: F.coalesce(F.col(c), F.col("class" if c == "root" else "rep"))
-    rows = stars.join(roots.toDF("class", "root"), "class", "left").join(roots.toDF("rep", "home"), "rep", "left")
-    rows = rows.select("rep", "class", root("root").alias("root"), (root("root") != root("home")).alias("out"))
+    rows = _with_roots(stars, roots).withColumn("out", F.col("root") != F.col("home")).drop("home")
     sizes = rows.groupBy("rep").agg(F.count(F.lit(1)).alias("k"), F.count_if("out").alias("o")).where("o > 0 and k > 1")
     blocks = lambda c: F.ceil(F.col(c) / BLOCK).cast("int")
     sizes = sizes.select("rep", blocks("k").alias("k"), blocks("o").alias("o"))
@@ -369,23 +374,24 @@ def _outsiders(stars: DataFrame, candidates: DataFrame, roots: DataFrame, rule:
         bits = [np.frombuffer(x, np.uint64) for x in group.column("bits").to_pylist()]
         i, j = np.flatnonzero(asks), np.flatnonzero(~asks)
         if not len(i) or not len(j):
-            return pa.RecordBatch.from_arrays([pa.array([], pa.int64())] * 2, names=["a", "b"])
+            return pa.RecordBatch.from_arrays([pa.array([], pa.int64())] * 2 + [pa.array([], pa.bool_())], names=["a", "b", "cut"])
         near = _near(rule, [bits[k] for k in i], [bits[k] for k in j], value["n"][i], value["n"][j])
         near &= value["root"][i][:, None] != value["root"][j][None]
         near &= ~value["out"][j][None] | (value["class"][i][:, None] < value["class"][j][None])
         x, y = np.nonzero(near)
         x, y = i[x], j[y]
-        if forest:
+        cut = forest and len(x) > FEW * group.num_rows
+        if cut:
             kept = _spanning(x, y, value["root"])
             x, y = x[kept], y[kept]
         a, b = value["class"][x], value["class"][y]
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+        return pa.RecordBatch.from_arrays(list(map(pa.array, (np.minimum(a, b), np.maximum(a, b), np.full(len(x), cut)))), names=["a", "b", "cut"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in groups(batches, ["rep", "x", "y"]):
             yield compared(group)
 
-    return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
+    return dealt.mapInArrow(run, "a bigint, b bigint, cut boolean").groupBy("a", "b").agg(F.max("cut").alias("cut"))
 
 
 def _listed(sets: DataFrame, hot: np.ndarray, inside: bool) -> DataFrame:
@@ -449,12 +455,12 @@ def linked_classes(docs: DataFrame, rule: Rule = Rule(), key: str = "doc_id", te
     roots = components(links)
     for turn in range(FORESTS + 1):
         more = materialise(_outsiders(stars, candidates, roots, rule, forest=turn < FORESTS), "outsiders")
-        if more.isEmpty():
-            break
-        more = materialise(_links(more, candidates, rule), "links")
-        if not more.isEmpty():
-            links = links.union(more)
+        found = materialise(_links(more.select("a", "b"), candidates, rule), "links")
+        if not found.isEmpty():
+            links = links.union(found)
             roots = components(links)
+        if more.where("cut").isEmpty():
+            break
     joined = some.join(roots.toDF("class", "root"), "class")
     least = joined.groupBy("root").agg(F.min("id").alias("component"))
     known = joined.join(least, "root").select("class", "component")

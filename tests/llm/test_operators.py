@@ -239,11 +239,12 @@ def linked(rows):
 
 @pytest.mark.parametrize("small", [False, True])
 def test_jaccard_join(documents, monkeypatch, small):
-    if small:  # many blocks, all signatures hot, one forest, always one shingle left out
+    if small:  # many blocks, all signatures hot, forests only, always one shingle left out
         monkeypatch.setattr(jaccard, "allocation", lambda docs, rule, *_: jaccard.ways_of(rule, True))
         monkeypatch.setattr(jaccard, "BLOCK", 2)
         monkeypatch.setattr(jaccard, "HOT_SHARE", 10**6)
         monkeypatch.setattr(jaccard, "FORESTS", 1)
+        monkeypatch.setattr(jaccard, "FEW", 0)
     rows = [(100 + i, t) for i, t in enumerate(near_texts(9, 40))]
     base = [f"c{i}" for i in range(120)]
     draw = random.Random(8)
