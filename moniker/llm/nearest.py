@@ -18,7 +18,8 @@ Only the ``k`` + 1 least ids of equal vectors are kept as candidates, as no othe
 among the ``k`` nearest; so very many copies do not make a heavy cell.
 
 Vectors that are null, zero, or have null or non-finite components take no part, nor do
-rows without an id or with another number of components than most have. Of several rows
+rows without an id. Vectors of different lengths have no inner product: each length, of which
+a table has few, is searched on its own. Of several rows
 with a query's id one is the query, and none is among its candidates. Ties go to the
 smaller id. Recall is measured against brute force in the tests.
 """
@@ -27,6 +28,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -249,11 +251,19 @@ def nearest(
         F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{vector}`").alias("vector"), F.coalesce(asks, F.lit(False)).alias("asks")
     )
     fit = materialise(fit.where(F.col("id").isNotNull() & usable(F.col("vector"))), "vectors")
-    common = fit.groupBy(F.size("vector").alias("length")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "length").first()
-    if common is None:
+    lengths = fit.groupBy(F.size("vector").alias("length")).agg(F.count(F.lit(1)).alias("n")).orderBy("length").collect()
+    if not lengths:
         return fit.select(F.col("id").alias("query"), F.lit(1).alias("rank"), "id", F.lit(0.0).alias("score")).limit(0)
-    fit = fit.where(F.size("vector") == common["length"])
-    space = _fit(fit.select("id", "vector"), common["length"], sample, common["n"])
+    if len(lengths) > 1:  # of several rows with a query's id one is the query
+        shortest = F.min(F.when(F.col("asks"), F.size("vector"))).over(Window.partitionBy("id"))
+        fit = materialise(fit.withColumn("asks", F.col("asks") & (F.size("vector") == shortest)), "vectors")
+    found = [_nearest(fit.where(F.size("vector") == r["length"]), r["length"], r["n"], k, sample, certain) for r in lengths]
+    return reduce(DataFrame.unionAll, found)
+
+
+def _nearest(fit: DataFrame, length: int, rows: int, k: int, sample: int, certain: float) -> DataFrame:
+    """The same among vectors (id, vector, asks) of one length."""
+    space = _fit(fit.select("id", "vector"), length, sample, rows)
     first = Window.partitionBy("vector").orderBy("id")
     kept = fit.withColumn("copy", F.row_number().over(first)).where(F.col("copy") <= k + 1).select("id", "vector")
     indexed = materialise(_in_cells(kept, space, False), "indexed")

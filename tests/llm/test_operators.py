@@ -372,6 +372,21 @@ def test_nearest_of_few(spark):
     assert nearest.nearest(table.where("false"), asked).count() == 0
 
 
+def test_nearest_of_every_length(spark):
+    draw = np.random.default_rng(1)
+    rows = [(i, draw.normal(size=4).tolist()) for i in range(0, 60)] + [(100 + i, draw.normal(size=3).tolist()) for i in range(30)] + [(20, [1.0, 2.0, 3.0])]
+    got = collections.defaultdict(list)
+    for r in nearest.nearest(vector_table(spark, rows), F.col("vec_id") % 20 == 0).collect():
+        got[r["query"]].append((r["rank"], r["id"]))
+    assert set(got) == {0, 20, 40, 100, 120} and all(sorted(r for r, _ in g) == list(range(1, 21)) for g in got.values())
+    length = {i: len(v) for i, v in rows if (i, len(v)) != (20, 4)}
+    for q in (0, 100, 120):
+        assert all(length[i] == length[q] or i == 20 for _, i in got[q])
+    q = dict(rows[:60])
+    want = sorted((i for i in q if i), key=lambda i: -np.dot(q[0], q[i]))[:20]
+    assert len({i for _, i in got[0]} & set(want)) >= 18
+
+
 @pytest.mark.parametrize("block", [8, 1024])
 def test_lattice_links(spark, monkeypatch, block):
     monkeypatch.setattr(lattice, "BLOCK", block)
