@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import textwrap
 import zlib
 
 import duckdb
@@ -143,21 +144,53 @@ def test_every_word_of_a_text_is_evidence(spark, documents):
 
 # --- 2: licences ------------------------------------------------------------------------
 
+def wrapped(text, mark="", width=72):
+    """As it stands in files: wrapped, behind the mark of a comment."""
+    return "\n".join(f"{mark}{line}" for block in text.split("\n\n") for line in [*textwrap.wrap(block, width), ""])
+
+
+MIT = "MIT License\n\nCopyright (c) 2020 Some One\n\n" + "\n\n".join(
+    [licenses.TEXTS["MIT:grant"].capitalize() + ":", licenses.TEXTS["MIT-notice"] + ".", licenses.TEXTS["MIT-warranty"] + ". " + licenses.TEXTS["MIT-liability"] + "."]
+)
+BSD = licenses.TEXTS["BSD-grant"] + ":\n\n" + "\n\n".join(
+    f"{i}. {s}." for i, s in enumerate([licenses.TEXTS["BSD-source"], licenses.TEXTS["BSD-binary"], licenses.TEXTS["BSD-names"].replace("the copyright holder", "Some University, Inc.")], 1)
+)
+APACHE = 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at\n\nhttp://example.org/2.0'
+GPL = (
+    "This {} is free software: you can redistribute it and/or modify it under the terms of the GNU {}General Public License as published by "
+    "the Free Software Foundation, either version {} of the License, or (at your option) any later version.\n\nThis program is distributed in the hope"
+)
 LICENSES = [
-    (10, "Some text.\nReleased under the MIT License.\nMore."),
-    (11, "\n".join(f"{i}. {licenses.SENTENCES[s].capitalize()}." for i, s in enumerate(["BSD-grant", "BSD-source", "BSD-binary", "BSD-names"]))),
-    (12, licenses.SENTENCES["BSD-grant"] + ". An unknown sentence. " + licenses.SENTENCES["BSD-source"] + "; and"),
-    (13, "LICENSED under the Apache Licence, Version 2.0. Licensed under CC BY-NC 4.0!\r\nlicensed under the apache license, version 2.0"),
-    (14, "license {MIT} <MIT-grant>"),
-    (15, "a license. " * 3000 + "This work is licensed under the GNU General Public License, version 3."),
+    ("Some text.\nReleased under the MIT License.\nMore.", "MIT"),
+    ("\n".join(f"{i}. {licenses.TEXTS[s].capitalize()}." for i, s in enumerate(["BSD-grant", "BSD-source", "BSD-binary", "BSD-names"])), "BSD-3-Clause"),
+    (licenses.TEXTS["BSD-grant"] + ". An unknown sentence. " + licenses.TEXTS["BSD-source"] + "; and", ""),
+    ("LICENSED under the Apache Licence, Version 2.0. Licensed under CC BY-NC 4.0!\r\nlicensed under the apache license, version 2.0", "Apache-2.0,CC-BY-NC-4.0"),
+    ("license {MIT} <MIT:grant>", ""),
+    ("a license. " * 3000 + "This work is licensed under the GNU General Public License, version 3.", "GPL-3.0"),
+    *[(wrapped(MIT, mark, width), "MIT") for mark, width in (("", 76), ("# ", 72), (" * ", 60), ("// ", 40))],
+    (wrapped(BSD, "   "), "BSD-3-Clause"),
+    (wrapped(BSD, " * ").replace("\n", "\r\n"), "BSD-3-Clause"),
+    (wrapped(APACHE, "# "), "Apache-2.0"),
+    (wrapped(GPL.format("program", "", "3"), "-- "), "GPL-3.0-or-later"),
+    (GPL.format("program", "", "2").replace("software:", "software;"), "GPL-2.0-or-later"),
+    (wrapped(GPL.format("library", "Lesser ", "2.1"), "", 50), "LGPL-2.1-or-later"),
+    (wrapped(GPL.format("program", "Affero ", "3"), " * "), "AGPL-3.0-or-later"),
+    ("This project is licensed under the MIT License.", "MIT"),
+    ("It is distributed under the terms of the\nMozilla Public License, v2.0", "MPL-2.0"),
+    ("// SPDX-License-Identifier: LGPL-2.1-only\n// Copyright 2020", "LGPL-2.1-only"),
+    ("/* SPDX: LGPL-2.1-only */\nint main;", "LGPL-2.1-only"),
+    ("A heading\nReleased under the ISC License\nwithout any mark", "ISC"),
+    ("This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of it", "MPL-2.0"),
+    ("Made by Some Inc. Licensed under the MIT License.", "MIT"),
+    ("This project is not licensed under the MIT License. MITLicense", ""),
 ]
 
 
 def test_licenses_and_their_sql(spark, documents, tmp_path):
-    docs = documents(ODD + LICENSES)
+    docs = documents(ODD + [(i, text) for i, (text, _) in enumerate(LICENSES, 10)])
     got = licenses.find_licenses(docs)
     told = {r["doc_id"]: r for r in got.collect()}
-    assert [told[i]["licenses"] for i in range(10, 16)] == ["MIT", "BSD-3-Clause", "", "Apache-2.0,CC-BY-NC-4.0", "", "GPL-3.0"]
+    assert [told[i]["licenses"] for i in range(10, 10 + len(LICENSES))] == [name for _, name in LICENSES]
     assert told[12]["n_left"] == 2 and told[12]["sentences"] == "BSD-grant,BSD-source"
     docs.write.parquet(str(tmp_path / "documents"))
     duck = duckdb.connect()
