@@ -6,19 +6,23 @@ within their leaf the share of their smoothed count. Leaves are dealt to classes
 
     P(word) = P(class | before) * P(leaf | class, before) * P(word | leaf)
 
-where both softmaxes sum the weights of hashed features of what stands before: the leaf of
-the last word (bigram) and that of the word before it (skip). Unknown words count as one more word of their
-leaf, as in the base score they count as one more word of all.
+where both softmaxes sum the weights of hashed features of what stands before: the last word
+(bigram) and the word before it (skip), whatever their leaves. The places of the features
+follow the number of distinct words, up to ``MOST_SLOTS``, which bounds what is broadcast.
+Unknown words count as one more word of their leaf, as in the base score they count as one
+more word of all.
 
 Word counts, and with them the base score, cover all training texts exactly (words are
 known by 64-bit hashes). The counts of the ``KNOWN`` most frequent words are broadcast and
 scored where the texts are read; the words of a text that are not among them are joined
 with the table of all counts. Both give the same sums; only a bounded table is broadcast.
 
-Training goes over all training texts once, in ``ROUNDS`` parts by a hash of the id. In
-each round every task starts from the shared weights, makes gradient updates over its texts
-in batches of ``BATCH`` tokens, and sends its weights back; their mean, by tokens, is the
-next start. Weights have a fixed size; there are as many tasks as the cluster has cores.
+Training goes over all training texts once, in ``ROUNDS`` parts by a hash of the id. Each
+part is dealt, again by a hash, to pieces of about ``PIECE`` tokens, so that their number
+follows the tokens and not the cores, and the weights are the same on any cluster. In each
+round every piece starts from the shared weights, makes gradient updates over its texts in
+the order of the hash, in batches of ``BATCH`` tokens, and sends its weights back; their
+mean, by tokens, is the next start. The mean is taken in slices of the weights, row by row.
 
 Null texts are empty and have the end only. Rows are scored one by one, so that repeated
 rows are repeated results. Without training texts all counts are 0 and the model uniform.
@@ -35,15 +39,15 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from moniker.llm.words import groups, hash_ranges, lower_ascii, mix, row_chunks, text_bytes, words_of
+from moniker.llm.words import hash_ranges, lower_ascii, mix, row_chunks, text_bytes, words_of
 from moniker.sources import materialise
 
 BUCKETS = 256
 CLASSES, LEAVES = 32, 32
 WORDS = CLASSES * LEAVES - BUCKETS
 KNOWN = 1 << 19
-SLOTS, LEAF_SLOTS = 1 << 12, 1 << 14
-ROUNDS = 3
+LEAST_SLOTS, MOST_SLOTS = 1 << 12, 1 << 15
+ROUNDS, PIECE, SLICES = 3, 1 << 22, 64
 BATCH = 1 << 15
 RATE = 0.15
 SMOOTH = 0.1
@@ -85,6 +89,11 @@ class Lexicon:
     mass: np.ndarray  # log10 of the smoothed size of each bucket's leaf
     prior: np.ndarray  # training tokens of each leaf
 
+    @property
+    def slots(self) -> int:
+        """Places of the features of one kind, one for about 32 words."""
+        return min(max(1 << (self.distinct // 32).bit_length(), LEAST_SLOTS), MOST_SLOTS)
+
     def look_up(self, token: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Count (-1: not among the known) and leaf of tokens."""
         leaf = WORDS + (token & 255)
@@ -98,13 +107,14 @@ class Lexicon:
 class Model:
     """Weights: of classes and of leaves, by slots of features."""
 
-    def __init__(self, prior: np.ndarray):
+    def __init__(self, prior: np.ndarray, slots: int = LEAST_SLOTS):
         prior = (prior.reshape(CLASSES, LEAVES) + 1.0).astype(np.float64)
         whole = prior.sum(axis=1)
         self.class_bias = np.log(whole / whole.sum()).astype(np.float32)
         self.leaf_bias = np.log(prior / whole[:, None]).astype(np.float32)
-        self.by_class = np.zeros((2 * SLOTS, CLASSES), np.float32)
-        self.by_leaf = np.zeros((LEAF_SLOTS, LEAVES), np.float32)
+        self.shift = np.uint64(65 - slots.bit_length())
+        self.by_class = np.zeros((2 * slots, CLASSES), np.float32)
+        self.by_leaf = np.zeros((2 * slots, LEAVES), np.float32)
 
     def weights(self) -> list[np.ndarray]:
         return [self.class_bias, self.leaf_bias, self.by_class, self.by_leaf]
@@ -122,10 +132,9 @@ class Model:
     def forward(self, before: np.ndarray, ahead: np.ndarray, leaf: np.ndarray) -> tuple:
         """Slots, and probabilities of classes and of the leaves in the class of ``leaf``."""
         kind, place = leaf // LEAVES, leaf % LEAVES
-        near = mix(before) >> np.uint64(52)
-        far = mix(ahead ^ np.int64(0x5BD1E995)) >> np.uint64(52)
-        slots = (near.astype(np.int64), far.astype(np.int64) + SLOTS)
-        inner = tuple(((mix(s * CLASSES + kind)) >> np.uint64(50)).astype(np.int64) for s in slots)
+        words = (mix(before), mix(ahead ^ np.int64(0x5BD1E995)))
+        slots = tuple((w >> self.shift).astype(np.int64) + k * (len(self.by_class) // 2) for k, w in enumerate(words))
+        inner = tuple((mix(w + kind.astype(np.uint64)) >> self.shift - np.uint64(1)).astype(np.int64) for w in words)
         outer = _softmax(self.by_class[slots[0]] + self.by_class[slots[1]] + self.class_bias)
         below = _softmax(self.by_leaf[inner[0]] + self.by_leaf[inner[1]] + self.leaf_bias[kind])
         return kind, place, slots, inner, outer, below
@@ -181,10 +190,10 @@ def _summed(slot: np.ndarray, gradient: np.ndarray) -> tuple[np.ndarray, np.ndar
     return own[starts], np.add.reduceat(gradient[order], starts, axis=0)
 
 
-def contexts(leaf: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The leaf before each, and the one before that; ``START`` where a text has none."""
-    before, ahead = np.full_like(leaf, START), np.full_like(leaf, START)
-    before[1:], ahead[2:] = leaf[:-1], leaf[:-2]
+def contexts(token: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The word before each, and the one before that; ``START`` where a text has none."""
+    before, ahead = np.full_like(token, START), np.full_like(token, START)
+    before[1:], ahead[2:] = token[:-1], token[:-2]
     before[first[:-1]] = ahead[first[:-1]] = START
     second = first[:-1] + 1
     ahead[second[second < first[1:]]] = START
@@ -235,59 +244,81 @@ def fit_lexicon(counts: DataFrame) -> Lexicon:
     return Lexicon(int(total), int(distinct), known, n, leaf, np.log10(size + SMOOTH * (kinds + 1)), prior)
 
 
-def fit_model(texts: DataFrame, lexicon: Lexicon, part: Column, rounds: int = ROUNDS) -> Model:
-    """Train on all rows of ``texts``; ``part`` (0 to ``rounds`` - 1) says in which round."""
+def fit_model(texts: DataFrame, lexicon: Lexicon, rounds: int = ROUNDS) -> Model:
+    """Train on all rows of ``texts`` (text, part, order); ``part`` (0 to ``rounds`` - 1) says in which round."""
     context = texts.sparkSession.sparkContext
-    shipped, model = context.broadcast(lexicon), Model(lexicon.prior)
-    size, pieces = len(model.flat()), 16
-    cuts = [size * i // pieces for i in range(pieces + 1)]
+    shipped, model = context.broadcast(lexicon), Model(lexicon.prior, lexicon.slots)
+    size, pieces = len(model.flat()), max(1, round(lexicon.total / rounds / PIECE))
+    cuts = [size * i // SLICES for i in range(SLICES + 1)]
+    dealt = texts.withColumn("piece", F.pmod(F.xxhash64("order"), F.lit(pieces)).cast("int"))
     for r in range(rounds):
         start = context.broadcast(model.flat())
 
         def run(batches: Iterator[pa.RecordBatch], start=start) -> Iterator[pa.RecordBatch]:
-            own = Model(shipped.value.prior).load(start.value)
-            trainer, n = Trainer(own), 0
-            for batch in batches:
-                for a, b in row_chunks(batch.column(0)):
-                    token, first = tokens(batch.column(0).slice(a, b - a))
-                    _, leaf = shipped.value.look_up(token)
-                    before, ahead = contexts(leaf, first)
-                    for low in range(0, len(token), BATCH):
-                        trainer.learn(*(x[low : low + BATCH] for x in (before, ahead, leaf)))
-                    n += len(token)
-            if n:
+            def sent(piece: int, own: Model, n: int) -> pa.RecordBatch:
                 flat = own.flat()
                 rows = [flat[x:y].tobytes() for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
-                columns = [pa.array(range(pieces), pa.int32()), pa.array([float(n)] * pieces), pa.array(rows, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, names=["piece", "n", "weights"])
+                columns = [pa.array(range(SLICES), pa.int32()), pa.array([piece] * SLICES, pa.int32()), pa.array([float(n)] * SLICES), pa.array(rows, pa.binary())]
+                return pa.RecordBatch.from_arrays(columns, names=["slice", "piece", "n", "weights"])
+
+            last, own, trainer, n = None, None, None, 0
+            for batch in batches:
+                piece = batch.column("piece").to_numpy()
+                ends = [*(np.flatnonzero(piece[1:] != piece[:-1]) + 1).tolist(), batch.num_rows] if batch.num_rows else []
+                for low, high in zip([0, *ends], ends, strict=False):
+                    if piece[low] != last:
+                        if n:
+                            yield sent(last, own, n)
+                        last, n = int(piece[low]), 0
+                        own = Model(shipped.value.prior, shipped.value.slots).load(start.value)
+                        trainer = Trainer(own)
+                    column = batch.column("text").slice(low, high - low)
+                    for a, b in row_chunks(column):
+                        token, first = tokens(column.slice(a, b - a))
+                        _, leaf = shipped.value.look_up(token)
+                        before, ahead = contexts(token, first)
+                        for at in range(0, len(token), BATCH):
+                            trainer.learn(*(x[at : at + BATCH] for x in (before, ahead, leaf)))
+                        n += len(token)
+            if n:
+                yield sent(last, own, n)
 
         def mean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for group in groups(batches, ["piece"]):
-                total, n = 0.0, 0.0
-                for row in group.to_pylist():
-                    total = total + np.frombuffer(row["weights"], np.float32).astype(np.float64) * row["n"]
-                    n += row["n"]
-                columns = [group.column("piece").combine_chunks()[:1], pa.array([(total / n).astype(np.float32).tobytes()], pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, names=["piece", "weights"])
-
-        own = texts.where(part == r).select("text").coalesce(max(2, context.defaultParallelism))
-        sent = own.mapInArrow(run, "piece int, n double, weights binary").repartition("piece").sortWithinPartitions("piece")
-        got = sent.mapInArrow(mean, "piece int, weights binary").collect()
+            def done(at: int, total: np.ndarray, n: float) -> pa.RecordBatch:
+                return pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([(total / n).astype(np.float32).tobytes()], pa.binary())], names=["slice", "weights"])
+
+            last, total, n = None, None, 0.0
+            for batch in batches:
+                for at, own, weights in zip(*(batch.column(c) for c in ("slice", "n", "weights")), strict=True):
+                    if at.as_py() != last:
+                        if n:
+                            yield done(last, total, n)
+                        last, total, n = at.as_py(), 0.0, 0.0
+                    total = total + np.frombuffer(weights.as_buffer(), np.float32).astype(np.float64) * own.as_py()
+                    n += own.as_py()
+            if n:
+                yield done(last, total, n)
+
+        part = dealt.where(F.col("part") == r).select("piece", "order", "text")
+        part = part.repartition(pieces, "piece").sortWithinPartitions("piece", "order")
+        sent = part.mapInArrow(run, "slice int, piece int, n double, weights binary").repartition("slice").sortWithinPartitions("slice", "piece")
+        got = sent.mapInArrow(mean, "slice int, weights binary").collect()  # one model
         if got:
-            model.load(np.concatenate([np.frombuffer(x["weights"], np.float32) for x in sorted(got, key=lambda x: x["piece"])]))
+            model.load(np.concatenate([np.frombuffer(x["weights"], np.float32) for x in sorted(got, key=lambda x: x["slice"])]))
     return model
 
 
 def score_texts(docs: DataFrame, trained: Column, keep: list[str], part: Column, text: str = "text") -> DataFrame:
     """Columns ``keep`` and n_tokens, n_known, train_tokens, base_score, score of every row of ``docs``.
 
-    Learns from the rows for which ``trained`` holds.
+    Learns from the rows for which ``trained`` holds; ``keep`` should tell equal texts apart, as an id does.
     """
     body = F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text")
     learnt = docs.where(F.coalesce(trained, F.lit(False)))
     counts = materialise(word_counts(learnt.select(body)), "counts")
     lexicon = fit_lexicon(counts)
-    model = fit_model(learnt.select(body, part.alias("part")), lexicon, F.col("part"))
+    order = F.xxhash64(*[F.col(f"`{c}`") for c in keep], body)
+    model = fit_model(learnt.select(body, part.alias("part"), order.alias("order")), lexicon)
     spark = docs.sparkSession.sparkContext
     shipped, weights = spark.broadcast(lexicon), spark.broadcast(model.flat())
     own = docs.select(*[F.col(f"`{c}`") for c in keep], body)
@@ -295,13 +326,13 @@ def score_texts(docs: DataFrame, trained: Column, keep: list[str], part: Column,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shipped.value
-        shared = Model(known.prior).load(weights.value)
+        shared = Model(known.prior, known.slots).load(weights.value)
         row = TaskContext.get().partitionId() << 33
         for batch in batches:
             for a, b in row_chunks(batch.column(len(keep))):
                 token, first = tokens(batch.column(len(keep)).slice(a, b - a))
                 count, leaf = known.look_up(token)
-                before, ahead = contexts(leaf, first)
+                before, ahead = contexts(token, first)
                 seen = count >= 0
                 own_log = np.where(seen, np.log10(np.maximum(count, 0) + SMOOTH), 0.0)
                 shared_leaf = leaf >= WORDS

@@ -503,6 +503,15 @@ def test_language_model(documents, monkeypatch, known):
     assert sum(r["score"] for r in got) > sum(r["base_score"] for r in got)
 
 
+def test_language_model_is_the_same_however_it_is_dealt(documents, monkeypatch):
+    monkeypatch.setattr(maxent, "PIECE", 200)
+    draw = random.Random(4)
+    docs = documents([(i, " ".join(f"w{draw.randrange(50)}" for _ in range(draw.randrange(30)))) for i in range(300)])
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(maxent.ROUNDS))
+    told = [rows_of(maxent.score_texts(own, F.lit(True), ["doc_id"], part)) for own in (docs.coalesce(1), docs.repartition(7, "text"))]
+    assert [r[5] for r in told[0]] == pytest.approx([r[5] for r in told[1]], abs=1e-9)
+
+
 def test_language_model_without_rows(documents):
     docs = documents(ODD)
     part = F.lit(0)
