@@ -7,8 +7,8 @@ within their leaf the share of their smoothed count. Leaves are dealt to classes
     P(word) = P(class | before) * P(leaf | class, before) * P(word | leaf)
 
 where both softmaxes sum the weights of hashed features of what stands before: the last word
-(bigram) and the word before it (skip), whatever their leaves. The places of the features
-follow the number of distinct words, up to ``MOST_SLOTS``, which bounds what is broadcast.
+(bigram) and the word before it (skip). A word with ``OFTEN`` or more training tokens that
+is among the known stands for itself there, others for their leaf. The places of the features follow the number of distinct words, up to ``MOST_SLOTS``, which bounds what is broadcast.
 Unknown words count as one more word of their leaf, as in the base score they count as one
 more word of all.
 
@@ -48,6 +48,7 @@ WORDS = CLASSES * LEAVES - BUCKETS
 KNOWN = 1 << 19
 LEAST_SLOTS, MOST_SLOTS = 1 << 12, 1 << 15
 ROUNDS, PIECE, SLICES = 3, 1 << 22, 64
+OFTEN = 50
 BATCH = 1 << 15
 RATE = 0.15
 SMOOTH = 0.1
@@ -162,7 +163,7 @@ class Trainer:
 
     def __init__(self, model: Model):
         self.model = model
-        self.past = [np.full(w.shape, 1e-2, np.float32) for w in model.weights()]
+        self.past = [np.full(w.shape, 0.5, np.float32) for w in model.weights()]
 
     def learn(self, before: np.ndarray, ahead: np.ndarray, leaf: np.ndarray) -> None:
         kind, place, slots, inner, outer, below = self.model.forward(before, ahead, leaf)
@@ -191,7 +192,7 @@ def _summed(slot: np.ndarray, gradient: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def contexts(token: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The word before each, and the one before that; ``START`` where a text has none."""
+    """What stands before each, and before that; ``START`` where a text has none."""
     before, ahead = np.full_like(token, START), np.full_like(token, START)
     before[1:], ahead[2:] = token[:-1], token[:-2]
     before[first[:-1]] = ahead[first[:-1]] = START
@@ -275,8 +276,8 @@ def fit_model(texts: DataFrame, lexicon: Lexicon, rounds: int = ROUNDS) -> Model
                     column = batch.column("text").slice(low, high - low)
                     for a, b in row_chunks(column):
                         token, first = tokens(column.slice(a, b - a))
-                        _, leaf = shipped.value.look_up(token)
-                        before, ahead = contexts(token, first)
+                        count, leaf = shipped.value.look_up(token)
+                        before, ahead = contexts(np.where(count >= OFTEN, token, leaf), first)
                         for at in range(0, len(token), BATCH):
                             trainer.learn(*(x[at : at + BATCH] for x in (before, ahead, leaf)))
                         n += len(token)
@@ -332,7 +333,7 @@ def score_texts(docs: DataFrame, trained: Column, keep: list[str], part: Column,
             for a, b in row_chunks(batch.column(len(keep))):
                 token, first = tokens(batch.column(len(keep)).slice(a, b - a))
                 count, leaf = known.look_up(token)
-                before, ahead = contexts(token, first)
+                before, ahead = contexts(np.where(count >= OFTEN, token, leaf), first)
                 seen = count >= 0
                 own_log = np.where(seen, np.log10(np.maximum(count, 0) + SMOOTH), 0.0)
                 shared_leaf = leaf >= WORDS
