@@ -4,13 +4,15 @@ import re
 import uuid
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from moniker.functions import cas_key, formula_key, rubbish_reason, strip_tags
 from moniker.operators import flatten_mentions, lookup_words, renest_mentions
 from moniker.plans import Discard, Lookup, distinct_words, resolve_words, standard_chain, tag_mentions
 from moniker.plans.cascade import named_keys
 from moniker.plans.publish import nest_by_bucket
-from moniker.sources import build_dictionary, load_order, publish_dictionary, read_mentions, scratch_path
+from moniker.sources import build_dictionary, load_order, publish_dictionary, read_mentions, scratch_path, seen_fields
+from moniker.sources.ner import NER_SCHEMA
 
 SCHEMA = "patent_id string, infer_list array<struct<start_orig: int, end_orig: int, word_orig: string>>"
 
@@ -118,3 +120,11 @@ def test_bucket_layout_serves_the_aggregation(spark):
     nested = plan(nest_by_bucket(mentions, docs, ["word_orig"], 4))
     assert nested.count("REPARTITION_BY_NUM") == 1
     assert "hashpartitioning(bucket" in nested and "hashpartitioning(patent_id" not in nested
+
+
+def test_levels_of_a_record_are_looked_at_once(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"data": {"results_list": [{"infer_list": [{"start_orig": 1}]}]}}\n')
+    seen = seen_fields(spark, str(tmp_path), StructType.fromDDL(NER_SCHEMA), "*.json")
+    # One place for the declared containers of each of four levels, one for all else.
+    assert len(re.findall("schemaOfVariant|schema_of_variant", plan(seen))) <= 9
+    assert ("data.results_list.infer_list.start_orig", "int", 1) in {(r.field, r.kind, r.n) for r in seen.collect()}
