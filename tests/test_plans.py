@@ -199,6 +199,50 @@ def test_hot_patent_is_written_by_several_tasks(spark):
     assert cold.select("f").distinct().count() <= 8
 
 
+def test_large_buckets_are_written_by_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr("moniker.operators.mentions.PART_ROWS", 50)
+    docs = documents(spark, [(f"p{i % 300}", ["a"] * (i % 3)) for i in range(400)])
+    path = scratch_path(spark, "large")
+    table = write_bucketed(docs, "large_docs", path, buckets=2)
+    sizes = [r["count"] for r in table.groupBy(F.input_file_name()).count().collect()]
+    assert sum(sizes) == 400 and len(sizes) >= 8 and max(sizes) <= 100
+    files = table.select("patent_id", F.input_file_name().alias("f")).distinct()
+    assert files.count() == 300
+
+
+def test_frequent_words_meet_their_answers_without_a_shuffle(spark, tables, monkeypatch):
+    chain = standard_chain(**tables)
+    lists = LISTS + [("p5", ["water", "miss", "Acme", "64-17-5", "PP"]), ("p6", [None, "DMSO"])]
+    docs = documents(spark, [(p, [w for w in ws if w is not None]) for p, ws in lists])
+    words = distinct_words(docs, chain)
+
+    def found(unresolved):
+        rows = tag_mentions(flatten_mentions(docs), words, resolve_words(words, chain), "claims", unresolved, chain=chain)
+        return rows, sorted(map(str, rows.select("row_id", "pos", "word_orig", "ids", "stage", "kind", "section").collect()))
+
+    plain = [found(u)[1] for u in (False, True)]
+    for floor, chars in ((1, 256), (2, 256), (1, 14)):
+        monkeypatch.setattr("moniker.plans.cascade.FREQUENT_FLOOR", floor)
+        monkeypatch.setattr("moniker.plans.cascade.ANSWER_CHARS", chars)
+        assert [found(u)[1] for u in (False, True)] == plain
+    monkeypatch.setattr("moniker.plans.cascade.FREQUENT_FLOOR", 1)
+    assert "BroadcastHashJoin" in found(True)[0]._jdf.queryExecution().executedPlan().toString()
+
+
+def test_compaction_in_more_files_than_asked(spark, monkeypatch):
+    parts = [scratch_path(spark, "part") for _ in range(2)]
+    for part in parts:
+        documents(spark, [(f"p{i}", ["a", "b"]) for i in range(40)]).drop("row_id").repartition(10).write.parquet(part)
+    schema = "patent_id string, infer_list array<struct<start_orig: int, end_orig: int, word_orig: string>>"
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+    try:
+        monkeypatch.setattr("moniker.plans.publish.FILE_BYTES", 5000)
+        whole = compact(spark, parts, schema, scratch_path(spark, "target"), 2)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert whole.count() == 80 and whole.select(F.input_file_name()).distinct().count() > 2
+
+
 def test_compaction(spark):
     parts = [scratch_path(spark, "part") for _ in range(3)]
     for i, part in enumerate(parts):
