@@ -50,6 +50,8 @@ LEAST_SLOTS, MOST_SLOTS = 1 << 12, 1 << 15
 ROUNDS, PIECE, SLICES = 3, 1 << 22, 64
 OFTEN = 50
 BATCH = 1 << 15
+IN_CACHE = 1 << 11  # rows of weights held at a time, which stay in the cache
+FEW = 8  # rows of one slot summed without reduceat
 RATE = 0.15
 SMOOTH = 0.1
 END = (np.uint64(0x452821E638D01377) >> np.uint64(8) << np.uint64(8)).view(np.int64)
@@ -100,7 +102,10 @@ class Lexicon:
         leaf = WORDS + (token & 255)
         if not len(self.known):
             return np.full(len(token), -1), leaf
-        at = np.minimum(np.searchsorted(self.known, token), len(self.known) - 1)
+        order = np.argsort(token)  # looked up in order, as far apart places are slow to reach
+        at = np.empty(len(token), np.int64)
+        at[order] = np.searchsorted(self.known, token[order])
+        at = np.minimum(at, len(self.known) - 1, out=at)
         hit = self.known[at] == token
         return np.where(hit, self.counts[at], -1), np.where(hit, self.leaf[at], leaf)
 
@@ -136,8 +141,8 @@ class Model:
         words = (mix(before), mix(ahead ^ np.int64(0x5BD1E995)))
         slots = tuple((w >> self.shift).astype(np.int64) + k * (len(self.by_class) // 2) for k, w in enumerate(words))
         inner = tuple((mix(w + kind.astype(np.uint64)) >> self.shift - np.uint64(1)).astype(np.int64) for w in words)
-        outer = _softmax(self.by_class[slots[0]] + self.by_class[slots[1]] + self.class_bias)
-        below = _softmax(self.by_leaf[inner[0]] + self.by_leaf[inner[1]] + self.leaf_bias[kind])
+        outer = _softmax(self.by_class, *slots, self.class_bias)
+        below = _softmax(self.by_leaf, *inner, self.leaf_bias, kind)
         return kind, place, slots, inner, outer, below
 
     def logs(self, before: np.ndarray, ahead: np.ndarray, leaf: np.ndarray) -> np.ndarray:
@@ -151,11 +156,18 @@ class Model:
         return out
 
 
-def _softmax(x: np.ndarray) -> np.ndarray:
-    x -= x.max(axis=1, keepdims=True)
-    np.exp(x, out=x)
-    x /= x.sum(axis=1, keepdims=True)
-    return x
+def _softmax(weights: np.ndarray, first: np.ndarray, second: np.ndarray, bias: np.ndarray, kind: np.ndarray | None = None) -> np.ndarray:
+    """Of the sums of two rows of ``weights`` and ``bias`` (its row ``kind``), ``IN_CACHE`` rows at a time."""
+    out = np.empty((len(first), weights.shape[1]), np.float32)
+    for a in range(0, len(first), IN_CACHE):
+        own = slice(a, a + IN_CACHE)
+        x = weights.take(first[own], axis=0, out=out[own], mode="clip")
+        x += weights.take(second[own], axis=0)
+        x += bias if kind is None else bias.take(kind[own], axis=0)
+        x -= x.max(axis=1, keepdims=True)
+        np.exp(x, out=x)
+        x /= x.sum(axis=1, keepdims=True)
+    return out
 
 
 class Trainer:
@@ -179,16 +191,42 @@ class Trainer:
             self._step(by_leaf, self.past[3], *_summed(s, below))
 
     def _step(self, weights: np.ndarray, past: np.ndarray, rows: np.ndarray, gradient: np.ndarray) -> None:
-        past[rows] += gradient * gradient
-        weights[rows] -= RATE * gradient / np.sqrt(past[rows])
+        own = past.take(rows, axis=0)
+        own += gradient * gradient
+        past[rows] = own
+        gradient *= RATE
+        gradient /= np.sqrt(own, out=own)
+        weights[rows] -= gradient
 
 
 def _summed(slot: np.ndarray, gradient: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sums of the rows of ``gradient`` by slot."""
+    """Sums of the rows of ``gradient`` by slot.
+
+    ``reduceat`` costs as much for each slot and column as for many rows, so slots of up to ``FEW``
+    rows, which are most, are summed all at once, in the order in which it would: the first
+    row is added to the sum of the others.
+    """
     order = np.argsort(slot.astype(np.uint16), kind="stable")
     own = slot[order]
     starts = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
-    return own[starts], np.add.reduceat(gradient[order], starts, axis=0)
+    counts = np.diff(starts, append=len(own))
+    sums = np.empty((len(starts), gradient.shape[1]), gradient.dtype)
+    many = np.flatnonzero(counts > FEW)
+    if len(many):
+        rows = np.repeat(counts > FEW, counts)
+        begins = np.cumsum(counts[many]) - counts[many]
+        sums[many] = np.add.reduceat(gradient.take(order[rows], axis=0), begins, axis=0)
+    for n in range(1, FEW + 1):
+        at = np.flatnonzero(counts == n)
+        first = starts[at]
+        total = gradient.take(order[first], axis=0)
+        if n > 1:
+            rest = gradient.take(order[first + 1], axis=0)
+            for k in range(2, n):
+                rest += gradient.take(order[first + k], axis=0)
+            total += rest
+        sums[at] = total
+    return own[starts], sums
 
 
 def contexts(token: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

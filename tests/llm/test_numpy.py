@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -238,3 +239,26 @@ def test_digest_of_an_empty_text(encoder):
     ids, first = encoder.units(pa.array(["", None])).flat_ids(encoder.model.end)
     assert list(pieces._digests(encoder.model.numbers, ids, first)) == [hashlib.sha256(b"2").hexdigest()] * 2
     assert list(pieces._digests(encoder.model.texts, ids, first)) == [hashlib.sha256(b"").hexdigest()] * 2
+
+
+def test_summed_is_reduceat():
+    """Slots with few and with many rows get the very sums of ``reduceat``; temporaries of a softmax stay small."""
+    draw = np.random.default_rng(5)
+    slot = np.concatenate([np.repeat(np.arange(200), np.arange(200) % 23 + 1), np.full(3000, 777)])
+    draw.shuffle(slot)
+    gradient = draw.normal(size=(len(slot), maxent.CLASSES)).astype(np.float32)
+    order = np.argsort(slot, kind="stable")
+    starts = np.searchsorted(slot[order], np.unique(slot))
+    found, sums = maxent._summed(slot, gradient)
+    assert found.tolist() == np.unique(slot).tolist()
+    assert sums.tobytes() == np.add.reduceat(gradient[order], starts, axis=0).tobytes()
+
+    weights, bias = draw.normal(size=(64, maxent.CLASSES)).astype(np.float32), np.ones(maxent.CLASSES, np.float32)
+    first, second = draw.integers(0, 64, (2, maxent.BATCH))
+    tracemalloc.start()
+    told = maxent._softmax(weights, first, second, bias)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    plain = np.exp((x := weights[first] + weights[second] + bias) - x.max(axis=1, keepdims=True))
+    assert told.tobytes() == (plain / plain.sum(axis=1, keepdims=True)).tobytes()
+    assert most < 1.5 * told.nbytes
