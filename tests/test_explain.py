@@ -13,6 +13,7 @@ from moniker.plans.cascade import named_keys
 from moniker.plans.publish import nest_by_bucket
 from moniker.sources import build_dictionary, load_order, publish_dictionary, read_mentions, scratch_path, seen_fields
 from moniker.sources.ner import NER_SCHEMA
+from workload import inputs
 
 SCHEMA = "patent_id string, infer_list array<struct<start_orig: int, end_orig: int, word_orig: string>>"
 
@@ -96,6 +97,27 @@ def test_keys_stay_in_the_engine(spark):
     assert not re.search("Python|Arrow", plan(keys).split("Scan ")[0])
 
 
+def test_the_cas_rule_is_compiled(spark):
+    """It is tried on mentions: a lambda would keep Spark from compiling the filter and all that it is part of."""
+    words = spark.createDataFrame([("x",)], "w string").where(cas_key(F.col("w")).isNull())
+    assert "lambda" not in plan(words) and re.search(r"\* ?(\([0-9]+\) )?Filter|Filter \[codegen id", plan(words))
+
+
+def test_the_one_file_of_parts_is_spread(spark, tmp_path):
+    """Compositions, and the lists of formulas, of a table that is one split are not all worked out by one task."""
+    rows = [(i, f"name {i}", "Brand#1", i % 50) for i in range(40)]
+    spark.createDataFrame(rows, "p_partkey bigint, p_name string, p_brand string, p_size int").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    assert inputs.table(spark, str(tmp_path), "part").rdd.getNumPartitions() == 1
+    assert inputs.formula_rows(spark, str(tmp_path)).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
+def test_lists_without_a_lambda(spark):
+    words = spark.createDataFrame([("ab", None), ("", "c")], "v string, w string")
+    listed, transformed = inputs._listed(F.col("v"), F.col("w")), inputs._as_mentions(F.array("v", "w"))
+    assert words.select(listed).collect() == words.select(transformed).collect()
+    assert "lambda" not in plan(words.select(listed))
+
+
 def test_words_read_nothing_but_words(spark):
     words = stored(spark).select(F.explode("infer_list.word_orig").alias("word_orig")).groupBy("word_orig").count()
     schema = re.search("ReadSchema: (.*)", plan(words)).group(1)
