@@ -55,6 +55,7 @@ HOT_SHARE, HOT_LIST = 1024, 1 << 17
 BLOCK = 1024
 FORESTS, FEW = 4, 4
 MEASURED, COMMON = 1 << 11, 20.0
+CHUNK = 1 << 19  # bytes of text at a time: their shingles and signatures are many times as large
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -109,7 +110,7 @@ def allocation(docs: DataFrame, rule: Rule, rows: int, key: str, text: str) -> W
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b in row_chunks(batch.column(0)):
+            for a, b in row_chunks(batch.column(0), CHUNK):
                 shingles, begins = shingle_sets(batch.column(0).slice(a, b - a), rule)
                 classes, n = _class_of(shingles, begins), np.diff(begins)
                 for leave_out in (False, True):
@@ -219,7 +220,7 @@ def document_sets(docs: DataFrame, rule: Rule, ways: Ways, key: str, text: str)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         listed = np.empty(0, np.int64)
         for batch in batches:
-            for a, b in row_chunks(batch.column(1)):
+            for a, b in row_chunks(batch.column(1), CHUNK):
                 shingles, begins = shingle_sets(batch.column(1).slice(a, b - a), rule)
                 n, classes = np.diff(begins), _class_of(shingles, begins)
                 fresh = np.zeros(len(n), bool)
@@ -272,7 +273,7 @@ def _candidates(docs: DataFrame, wanted: DataFrame, rule: Rule, key: str, text:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b in row_chunks(batch.column(1)):
+            for a, b in row_chunks(batch.column(1), CHUNK):
                 shingles, begins = shingle_sets(batch.column(1).slice(a, b - a), rule)
                 lists = pa.ListArray.from_arrays(pa.array(begins.astype(np.int32)), pa.array(shingles.view(np.int64)))
                 bits = [parities(shingles[x:y]) for x, y in zip(begins[:-1].tolist(), begins[1:].tolist(), strict=True)]

@@ -42,6 +42,7 @@ from moniker.llm.words import hashed_words, mix, row_chunks
 from moniker.sources import materialise
 
 SAMPLE = 8192
+CHUNK = 1 << 19  # bytes of text at a time: a task holds some thirty arrays of numbers for their words
 SHORT = 20.0  # texts of fewer words are treated as if they were longer
 WORD_BITS, PAIR_BITS = 20, 21
 FOLDS = 4
@@ -92,7 +93,7 @@ def _ratios(model: ToxicityModel, column: pa.Array) -> tuple[np.ndarray, np.ndar
     together are the ratio of the whole text.
     """
     sums, counts = [np.empty((0, KINDS))], [np.empty(0, np.int64)]
-    for a, b in row_chunks(column):
+    for a, b in row_chunks(column, CHUNK):
         _, context, word, begins = _places(column.slice(a, b - a))
         place = _pair_place(context, word)
         alone, logs = [], []
@@ -141,7 +142,7 @@ def _pairs(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             toxic, fold = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("toxic", "fold"))
-            for a, b in row_chunks(batch.column("text")):
+            for a, b in row_chunks(batch.column("text"), CHUNK):
                 ahead, context, word, begins = _places(batch.column("text").slice(a, b - a))
                 triple = ahead << 2 * WORD_BITS | context << WORD_BITS | word
                 mark = np.repeat(toxic[a:b] * FOLDS + fold[a:b], np.diff(begins)).astype(np.int64)
@@ -289,12 +290,14 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel | float, keep: list[str
     if not isinstance(model, ToxicityModel):
         return docs.select(*kept, F.lit(float(model)).alias(score))
     shipped = docs.sparkSession.sparkContext.broadcast(model)
-    own = docs.select(*kept, F.col(f"`{text}`").alias("__text"))
+    # A text that is kept is not sent to the workers twice.
+    own = docs.select(*kept) if text in keep else docs.select(*kept, F.col(f"`{text}`").alias("__text"))
     schema = own.select(*kept, F.lit(0.0).alias(score)).schema
+    at = keep.index(text) if text in keep else len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            told = probability(_features(*_ratios(shipped.value, batch.column(len(keep)))) @ shipped.value.weights)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(told)], names=[*keep, score])
+            told = probability(_features(*_ratios(shipped.value, batch.column(at))) @ shipped.value.weights)
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(told)], names=[*keep, score])
 
     return own.mapInArrow(run, schema)
