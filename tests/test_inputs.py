@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from moniker.plans import distinct_words
 from workload import inputs, queries
 
 TABLES = {
@@ -31,11 +32,29 @@ def test_words_are_those_of_the_corpus(spark, tables):
     expected = sorted(map(repr, corpus.select(F.explode("infer_list.word_orig")).collect()))
     assert expected == sorted(map(repr, inputs.mentioned_words(spark, tables).select(F.col("word_orig").alias("col")).collect()))
 
+    def lists(documents):
+        return sorted(map(repr, documents.select("patent_id", F.col("infer_list.word_orig").alias("words")).collect()))
+
+    assert lists(corpus) == lists(inputs.word_documents(spark, tables))
+
 
 def test_words_are_taken_without_lists_of_mentions(spark, tables, monkeypatch):
     monkeypatch.setattr(inputs, "corpus", lambda *_: pytest.fail("the corpus is written"))
     found = queries.registry()["formula_tokens"](spark, tables)
     assert "transform(split" not in plan(found) and found.count() == len({*map(tuple, inputs.mentioned_words(spark, tables).collect())})
+    assert queries.registry()["lookup_formula"](spark, tables).where(F.col("ids").isNull()).count() == 0
+
+
+def test_lists_are_derived_once_for_their_words(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr("moniker.plans.cascade.materialise", lambda df, _: seen.append(plan(df)) or df)
+    schema = "patent_id string, text string"
+    texts = spark.createDataFrame([("a", "x y x"), ("b", None), ("c", "")], schema)
+    nested = texts.select("patent_id", F.transform(F.split("text", " "), lambda w: F.struct(w.alias("word_orig"))).alias("infer_list"))
+    empty = nested.withColumn("infer_list", F.slice("infer_list", 1, 0))
+    words = distinct_words(nested.unionByName(empty))
+    assert {(r.word_orig, r.n_mentions) for r in words.collect()} == {("x", 2), ("y", 1), ("", 1)}
+    assert "size(" not in seen[0]
 
 
 def test_texts_are_dealt_to_several_tasks_for_each_core(spark, tables):
