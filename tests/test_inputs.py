@@ -1,5 +1,8 @@
 """Words and files derived from tables of odd rows."""
 
+import gzip
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -60,3 +63,12 @@ def test_lists_are_derived_once_for_their_words(spark, monkeypatch):
 def test_texts_are_dealt_to_several_tasks_for_each_core(spark, tables):
     tasks = 2 * spark.sparkContext.defaultParallelism
     assert inputs.text_documents(spark, tables).rdd.getNumPartitions() == tasks
+    assert inputs._ner_records(spark, tables).rdd.getNumPartitions() == tasks
+
+
+def test_recogniser_files_hold_every_line(spark, tables, tmp_path):
+    path = inputs.write_raw_ner(spark, tables)
+    expected = sorted(r.value for r in inputs.raw_ner(spark, tables).collect())
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt.gz").load(path).collect()
+    lines = sorted(line for f in files for line in gzip.decompress(f.content).decode().splitlines())
+    assert lines == expected and json.loads(lines[-1])["patent_id"] == "4" and len(lines) == 6
