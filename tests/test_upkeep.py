@@ -10,7 +10,7 @@ from pyspark.sql.types import StructType
 from moniker.plans import Lookup, compact_table, current_version, drop_versions, link_batches, publish_version, versions
 from moniker.plans.cascade import distinct_words, failed_names, resolve_words, resolver_answers, resolver_keys
 from moniker.sources import build_dictionary, file_manifest, load_order, schema_drift, seen_fields, start_dictionary, update_dictionary
-from moniker.sources.ner import MENTION_SCHEMA
+from moniker.sources.ner import MENTION_SCHEMA, NER_SCHEMA
 from moniker.streaming import batch_resolver, resolve_available
 
 FIELDS = "patent_id string, infer_list array<struct<start_orig: int, end_orig: int, word_orig: string>>"
@@ -237,3 +237,21 @@ def test_drift_by_file(spark, tmp_path):
         ("moved.json", "data.list.c", None, "boolean", "unknown", 1),
         ("moved.json", "data.list.b", "number", None, "missing", 0),
     }
+
+
+def test_types_that_hide_a_kind_are_taken_apart(spark, tmp_path):
+    """Lines are counted by their merged type; where that hides a kind, each object is looked at."""
+    inner = "data.results_list.infer_list."
+
+    def line(*starts):
+        return json.dumps({"patent_id": "null", "data": {"results_list": [{"infer_list": [{"start_orig": s} for s in starts]}]}})
+
+    lines = [line(1, 2), line(3), line(1, 2.5), line(1, None), line(1, "x"), line(12345678901234567890123), "no json"]
+    (tmp_path / "a.json").write_text("\n".join(lines) + "\n")
+    schema = StructType.fromDDL(NER_SCHEMA)
+    seen = seen_fields(spark, str(tmp_path), schema, "*.json")
+    told = {(r.field, r.kind): r.n for r in seen.collect()}
+    starts = {kind: n for (field, kind), n in told.items() if field == f"{inner}start_orig"}
+    assert starts == {"int": 5, "number": 2, "null": 1, "string": 1} and told["patent_id", "string"] == 6
+    # The files are read for the fields once, though the drift is told from them twice.
+    assert "FileScan text" not in schema_drift(seen, schema)._jdf.queryExecution().executedPlan().toString()
