@@ -20,7 +20,7 @@ from moniker.sources.ner import (
     write_mentions,
 )
 from moniker.sources.drift import schema_drift, seen_fields
-from moniker.sources.scratch import materialise, scratch_job, scratch_path, settle
+from moniker.sources.scratch import materialise, packed, scratch_job, scratch_path, settle, store
 from moniker.sources.upkeep import start_dictionary, update_dictionary
 
 __all__ = [
@@ -34,6 +34,7 @@ __all__ = [
     "load_order",
     "materialise",
     "misnamed_files",
+    "packed",
     "merge_union",
     "union_dictionary",
     "part_id",
@@ -49,6 +50,7 @@ __all__ = [
     "seen_fields",
     "settle",
     "start_dictionary",
+    "store",
     "update_dictionary",
     "write_mentions",
 ]

@@ -4,13 +4,14 @@ import os
 import random
 import subprocess
 import sys
+import time
 import uuid
 
 import pytest
 from pyspark.sql import functions as F
 
 from moniker.functions import is_rubbish
-from moniker.operators import flatten_mentions
+from moniker.operators import flatten_mentions, renest_mentions
 from moniker.plans import (
     Discard,
     Lookup,
@@ -30,7 +31,8 @@ from moniker.plans import (
 )
 from moniker.plans.cascade import answered_words, extend_resolution
 from moniker.plans.publish import hot_patents
-from moniker.sources import scratch_job, scratch_path, union_dictionary
+from moniker.plans import publish
+from moniker.sources import scratch, scratch_job, scratch_path, store, union_dictionary
 
 SCHEMA = "patent_id string, row_id long, infer_list array<struct<start_orig: int, end_orig: int, word_orig: string>>"
 
@@ -320,3 +322,78 @@ def test_union_dictionary_is_a_step(spark):
     words = spark.createDataFrame([("a", 1, False, False)], "word_orig string, n_mentions long, dropped boolean, doubtful boolean")
     found = resolve_words(words, [Lookup("name", union_dictionary(rows))]).collect()
     assert [(r.word_orig, r.ids) for r in found] == [("a", ["1", "2"])]
+
+
+# --- slices -----------------------------------------------------------------------------
+
+
+def shuffle_files(spark):
+    names = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles().mkString("|")
+    return names.count("shuffle_")
+
+
+def test_shuffle_files_go_with_what_is_written(spark):
+    spark.sparkContext._jvm.System.gc()
+    rows = spark.range(1000).repartition(3, "id")
+    rows.write.parquet(scratch_path(spark, "kept"))
+    before = shuffle_files(spark)
+    assert before > 0
+    path = scratch_path(spark, "packed")
+    store(rows, path)
+    for _ in range(50):
+        if shuffle_files(spark) <= before:
+            break
+        time.sleep(0.1)
+    assert shuffle_files(spark) <= before and spark.read.parquet(path).count() == 1000
+    assert spark.conf.get(scratch.RELEASE) == "false"
+
+
+def test_slices_together_are_the_whole(spark, tables, monkeypatch):
+    """Documents that are worked off slice by slice give the tables that they give at once."""
+    lists = LISTS + [(f"s{i}", ["water", "miss", "Acme", "NaCl"][: i % 5]) for i in range(20)] + [("s1", ["DMSO"]), (None, ["water"])]
+    docs, chain = documents(spark, lists), standard_chain(**tables)
+
+    def made():
+        outputs = [Output(f"sliced_{n}_{uuid.uuid4().hex}", scratch_path(spark, n)) for n in ("substance", "entity", "whole")]
+        linked = link_documents(docs, chain, "desc", *outputs[:2], buckets=4)
+        whole = write_bucketed(docs, outputs[2].table, outputs[2].path, buckets=4)
+        nested = renest_mentions(flatten_mentions(docs), docs)
+        mentions = flatten_mentions(docs).withColumnRenamed("word_orig", "w")
+        published = publish_documents(mentions, docs, ["w"], f"published_{uuid.uuid4().hex}", scratch_path(spark, "published"), buckets=4)
+        assert all(t.count() == len(lists) for t in (*linked, whole, nested, published))
+        return [sorted(map(repr, t.select(*sorted(t.columns)).collect())) for t in (*linked, whole, nested, published)]
+
+    at_once, saved = made(), []
+    monkeypatch.setattr("moniker.operators.mentions.SLICE_ROWS", 20)
+    monkeypatch.setattr("moniker.sources.scratch.store", lambda df, *rest: saved.append(rest[0]) or store(df, *rest))
+    assert made() == at_once
+    assert len([path for path in saved if "/tagged-" in path]) == 4  # one for each bucket
+    assert len([path for path in saved if "/nested-" in path]) > 2
+
+
+def test_a_failed_slice_leaves_no_table(spark, monkeypatch):
+    docs = documents(spark, [(f"p{i}", ["a", "b"]) for i in range(20)])
+    monkeypatch.setattr("moniker.operators.mentions.SLICE_ROWS", 20)
+    placed, name = publish._place, f"failing_{uuid.uuid4().hex}"
+
+    def failing(rows, *rest):
+        made.append(rows)
+        return placed(rows, *rest) if len(made) < 2 else placed(rows.where(F.raise_error(F.lit("lost")).isNull()), *rest)
+
+    made = []
+    monkeypatch.setattr("moniker.plans.publish._place", failing)
+    with pytest.raises(Exception, match="lost"):
+        write_bucketed(docs, name, scratch_path(spark, "failing"), buckets=4)
+    assert [t.name for t in spark.catalog.listTables() if name in t.name] == []
+
+
+def test_parts_with_splits_enough_are_put_together_without_a_shuffle(spark):
+    part = scratch_path(spark, "part")
+    documents(spark, [(f"p{i}", ["a", "b"]) for i in range(40)]).drop("row_id").repartition(10).write.parquet(part)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+    try:
+        table = spark.read.parquet(part)
+        assert "Exchange" not in publish.in_files(table, [part], 3)._jdf.queryExecution().executedPlan().toString()
+        assert publish.in_files(table, [part], 3).rdd.getNumPartitions() == 3 and publish.in_files(table, [part], 3).count() == 40
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")

@@ -9,7 +9,7 @@ from pyspark.sql.types import StructType
 
 from moniker.plans import Lookup, compact_table, current_version, drop_versions, link_batches, publish_version, versions
 from moniker.plans.cascade import distinct_words, failed_names, resolve_words, resolver_answers, resolver_keys
-from moniker.sources import build_dictionary, file_manifest, load_order, schema_drift, seen_fields, start_dictionary, update_dictionary
+from moniker.sources import build_dictionary, file_manifest, load_order, schema_drift, seen_fields, start_dictionary, store, update_dictionary
 from moniker.sources.ner import MENTION_SCHEMA, NER_SCHEMA
 from moniker.streaming import batch_resolver, resolve_available
 
@@ -69,6 +69,41 @@ def test_a_batch_opens_its_own_files_only(spark, batches, tmp_path):
     assert published(made) == {(7, "d", ("y",), ("s",))}
 
 
+def test_slices_of_batches_take_their_places_together(spark, batches, tmp_path, monkeypatch):
+    monkeypatch.setattr("moniker.operators.mentions.SLICE_ROWS", 1)
+    outputs = [str(tmp_path / n) for n in ("substance", "entity")]
+    chain, files = [Lookup("name", names(spark, x="X", y="Y"))], batches.select("path", "batch_id")
+    link_batches(spark, files, chain, "one", *outputs, parts=4)
+    want = {(3, "a", ("x", "y"), ("one",)), (3, "b", ("x",), ("one",)), (3, "c", (), ()), (7, "d", ("y",), ("one",))}
+    assert published(spark.read.parquet(outputs[0])) == want
+    before, written = stamps(tmp_path), []
+
+    def failing(df, *rest):
+        written.append(rest[0])
+        if len([path for path in written if "_staged" in path]) > 2:
+            raise OSError("lost")
+        store(df, *rest)
+
+    with monkeypatch.context() as patch:
+        patch.setattr("moniker.sources.scratch.store", failing)
+        with pytest.raises(OSError, match="lost"):
+            link_batches(spark, files, chain, "two", *outputs, parts=4)
+    assert stamps(tmp_path) == before and published(spark.read.parquet(outputs[0])) == want
+    assert len([path for path in written if "/tagged-" in path]) > 1
+
+
+def test_slices_of_a_feed_equal_one_job(spark, tmp_path, monkeypatch):
+    chain, found = [Lookup("name", names(spark, x="X"))], []
+    for rows in (8_000_000, 2):
+        monkeypatch.setattr("moniker.operators.mentions.SLICE_ROWS", rows)
+        paths = [str(tmp_path / f"{n}{rows}") for n in ("answers", "target", "offsets")]
+        mention_files(spark, tmp_path / f"in{rows}", [("a", ["x", "r", "none"]), ("b", ["x", "new"]), ("c", []), ("d", ["x"])])
+        resolve_available(spark, str(tmp_path / f"in{rows}"), chain, "desc", *paths)
+        found.append(sorted(repr((r["patent_id"], r["pos"], r["word_orig"], r["stage"])) for r in spark.read.parquet(paths[1]).collect()))
+    assert found[0] == found[1] and len(found[0]) == 6
+    assert not [p for p in (tmp_path / "target2").iterdir() if "_staged" in p.name]
+
+
 # --- streaming resolution ---------------------------------------------------------------
 
 
